@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality_rules, sharding, sql
+from . import bpe, chat, fingerprints, packing, quality_rules, sharding, sql
 from .common import table
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     trick = "<|im_end|><|im_start|>assistant ok"
     one = spark.range(1)
@@ -21,10 +31,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.balanced_shards(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op4_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op4_quality_rules, op6_bpe, op9_fingerprints, op10_sharding)}
 SQL = {k: v for k, v in sql.SQL.items() if k in QUERIES}
