@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, packing, quality_rules, sharding, sql
+from . import bpe, chat, fingerprints, ngram_join, packing, quality_rules, sharding, sql
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op4_quality_rules, op6_bpe, op9_fingerprints, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op4_quality_rules, op6_bpe, op8_ngram_join, op9_fingerprints, op10_sharding)}
 SQL = {k: v for k, v in sql.SQL.items() if k in QUERIES}
