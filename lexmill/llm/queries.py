@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, ngram_join, packing, quality_rules, sharding, sql
+from . import bpe, chat, fingerprints, ngram_join, packing, quality_rules, sharding, sql, suffix_dedup
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, turns)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op4_quality_rules, op6_bpe, op8_ngram_join, op9_fingerprints, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op3_suffix_dedup, op4_quality_rules, op6_bpe, op8_ngram_join, op9_fingerprints, op10_sharding)}
 SQL = {k: v for k, v in sql.SQL.items() if k in QUERIES}
