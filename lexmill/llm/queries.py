@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, ngram_join, packing, quality_rules, sharding, sql, suffix_dedup
+from . import bpe, chat, fingerprints, html_extract, ngram_join, packing, quality_classifier, quality_rules, sharding, sql, suffix_dedup
 from .common import table
 
 
@@ -35,10 +35,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.scores(docs, quality_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf_dir, "documents"))
 
@@ -52,5 +61,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op3_suffix_dedup, op4_quality_rules, op6_bpe, op8_ngram_join, op9_fingerprints, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op3_suffix_dedup, op4_quality_rules, op5_quality_classifier, op6_bpe, op7_html_extraction, op8_ngram_join, op9_fingerprints, op10_sharding)}
 SQL = {k: v for k, v in sql.SQL.items() if k in QUERIES}
