@@ -39,6 +39,9 @@ BLOCK = 2_000_000
 SMALL = 48
 #: Fragments in which overlaps are counted, pivots in a first round, members of a large cluster per task.
 VERTICAL, PIVOTS, SALT = 4, 16, 1000
+#: Up to so many keys (16 bytes each) are broadcast.
+BROADCAST_ROWS = 1_000_000
+_LAST = (1 << 63) - 1
 
 
 def _class_of(h: np.ndarray) -> int:
@@ -46,17 +49,17 @@ def _class_of(h: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, cls): size and digest of the set of shingles."""
+    """Rows (doc_id, hash, n, cls): hash of the text, size and digest of the set of shingles."""
 
     def run(batches):
         shingle = Shingler()
         for batch in batches:
-            sets = [shingle(t) for t in batch.column(1).to_pylist()]
+            sets = [shingle(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_class_of(h) for h in sets], pa.int64())], names=["doc_id", "n", "cls"]
+                [*batch.columns[:2], pa.array([len(h) for h in sets], pa.int64()), pa.array([_class_of(h) for h in sets], pa.int64())], names=["doc_id", "hash", "n", "cls"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, cls long")
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, "doc_id long, hash long, n long, cls long")
 
 
 def _fragments(docs: DataFrame, count: int) -> DataFrame:
@@ -326,27 +329,35 @@ def class_links(docs: DataFrame) -> DataFrame:
     return links
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, hash, n, cls, keeper struct<id, hash>): keeper is the component's first document, null if n is 0."""
     base = stage(classes(docs), "join-classes")
     roots = components(class_links(docs).select("a", "b"))
-    first = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first"))
+    row = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "hash")
+    first = base.where("n > 0").groupBy("cls").agg(F.min(row).alias("first"))
     named = first.join(roots, first["cls"] == roots["node"], "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(lowest, "root").select("cls", "component_id")
-    out = base.join(named, "cls", "left")
-    alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"), F.col("cls").alias("class_id"))
+    lowest = named.groupBy("root").agg(F.min("first").alias("keeper"))
+    named = named.join(lowest, "root").select("cls", "keeper")
+    return base.join(named, "cls", "left").withColumn("keeper", F.when(F.col("n") > 0, F.col("keeper")))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id."""
+    keeper = F.when(F.col("keeper.id") < _LAST, F.col("keeper.id"))
+    return _placed(docs).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(keeper).alias("component_id"), F.col("cls").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents of docs that are the smallest doc_id of their component; of repeated rows one. Columns of docs."""
-    found = similar(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    twice = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(stage(gone, "join-gone"), "doc_id", "left_anti").select(*docs.columns)
-    twice = stage(twice, "join-twice")
-    if twice.isEmpty():
-        return kept
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).union(again)
+    """The first document of each component (by doc_id, then the text's hash), with the columns of docs."""
+    found = stage(_placed(docs.select("doc_id", "text")), "join-placed")
+    row = [F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("hash").alias("__hash")]
+    gone = found.where((F.col("keeper.id") != F.coalesce("doc_id", F.lit(_LAST))) | (F.col("keeper.hash") != F.col("hash"))).select(*row).distinct()
+    twice = found.where("n > 0").groupBy(*row).count().where("count > 1").select("__id", "__hash")
+    gone, twice = stage(gone, "join-gone"), stage(twice, "join-twice")
+    packed = docs.select(F.struct("*").alias("__row"), F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.xxhash64("text").alias("__hash"))
+    key = ["__id", "__hash"]
+    kept = packed.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, key, "left_anti")
+    if not twice.isEmpty():  # rows that repeat a kept row whole in id and text
+        small = F.broadcast(twice) if twice.count() <= BROADCAST_ROWS else twice
+        kept = kept.join(small, key, "left_anti").union(kept.join(small, key, "left_semi").dropDuplicates(key))
+    return kept.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

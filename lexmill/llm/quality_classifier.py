@@ -131,7 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         got.sort(key=lambda r: (r[0], r[1], r[2] or ""))
         yield pa.RecordBatch.from_arrays([pa.array([fitted([(t, y) for _, _, t, y in got]).tobytes()], pa.binary())], names=["w"])
 
-    return np.frombuffer(rows.mapInArrow(run, "w binary").first()["w"], np.float32)
+    row = rows.mapInArrow(run, "w binary").first()
+    return np.frombuffer(row["w"], np.float32) if row else np.zeros(1 << BITS, np.float32)
 
 
 def scorer(spark, weights: np.ndarray):

@@ -366,7 +366,7 @@ def _without_marks(docs: DataFrame, marks: DataFrame, small: bool) -> DataFrame:
 
 def _spans(spans: bytes, more) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(spans, _I32).reshape(-1, 2).astype(np.int64)
-    y = np.array([(m["lo"], m["hi"]) for m in more or ()], np.int64).reshape(-1, 2)
+    y = np.array([(m["lo"], m["hi"]) for m in (() if more is None else more)], np.int64).reshape(-1, 2)
     return _united(np.r_[x[:, 0], y[:, 0]], np.r_[x[:, 1], y[:, 1]])
 
 
