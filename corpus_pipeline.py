@@ -1,3 +1,50 @@
-STAGES = []
+"""From raw documents to packed training sequences, in five stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lexmill.llm import ngram_join, packing, quality_classifier, quality_rules, suffix_dedup
+from lexmill.llm.common import stage, table
+from lexmill.llm.queries import vocabulary
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_filter(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(docs, vocabulary())
+
+
+STAGES = [
+    ("quality_classifier", classify),
+    ("quality_rules", apply_rules),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("suffix_array_dedup", drop_repeats),
+    ("best_fit_packing", pack),
+]
+
+#: SQL can't express the classifier or the packing; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, f) in enumerate(STAGES):
+        docs = f(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stage(docs, f"pipeline-{name}")
+    return docs
