@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 #: ASCII white space that separates words (tab, LF, VT, FF, CR, space), as a Java regex class.
@@ -60,21 +60,49 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], spread: Column,
     )
 
 
+#: Up to so many edges (16 bytes each), components are found in one task; beyond, by rounds of joins.
+ONE_TASK_EDGES = 200_000
+
+
+def _one_task(edges: DataFrame) -> DataFrame:
+    """Components of at most ONE_TASK_EDGES edges by union-find in one task."""
+
+    def run(batches):
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := up.setdefault(x, x)) != x:
+                up[x] = up[y]
+                x = y
+            return x
+
+        for batch in batches:
+            for x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, y = find(x), find(y)
+                up[max(x, y)] = min(x, y)
+        nodes = list(up)
+        for k in range(0, len(nodes), 50_000):
+            part = nodes[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["node", "root"])
+
+    return stage(edges.select("u", "v").repartition(1).mapInArrow(run, "node long, root long"), "components")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", limit: int = 60) -> DataFrame:
     """Connected components of the edges (long ids): rows (node, root), root = smallest id reached.
 
-    Alternating large-star and small-star (Kiveris et al. 2014), written to the shared folder each round. A hub's
-    neighbours are never gathered: its minimum is a partial aggregate, which is joined back (AQE splits hot keys).
-    Every node of an edge is returned. Raises if it has not converged after `limit` rounds.
+    Alternating large-star and small-star (Kiveris et al. 2014), written to the shared folder each round, until the
+    edges are few enough for one task. A hub's neighbours are never gathered: its minimum is a partial aggregate, which
+    is joined back (AQE splits hot keys). Every node of an edge is returned. Raises if it has not converged after
+    `limit` rounds.
     """
-    spark = edges.sparkSession
     cur = stage(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
     )
-    if cur.isEmpty():
-        return spark.createDataFrame([], T.StructType([T.StructField("node", T.LongType()), T.StructField("root", T.LongType())]))
     state = None
     for _ in range(limit):
+        if state is None and cur.count() <= ONE_TASK_EDGES:
+            return _one_task(cur)
         # large star: every larger neighbour of u is linked to the smallest of u and its neighbours
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))

@@ -8,9 +8,10 @@ Documents become sets of hashed five-word shingles; equal sets form one class, a
 2. The rest are ordered by frequency, rarest first. Two sets that link share an n-gram of their prefixes; classes that
    do form clusters (star edges to the smallest class of a posting, then connected components).
 3. Inside clusters, partial overlaps are counted fragment by fragment and summed per pair. All pairs are counted in
-   small clusters. In a large one, pivots are counted against all others, in rounds: a class that is in the cluster's
-   main component, or was a pivot, needs no further count. No link that joins two components is missed, and pairs
-   within a component are not formed. Members of a large cluster are salted over tasks; only pivots are copied.
+   small clusters. A large cluster is first counted against its pivot, the class whose n-grams are the most common;
+   then the classes that the pivot does not reach are counted against all others of like size. No link that joins two
+   components is missed, and no pairs within a component are formed. Large clusters are salted over tasks in blocks
+   of members and probes, where sums stay in the task and only links that join components leave it.
 
 Hash values are 64 bits: two shingles or sets with equal values count as equal.
 
@@ -37,8 +38,8 @@ DOCS_PER_FRAGMENT, FRAGMENTS = 4000, 1 << 20
 BLOCK = 2_000_000
 #: Clusters up to this size have all their pairs counted; larger ones are counted against pivots.
 SMALL = 48
-#: Fragments in which overlaps are counted, pivots in a first round, members of a large cluster per task.
-VERTICAL, PIVOTS, SALT = 4, 16, 1000
+#: Fragments in which overlaps are counted; members, and probes, of a large cluster per task.
+VERTICAL, SALT = 4, 1000
 #: Up to so many keys (16 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
@@ -163,7 +164,8 @@ def _shared(fragments: DataFrame, buckets: int) -> DataFrame:
 
 
 def _survivors(shared: DataFrame) -> DataFrame:
-    """Rows (cls, n, grams, prefix): classes of which enough n-grams are shared, and the shared ones of their prefix."""
+    """Rows (cls, n, score, grams, prefix): classes of which enough n-grams are shared, how common these are on average,
+    and the shared ones of the prefix."""
 
     def run(batches):
         for _, parts in _groups(batches):
@@ -175,6 +177,7 @@ def _survivors(shared: DataFrame) -> DataFrame:
             size[inv] = n
             good = 100 * total >= PERCENT * size
             owner = np.repeat(inv, k)
+            score = np.bincount(owner, weights=often, minlength=len(ids)) / np.maximum(size, 1)
             mask = good[owner]
             grams, often, owner = grams[mask], often[mask], owner[mask]
             order = np.lexsort((grams, often, owner))
@@ -186,7 +189,7 @@ def _survivors(shared: DataFrame) -> DataFrame:
                 mine = grams[at[i] : at[i + 1]]
                 least = -(-PERCENT * int(size[c]) // 100)
                 prefix = mine[: max(0, len(mine) - least + 1)]  # those of one class come first in the order, and match none
-                rows.append((int(ids[c]), int(size[c]), np.sort(mine).tobytes(), prefix.view(np.int64)))
+                rows.append((int(ids[c]), int(size[c]), float(score[c]), np.sort(mine).tobytes(), prefix.view(np.int64)))
                 if len(rows) == 2000:
                     yield batch_of(rows)
                     rows = []
@@ -194,90 +197,126 @@ def _survivors(shared: DataFrame) -> DataFrame:
                 yield batch_of(rows)
 
     def batch_of(rows):
-        cls, n, grams, prefix = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(grams, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["cls", "n", "grams", "prefix"])
+        cls, n, score, grams, prefix = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(grams, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["cls", "n", "score", "grams", "prefix"])
 
-    return shared.mapInArrow(run, "cls long, n long, grams binary, prefix array<long>")
+    return shared.mapInArrow(run, "cls long, n long, score double, grams binary, prefix array<long>")
 
 
 def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
-    """Rows (a, b, na, nb, o): overlaps of pairs that link, summed over vertical fragments.
+    """Rows (a, b, na, nb, o): pairs of a cluster that link, with overlaps summed over vertical fragments.
 
-    members: cluster, salt, cls, n, comp, probe, member, pivot, grams. Probes are counted against members of the same
-    cluster and salt in other components; two pivots are counted once.
+    members: cluster, cls, n, grams, in clusters of at most SMALL classes.
     """
 
     def cut(batches):
-        bounds = np.array([(i << 64) // VERTICAL for i in range(VERTICAL + 1)][:-1], np.uint64)
+        bounds = np.array([(i << 64) // VERTICAL for i in range(VERTICAL)], np.uint64)
         for batch in batches:
             rows = []
-            *head, grams = [c.to_pylist() for c in batch.columns]
-            for *x, raw in zip(*head, grams, strict=True):
+            for cluster, cls, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 g = np.frombuffer(raw, np.uint64)
                 at = [*np.searchsorted(g, bounds).tolist(), len(g)]
-                rows += [(v, *x, g[at[v] : at[v + 1]].tobytes()) for v in range(VERTICAL) if at[v] < at[v + 1]]
+                rows += [(v, cluster, cls, n, g[at[v] : at[v + 1]].tobytes()) for v in range(VERTICAL) if at[v] < at[v + 1]]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *batch.schema.types], strict=True)], names=["v", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.int64()] * 3, pa.binary()], strict=True)], names=["v", "cluster", "cls", "n", "grams"])
 
     def count(batches):
         held, size = [], 0
-        for key, rows in _groups(batches, 3):
+        for _, rows in _groups(batches, 2):
             held.append(rows)
             size += sum(len(r[-1]) for r in rows)
-            if size > 8_000_000:
-                yield from counted(held)
+            if size > 4_000_000:
+                yield counted(held)
                 held, size = [], 0
         if held:
-            yield from counted(held)
+            yield counted(held)
 
     def counted(groups):
         rows = [r for g in groups for r in g]
-        cls, n, comp, probe, member, pivot, raw = (list(c) for c in zip(*rows, strict=True))
-        cls, n, comp = np.array(cls, np.int64), np.array(n, np.int64), np.array(comp, np.int64)
-        probe, member, pivot = np.array(probe, bool), np.array(member, bool), np.array(pivot, bool)
-        sizes = np.array([len(r) // 8 for r in raw])
+        cls, n, raw = zip(*rows, strict=True)
+        cls, n = np.array(cls, np.int64), np.array(n, np.int64)
         grams = np.frombuffer(b"".join(raw), np.uint64)
-        row = np.repeat(np.arange(len(rows)), sizes)
-        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-        order = np.lexsort((~probe[row], grams, group[row]))  # probes first in a posting
-        grams, row = grams[order], row[order]
-        new = np.r_[True, (grams[1:] != grams[:-1]) | (group[row][1:] != group[row][:-1])]
+        row = np.repeat(np.arange(len(rows)), [len(r) // 8 for r in raw])
+        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])[row]
+        order = np.lexsort((row, grams, group))
+        grams, row, group = grams[order], row[order], group[order]
+        new = np.r_[True, (grams[1:] != grams[:-1]) | (group[1:] != group[:-1])]
         start = np.flatnonzero(new)[np.cumsum(new) - 1]
-        probes = np.add.reduceat(probe[row].astype(np.int64), np.flatnonzero(new))[np.cumsum(new) - 1]
-        todo = np.flatnonzero(member[row] & (probes > 0))
-        j, found, held = 0, [], 0
-        while len(todo):
-            todo = todo[probes[todo] > j]
-            p, m = row[start[todo] + j], row[todo]
-            ok = (cls[p] != cls[m]) & (comp[p] != comp[m]) & (~pivot[m] | (cls[p] < cls[m]))
-            codes, o = np.unique(p[ok] * len(rows) + m[ok], return_counts=True)
-            found.append((codes, o))
-            held += len(codes)
+        place = np.arange(len(row)) - start
+        codes, todo, j = [], np.arange(len(row)), 0
+        while len(todo := todo[place[todo] > j]):  # each n-gram with the j-th of its posting, j before it
+            codes.append(row[start[todo] + j] * len(rows) + row[todo])
             j += 1
-            if held > 2_000_000:
-                yield summed(found, cls, n)
-                found, held = [], 0
-        if held:
-            yield summed(found, cls, n)
-
-    def summed(found, cls, n):
-        codes, inv = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-        o = np.zeros(len(codes), np.int64)
-        np.add.at(o, inv, np.concatenate([x for _, x in found]))
-        p, m = codes // len(cls), codes % len(cls)
+        codes, o = np.unique(np.concatenate(codes), return_counts=True) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        p, m = codes // len(rows), codes % len(rows)
         swap = cls[p] > cls[m]
         a, b = np.where(swap, m, p), np.where(swap, p, m)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (cls[a], cls[b], n[a], n[b], o)], names=["a", "b", "na", "nb", "o"])
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (cls[a], cls[b], n[a], n[b], o)], names=["a", "b", "na", "nb", "o"])
 
-    cols = ["cluster", "salt", "cls", "n", "comp", "probe", "member", "pivot", "grams"]
-    cutted = members.select(*cols).mapInArrow(cut, "v int, cluster long, salt int, cls long, n long, comp long, probe boolean, member boolean, pivot boolean, grams binary")
-    dealt = cutted.repartition(partitions, "cluster", "salt", "v").sortWithinPartitions("cluster", "salt", "v")
-    dealt = dealt.select("cluster", "salt", "v", "cls", "n", "comp", "probe", "member", "pivot", "grams")
+    cutted = members.select("cluster", "cls", "n", "grams").mapInArrow(cut, "v int, cluster long, cls long, n long, grams binary")
+    dealt = cutted.repartition(partitions, "v", "cluster").sortWithinPartitions("v", "cluster").select("v", "cluster", "cls", "n", "grams")
     parts = dealt.mapInArrow(count, "a long, b long, na long, nb long, o long")
     whole = parts.groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("o").alias("o"))
     return whole.where(100 * F.col("o") >= PERCENT * (F.col("na") + F.col("nb") - F.col("o")))
 
 
+def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> DataFrame:
+    """Links (a, b, na, nb, o) between probes and members of their cluster that join components.
+
+    Both: cluster, cls, n, comp, grams. Sizes that link lie in the same band or in neighbouring ones.
+    """
+    band = F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int")  # 1.26 > 100 / PERCENT
+    members, probes = members.withColumn("band", band), probes.withColumn("band", band)
+    bands = hint(members.groupBy("cluster", "band").agg(F.ceil(F.count(F.lit(1)) / SALT).cast("int").alias("salts")))
+    blocks = hint(probes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / SALT).cast("int").alias("blocks")))
+    cols = ["cluster", "band", "salt", "block", "kind", "cls", "n", "comp", "grams"]
+    spread = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    m = members.join(bands, ["cluster", "band"]).join(blocks, "cluster")
+    m = m.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int")).withColumn("kind", F.lit(0)).withColumn("block", spread("blocks"))
+    p = probes.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(bands, ["cluster", "band"]).join(blocks, "cluster")
+    p = p.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).cast("int")).withColumn("kind", F.lit(1)).withColumn("salt", spread("salts"))
+
+    def run(batches):
+        for _, rows in _groups(batches, 4):
+            mine, ask = [r for r in rows if not r[0]], [r for r in rows if r[0]]
+            if not mine or not ask:
+                continue
+            cls, n = np.array([r[1] for r in mine], np.int64), np.array([r[2] for r in mine], np.int64)
+            grams = np.frombuffer(b"".join(r[4] for r in mine), np.uint64)
+            owner = np.repeat(np.arange(len(mine)), [len(r[4]) // 8 for r in mine])
+            order = np.argsort(grams, kind="stable")
+            grams, owner = grams[order], owner[order]
+            at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            values, ends = grams[at], np.r_[at[1:], len(grams)]
+            up: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (y := up.setdefault(x, x)) != x:  # noqa: B023
+                    x = y
+                return x
+
+            out = []
+            for _, c, size, comp, raw in sorted(ask):
+                g = np.frombuffer(raw, np.uint64)
+                k = np.searchsorted(values, g)
+                k = k[(k < len(values)) & (values[np.minimum(k, len(values) - 1)] == g)]
+                lengths = ends[k] - at[k]
+                flat = np.repeat(at[k] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
+                o = np.bincount(owner[flat], minlength=len(mine))
+                for i in np.flatnonzero(100 * o >= PERCENT * (size + n - o)).tolist():
+                    x, y = find(comp), find(mine[i][3])
+                    if x != y:
+                        up[max(x, y)] = min(x, y)
+                        a, b = sorted(((c, size), (int(cls[i]), int(n[i]))))
+                        out.append((a[0], b[0], a[1], b[1], int(o[i])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b", "na", "nb", "o"])
+
+    key = ["cluster", "band", "salt", "block"]
+    dealt = m.select(*cols).union(p.select(*cols)).repartition(partitions, *key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(run, "a long, b long, na long, nb long, o long")
+
+
 def class_links(docs: DataFrame) -> DataFrame:
     """Links (a, b, na, nb, o) between classes: all in small clusters; in large ones enough to join every component."""
     spark = docs.sparkSession
@@ -293,40 +332,24 @@ def class_links(docs: DataFrame) -> DataFrame:
     edges = index.join(low, "gram").where("cls <> m").select(F.col("cls").alias("a"), F.col("m").alias("b")).distinct()
     near = components(edges)
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    state = near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("cluster"), "m")
-    state = stage(state.withColumn("comp", F.col("cls")).withColumn("tried", F.lit(False)), "join-clusters")
-
-    rows = rest.select("cls", "n", "grams")
-    yes, no = F.lit(True), F.lit(False)
-    small = state.where(F.col("m") <= SMALL).join(rows, "cls").select("cluster", F.lit(0).alias("salt"), "cls", "n", "comp", yes.alias("probe"), yes.alias("member"), yes.alias("pivot"), "grams")
-    links = stage(_overlaps(small, parts), "join-links")
-
-    large, pivots = state.where(F.col("m") > SMALL), PIVOTS
-    while True:
-        # the main component of a cluster is its largest; untried classes outside it are the next pivots
-        of = large.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"))
-        main = of.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("w")).select("cluster", F.when(F.col("w.c") > 1, F.col("w.comp")).alias("main"))
-        left = large.join(main, "cluster").where(~F.col("tried") & (F.col("main").isNull() | (F.col("comp") != F.col("main"))))
-        # chosen by a hash below a bound, so that no cluster is ranked in one task
-        size = left.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
-        drawn = left.join(size, "cluster").where(F.pmod(F.xxhash64("cls"), F.col("c")) < pivots).select("cluster", "cls")
-        # at least one pivot in each cluster with any left
-        lowest = left.groupBy("cluster").agg(F.min("cls").alias("cls"))
-        drawn = stage(drawn.union(lowest).distinct(), "join-pivots")
-        if drawn.isEmpty():
-            break
-        marked = large.join(drawn.select("cls", F.lit(True).alias("pivot")), "cls", "left").withColumn("pivot", F.coalesce("pivot", F.lit(False)))
-        live = marked.join(drawn.select("cluster").distinct(), "cluster", "left_semi").join(rows, "cls")
-        salts = F.ceil(F.col("m") / SALT).cast("int")
-        member = live.select("cluster", F.pmod(F.xxhash64("cls"), salts).cast("int").alias("salt"), "cls", "n", "comp", no.alias("probe"), yes.alias("member"), "pivot", "grams")
-        probe = live.where("pivot").select("cluster", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "cls", "n", "comp", yes.alias("probe"), no.alias("member"), "pivot", "grams")
-        links = stage(links.union(_overlaps(member.union(probe), parts)), "join-links")
-        comps = components(links.join(large.select("cls"), F.col("a") == F.col("cls"), "left_semi").select("a", "b"))
-        marked = marked.withColumn("tried", F.col("tried") | F.col("pivot")).drop("comp", "pivot")
-        marked = marked.join(comps.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        large = stage(marked.select("cls", "cluster", "m", "comp", "tried"), "join-clusters")
-        pivots *= 4
-    return links
+    state = near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("cluster"), "m").join(rest.drop("prefix"), "cls")
+    state = stage(state, "join-clusters")
+    links = stage(_overlaps(state.where(F.col("m") <= SMALL), parts), "join-links")
+
+    large = state.where(F.col("m") > SMALL).withColumn("comp", F.col("cls"))
+    clusters = large.select("cluster").distinct().count()
+    if not clusters:
+        return links
+    hint = F.broadcast if clusters <= BROADCAST_ROWS // 100 else lambda x: x  # some rows for each cluster
+    pivot = hint(large.groupBy("cluster").agg(F.max(F.struct("score", "cls")).alias("w")).select("cluster", F.col("w.cls").alias("pivot")))
+    large = large.join(pivot, "cluster")
+    first = stage(_joined(large, large.where("cls = pivot"), parts, hint), "join-links")
+    comps = components(first.select("a", "b")).select(F.col("node").alias("cls"), F.col("root").alias("found"))
+    large = large.join(comps, "cls", "left").withColumn("comp", F.coalesce("found", "cls"))
+    large = stage(large.drop("found"), "join-large")
+    main = hint(large.where("cls = pivot").select("cluster", F.col("comp").alias("main")))
+    outside = large.join(main, "cluster").where("comp <> main")
+    return links.union(first).union(stage(_joined(large, outside, parts, hint), "join-links"))
 
 
 def _placed(docs: DataFrame) -> DataFrame:
