@@ -338,7 +338,7 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     met = _met(parsed, length, buckets).repartition(wide, "bucket").sortWithinPartitions("bucket")
     marks = stage(_of_documents(met), "dedup-marks")
     unsure = marks.where(F.octet_length("flag") > 0)
-    texts = _with_text(docs, unsure, unsure.count() <= BROADCAST_DOCS).select("doc", "hash", "text", "lo", "hi", "at", "key", "flag")
+    texts = _with_text(docs, unsure, unsure.count() <= BROADCAST_DOCS).select("doc", "hash", _text(), "lo", "hi", "at", "key", "flag")
     entries = _entries(texts, length).repartition(wide, "key").sortWithinPartitions("key", "doc", "hash", "lo")
     more = _compared(entries, length).groupBy("doc", "hash").agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
     out = marks.select("doc", "hash", "spans").join(more, ["doc", "hash"], "left").where((F.octet_length("spans") > 0) | F.col("more").isNotNull())
@@ -347,8 +347,12 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64("text").alias("hash"), text.alias("text"))
+    """(row, doc, hash): whole rows, so that further columns may have any names."""
+    return docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(_NULL)).alias("doc"), F.xxhash64("text").alias("hash"))
+
+
+def _text():
+    return F.coalesce(F.col("row.text"), F.lit("")).alias("text")
 
 
 def _with_text(docs: DataFrame, marks: DataFrame, small: bool) -> DataFrame:
@@ -390,9 +394,9 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             types = [*[pa.int64()] * 4, pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types], names=[x.split()[0] for x in schema.split(", ")])
 
-    cut = _with_text(docs, marks, small).select(F.col("row.doc_id"), "text", "spans", "more").mapInArrow(run, schema)
+    cut = _with_text(docs, marks, small).select(F.col("row.doc_id"), _text(), "spans", "more").mapInArrow(run, schema)
     zero = F.lit(0).cast("long")
-    whole = _without_marks(docs, marks, small).select("row.doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
+    whole = _without_marks(docs, marks, small).select("row.doc_id", F.octet_length(_text()).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(_text(), 256).alias("kept_sha256"))
     return cut.union(whole)
 
 
@@ -410,5 +414,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         new = {"text": F.col("new"), "n_chars": F.char_length("new").cast(dict(docs.dtypes).get("n_chars", "long"))}
         return rows.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
-    changed = back(_with_text(docs, marks, small).select("row", cut("text", "spans", "more").alias("new")))
+    changed = back(_with_text(docs, marks, small).select("row", cut(_text(), "spans", "more").alias("new")))
     return changed.union(_without_marks(docs, marks, small).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
