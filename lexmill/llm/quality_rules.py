@@ -25,7 +25,7 @@ FEW = 50
 #: Fences lie this many distances of the quartiles beyond them.
 REACH = 3
 #: Measures: column -> the least distance between a quartile and its fence. Shares are per mille.
-MEASURES = {"symbol_share": 30, "upper_share": 150, "bang_share": 40, "dup_line_share": 150, "repeat_share": 60, "word_length": 250}
+MEASURES = {"symbol_share": 30, "upper_share": 150, "bang_share": 40, "dup_line_share": 350, "repeat_share": 180, "word_length": 350}
 #: More groups than this are joined by a shuffle; up to this the fences (under 200 bytes a group) are broadcast.
 BROADCAST_GROUPS = 50_000
 
