@@ -166,3 +166,23 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 100, block: int = 512)
     best = met.mapInArrow(run, "query bigint, neighbour bigint, s double")
     w = Window.partitionBy("query").orderBy(F.desc("s"), "neighbour")
     return best.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select("query", F.col("rn").cast("bigint").alias("rn"), "neighbour", F.round("s", 6).alias("similarity"))
+
+
+def merged(relations: DataFrame, size: int = 100, path: str | None = None) -> DataFrame:
+    """One graph of all: groups of `size` graphs are united and de-duplicated, then the results at once.
+
+    With a path, de-duplicated groups are kept there as a table by group, and groups that it has are not made again.
+    """
+    grouped = aggregated(relations, F.floor(F.col("graph_id") / size))
+    if path:
+        spark = relations.sparkSession
+        schema = "graph_id bigint, subject string, predicate string, object string"
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+            grouped = grouped.join(spark.read.schema(schema).parquet(path).select("graph_id").distinct(), "graph_id", "left_anti")
+        relabelled(grouped, exact_clusters(entities(grouped))).write.mode("append").parquet(path)
+        first = spark.read.schema(schema).parquet(path)
+    else:
+        first = relabelled(grouped, exact_clusters(entities(grouped)))
+    whole = aggregated(first, F.lit(0).cast("bigint"))
+    return relabelled(whole, exact_clusters(entities(whole)))

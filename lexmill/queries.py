@@ -434,6 +434,14 @@ def kg_chunks(spark, sf_dir):
     return graphs.chunks(docs_of(spark, sf_dir), 2000)
 
 
+@query(
+    f"""WITH {_REL}, c AS (SELECT entity, min(entity) OVER (PARTITION BY {_KEY.format("entity")}) AS r FROM (SELECT DISTINCT entity FROM ent))
+SELECT DISTINCT CAST(0 AS BIGINT) AS graph_id, s.r AS subject, predicate, o.r AS object FROM rel JOIN c s ON s.entity = subject JOIN c o ON o.entity = object"""
+)
+def kg_merged(spark, sf_dir):
+    return graphs.merged(_relations(spark, sf_dir))
+
+
 @query(f"WITH {_REL} SELECT graph_id, count(*) AS n_entities, array_to_string(list_sort(list(entity)), ' ') AS entities FROM ent GROUP BY graph_id")
 def kg_lists(spark, sf_dir):
     g = graphs.as_lists(_relations(spark, sf_dir))

@@ -221,7 +221,7 @@ def test_streams(spark, tmp_path):
     assert spark.table("counts").collect() == [(500, 4)]
 
 
-def test_graphs(spark):
+def test_graphs(spark, tmp_path):
     rel = spark.createDataFrame([(1, "Paris", "in", "France"), (1, "paris", "in", "France."), (1, "Parisian region", "in", "France"), (1, "Parisian regions", "of", "x"), (2, "a", "b", "a")], "graph_id long, subject string, predicate string, object string")
     exact = graphs.exact_clusters(graphs.entities(rel))
     assert {r["member"]: r["representative"] for r in exact.where("graph_id = 1").collect()} == {"Paris": "Paris", "paris": "Paris", "France": "France", "France.": "France", "Parisian region": "Parisian region", "Parisian regions": "Parisian regions", "x": "x"}
@@ -233,6 +233,10 @@ def test_graphs(spark):
     assert graphs.as_lists(rel).where("graph_id = 2").first()["entities"] == ["a"]
     assert graphs.aggregated(rel, F.lit(0)).count() == 5
 
+    path = str(tmp_path / "groups")
+    want = graphs.merged(rel, 2).collect()
+    assert graphs.merged(rel, 2, path).collect() and sorted(graphs.merged(rel, 2, path).collect()) == sorted(want)
+
     def extractor(text):
         if text == "bad":
             raise RuntimeError("no")
