@@ -19,6 +19,8 @@ import re
 import struct
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -219,7 +221,7 @@ class TextEncoder:
         """For each render, the renderings of all texts."""
         split = [([c for c in WHITE.split(t) if c] if NOT_WHITE.search(t) else t.split()) for t in texts]
         known = self.caches[0]
-        new = [*{c for s in split for c in s if c not in known}]
+        new = [*set(chain.from_iterable(split)).difference(known)]
         full = len(known) >= CACHE
         for c, ids in zip(new, self.learn(new), strict=True):
             for cache, (render, _) in zip(self.caches, self.renders, strict=True):
@@ -254,17 +256,24 @@ def _decoded(bpe: WordBPE, ids: list[int]) -> bytes:
     return bpe.decode(ids).encode()
 
 
+@lru_cache(4)
 def packed_encoder(path: str, library: bool = True) -> TextEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids."""
+    """Encodes texts to little-endian unsigned 32-bit ids. Kept, with its cache, for the next tasks of a worker."""
     return TextEncoder(path, [(_packed, b"")], library)
 
 
+@lru_cache(4)
+def text_encoder(path: str) -> TextEncoder:
+    """Encodes texts to decimal ids and to decoded texts. Kept, with its cache, for the next tasks of a worker."""
+    return TextEncoder(path, [(_decimal, b" "), (_decoded, b" ")])
+
+
 def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256) and, if keep_ids, ids binary and decoded string."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, decoded string" if keep_ids else "")
 
     def run(batches):
-        enc = TextEncoder(path, [(_decimal, b" "), (_decoded, b" ")])
+        enc = text_encoder(path)
         for batch in batches:
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in blocks(texts):
