@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stage, width
-from .shingles import Shingler
+from .shingles import shingler
 
 K = 128
 #: Documents in a stretch of consecutive ids, about; a stretch is streamed, never held.
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     """Rows (doc_id, n_chars, fingerprint, n_distinct)."""
 
     def run(batches):
-        shingle = Shingler()
+        shingle = shingler()
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             found = [sketch(shingle(t), k) for t in texts]
@@ -130,7 +130,7 @@ def edited(docs: DataFrame, k: int = K) -> DataFrame:
     dealt = _zipped(rows).repartition(min(parts + 1, 4 * width(docs.sparkSession)), "part").sortWithinPartitions(*order)
 
     def run(batches):
-        shingle, unzip = Shingler(), zstandard.ZstdDecompressor()
+        shingle, unzip = shingler(), zstandard.ZstdDecompressor()
         out, held, size = [], None, 0
 
         def pair(cur, nxt):

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,12 @@ class Features:
         return np.concatenate(ix), np.concatenate(val)
 
 
+@lru_cache(1)
+def features() -> Features:
+    """One per Python worker, with its cache of words."""
+    return Features()
+
+
 class Ftrl:
     """FTRL-proximal for logistic loss (McMahan et al. 2013)."""
 
@@ -112,8 +119,8 @@ def sigmoid(v: float) -> float:
 
 def fitted(rows: list[tuple[str | None, int]]) -> np.ndarray:
     """Weights from (text, label) rows, in their order, over EPOCHS passes (each in another fixed order)."""
-    features, model = Features(), Ftrl()
-    vectors = [(*features(t), y) for t, y in rows]
+    vector, model = features(), Ftrl()
+    vectors = [(*vector(t), y) for t, y in rows]
     for k in range(EPOCHS):
         for j in np.random.default_rng(k).permutation(len(vectors)):
             model.learn(*vectors[j])
@@ -142,7 +149,7 @@ def scorer(spark, weights: np.ndarray):
 
     def score(texts: list[str | None]) -> list[float]:
         if not state:
-            state["f"], state["w"] = Features(), there.value.astype(np.float64)
+            state["f"], state["w"] = features(), there.value.astype(np.float64)
         out = []
         for t in texts:
             i, x = state["f"](t)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
@@ -26,6 +28,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+@lru_cache(1)
+def shingler() -> "Shingler":
+    """One per Python worker, with its cache of words."""
+    return Shingler()
+
+
 class Shingler:
     """Texts to their sets of shingles, as sorted 64-bit hashes. Two sets with equal hashes count as equal."""
 
