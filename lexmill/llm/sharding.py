@@ -37,7 +37,8 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) ->
     quota = F.lit(n // shards) + F.when(F.col("shard") < n % shards, 1).otherwise(0)
     buckets = max(1, n // RANK_ROWS // shards + 1)
 
-    groups = base.groupBy("group").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
+    # tables that join by group are staged first: an aggregate right below a join keeps Spark from splitting a hot group
+    groups = stage(base.groupBy("group").agg(F.count(F.lit(1)).alias("g")).where("g > 1"), "shard-groups")
     linked = base.join(groups, "group").withColumn("label", F.pmod(F.xxhash64("doc_id", "group"), F.lit(shards)).cast("int"))
     linked = stage(linked, "shard-labels")
     half = max(1, n // shards // 2)
@@ -46,6 +47,7 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) ->
         # what each group has where; a group is a hyperedge, so its pairs are never formed
         votes = linked.groupBy("group", "label").agg(F.count(F.lit(1)).alias("c"))
         best = votes.groupBy("group").agg(F.max(F.struct(F.col("c"), F.xxhash64("group", "label").alias("h"), F.col("label"))).alias("w")).select("group", F.col("w.label").alias("to"))
+        best = stage(best, "shard-votes")
         used = linked.groupBy("label").agg(F.count(F.lit(1)).alias("used"))
         # a group larger than half a shard is dealt over as many shards as it needs, next to each other
         spread = F.floor(_unit("doc_id", "group") * F.ceil(F.col("g") / half)).cast("int")
