@@ -51,18 +51,21 @@ SCRIPTS = {
 
 
 def predict(text: str | None) -> tuple[str, str, float]:
-    """(language, script, score) of a text: script by most letters, language by stop words. A stand-in for a model."""
+    """(language, script, score) of a whole text: script by most letters, language by stop words. A stand-in for a model."""
     import unicodedata
+    from collections import Counter
 
     counts: dict[str, int] = {}
-    for c in (text or "")[:5000]:
+    for c, n in Counter(text or "").items():
         if c.isalpha():
             name = unicodedata.name(c, "")
             s = next((k for k, v in SCRIPTS.items() if name.startswith(v)), "Zyyy")
-            counts[s] = counts.get(s, 0) + 1
+            counts[s] = counts.get(s, 0) + n
     script = max(counts, key=lambda k: (counts[k], k)) if counts else "Zyyy"
-    words = [w.strip(".,;:!?").lower() for w in (text or "").split()[:2000]]
-    hits = {k: sum(w in set(v) for w in words) for k, v in STOP_WORDS.items()}
+    words: Counter = Counter()
+    for w, n in Counter((text or "").split()).items():
+        words[w.strip(".,;:!?").lower()] += n
+    hits = {k: sum(words[w] for w in set(v)) for k, v in STOP_WORDS.items()}
     total = sum(hits.values())
     lang = max(hits, key=lambda k: (hits[k], k)) if total else "und"
     return lang, script, hits[lang] / total if total else 0.0

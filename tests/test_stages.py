@@ -128,6 +128,14 @@ def test_lookups(spark, tmp_path):
     assert filter_docs.predict("Это русский текст")[1] == "Cyrl" and filter_docs.predict("the cat of the house")[0] == "eng" and filter_docs.predict(None) == ("und", "Zyyy", 0.0)
 
 
+def test_predictions_read_the_whole_text():
+    head = "der die das und " * 2500  # 10 000 words, 40 000 characters
+    assert filter_docs.predict(head + "the cat of the house and it is here " * 9000)[:2] == ("eng", "Latn")
+    assert filter_docs.predict("x " * 5000 + "Это русский текст " * 3000)[1] == "Cyrl"
+    lang, script, score = filter_docs.predict("the " * 2000 + "der " * 6000)
+    assert (lang, script, score) == ("deu", "Latn", 0.75)
+
+
 def test_predictions_agree_with_languages(spark):
     d = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").where("n_chars > 400")
     names = {"en": "eng", "fr": "fra", "de": "deu", "es": "spa"}
