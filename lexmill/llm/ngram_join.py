@@ -8,10 +8,13 @@ Documents become sets of hashed five-word shingles; equal sets form one class, a
 2. The rest are ordered by frequency, rarest first. Two sets that link share an n-gram of their prefixes; classes that
    do form clusters (star edges to the smallest class of a posting, then connected components).
 3. Inside clusters, partial overlaps are counted fragment by fragment and summed per pair. All pairs are counted in
-   small clusters. A large cluster is first counted against its pivot, the class whose n-grams are the most common;
-   then the classes that the pivot does not reach are counted against all others of like size. No link that joins two
-   components is missed, and no pairs within a component are formed. Large clusters are salted over tasks in blocks
-   of members and probes, where sums stay in the task and only links that join components leave it.
+   small clusters. A large cluster is first counted against its pivot, the class whose n-grams are the most common,
+   which finds most components early; then all its classes are counted against all others of like size. Large clusters
+   are salted over tasks in blocks of members and probes, where overlaps are counted whole. The number of links of each
+   probe and the links that join components leave a block; the pairs themselves don't.
+
+Every link counts at every cluster size: n_links of `similar` is exact. `one_of_each` needs the components only, so there
+just the classes that the pivot does not reach are counted against the others.
 
 Hash values are 64 bits: two shingles or sets with equal values count as equal.
 
@@ -261,7 +264,8 @@ def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
 
 
 def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> DataFrame:
-    """Links (a, b, na, nb, o) between probes and members of their cluster that join components.
+    """Rows (a, b, k): links between probes and members of their cluster that join components, with null k; and for each
+    probe a and block of members the number k of its links, with null b. A probe meets each member once.
 
     Both: cluster, cls, n, comp, grams. Sizes that link lie in the same band or in neighbouring ones.
     """
@@ -281,7 +285,7 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
             mine, ask = [r for r in rows if not r[0]], [r for r in rows if r[0]]
             if not mine or not ask:
                 continue
-            cls, n = np.array([r[1] for r in mine], np.int64), np.array([r[2] for r in mine], np.int64)
+            cls, n, comps = (np.array([r[i] for r in mine], np.int64) for i in (1, 2, 3))
             grams = np.frombuffer(b"".join(r[4] for r in mine), np.uint64)
             owner = np.repeat(np.arange(len(mine)), [len(r[4]) // 8 for r in mine])
             order = np.argsort(grams, kind="stable")
@@ -303,22 +307,26 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
                 lengths = ends[k] - at[k]
                 flat = np.repeat(at[k] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
                 o = np.bincount(owner[flat], minlength=len(mine))
-                for i in np.flatnonzero(100 * o >= PERCENT * (size + n - o)).tolist():
-                    x, y = find(comp), find(mine[i][3])
+                found = np.flatnonzero((100 * o >= PERCENT * (size + n - o)) & (cls != c))
+                if not len(found):
+                    continue
+                out.append((c, None, len(found)))
+                # of the members that link, one of each component
+                for y, i in zip(*(v.tolist() for v in np.unique(comps[found], return_index=True)), strict=True):
+                    x, y = find(comp), find(y)
                     if x != y:
                         up[max(x, y)] = min(x, y)
-                        a, b = sorted(((c, size), (int(cls[i]), int(n[i]))))
-                        out.append((a[0], b[0], a[1], b[1], int(o[i])))
+                        out.append((c, int(cls[found[i]]), None))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b", "na", "nb", "o"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b", "k"])
 
     key = ["cluster", "band", "salt", "block"]
     dealt = m.select(*cols).union(p.select(*cols)).repartition(partitions, *key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, "a long, b long, na long, nb long, o long")
+    return dealt.mapInArrow(run, "a long, b long, k long")
 
 
-def class_links(docs: DataFrame) -> DataFrame:
-    """Links (a, b, na, nb, o) between classes: all in small clusters; in large ones enough to join every component."""
+def class_links(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) between classes, enough to join every component, and if counted, (cls, n_links) of each class that links."""
     spark = docs.sparkSession
     parts = width(spark)
     count = max(1, min(FRAGMENTS, docs.count() // DOCS_PER_FRAGMENT))
@@ -334,40 +342,49 @@ def class_links(docs: DataFrame) -> DataFrame:
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     state = near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("cluster"), "m").join(rest.drop("prefix"), "cls")
     state = stage(state, "join-clusters")
-    links = stage(_overlaps(state.where(F.col("m") <= SMALL), parts), "join-links")
+    links = stage(_overlaps(state.where(F.col("m") <= SMALL), parts).select("a", "b"), "join-links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("cls"), F.lit(1).cast("long").alias("k"))
 
     large = state.where(F.col("m") > SMALL).withColumn("comp", F.col("cls"))
     clusters = large.select("cluster").distinct().count()
-    if not clusters:
-        return links
-    hint = F.broadcast if clusters <= BROADCAST_ROWS // 100 else lambda x: x  # some rows for each cluster
-    pivot = hint(large.groupBy("cluster").agg(F.max(F.struct("score", "cls")).alias("w")).select("cluster", F.col("w.cls").alias("pivot")))
-    large = large.join(pivot, "cluster")
-    first = stage(_joined(large, large.where("cls = pivot"), parts, hint), "join-links")
-    comps = components(first.select("a", "b")).select(F.col("node").alias("cls"), F.col("root").alias("found"))
-    large = large.join(comps, "cls", "left").withColumn("comp", F.coalesce("found", "cls"))
-    large = stage(large.drop("found"), "join-large")
-    main = hint(large.where("cls = pivot").select("cluster", F.col("comp").alias("main")))
-    outside = large.join(main, "cluster").where("comp <> main")
-    return links.union(first).union(stage(_joined(large, outside, parts, hint), "join-links"))
-
-
-def _placed(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, hash, n, cls, keeper struct<id, hash>): keeper is the component's first document, null if n is 0."""
+    if clusters:
+        hint = F.broadcast if clusters <= BROADCAST_ROWS // 100 else lambda x: x  # some rows for each cluster
+        pivot = hint(large.groupBy("cluster").agg(F.max(F.struct("score", "cls")).alias("w")).select("cluster", F.col("w.cls").alias("pivot")))
+        large = large.join(pivot, "cluster")
+        first = stage(_joined(large, large.where("cls = pivot"), parts, hint), "join-links").where("b is not null").select("a", "b")
+        comps = components(first).select(F.col("node").alias("cls"), F.col("root").alias("found"))
+        large = large.join(comps, "cls", "left").withColumn("comp", F.coalesce("found", "cls"))
+        large = stage(large.drop("found"), "join-large")
+        main = hint(large.where("cls = pivot").select("cluster", F.col("comp").alias("main")))
+        probes = large if counted else large.join(main, "cluster").where("comp <> main")
+        rest = stage(_joined(large, probes, parts, hint), "join-links")
+        links = links.union(first).union(rest.where("b is not null").select("a", "b"))
+        ends = ends.union(rest.where("b is null").select(F.col("a").alias("cls"), "k"))
+    return links, stage(ends.groupBy("cls").agg(F.sum("k").alias("n_links")), "join-counts") if counted else None
+
+
+def _placed(docs: DataFrame, counted: bool = False) -> DataFrame:
+    """Rows (doc_id, hash, n, cls, keeper struct<id, hash>): keeper is the component's first document, null if n is 0;
+    and n_links of the class, if counted."""
     base = stage(classes(docs), "join-classes")
-    roots = components(class_links(docs).select("a", "b"))
+    links, counts = class_links(docs, counted)
+    roots = components(links)
     row = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "hash")
     first = base.where("n > 0").groupBy("cls").agg(F.min(row).alias("first"))
     named = first.join(roots, first["cls"] == roots["node"], "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
     lowest = named.groupBy("root").agg(F.min("first").alias("keeper"))
     named = named.join(lowest, "root").select("cls", "keeper")
+    if counts is not None:
+        named = named.join(counts, "cls", "left")
     return base.join(named, "cls", "left").withColumn("keeper", F.when(F.col("n") > 0, F.col("keeper")))
 
 
 def similar(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id."""
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id, and n_links,
+    the number of other classes that its class links with."""
     keeper = F.when(F.col("keeper.id") < _LAST, F.col("keeper.id"))
-    return _placed(docs).select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(keeper).alias("component_id"), F.col("cls").alias("class_id"))
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(keeper).alias("component_id")
+    return _placed(docs, counted=True).select("doc_id", F.col("n").alias("n_shingles"), component, F.col("cls").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -353,6 +353,23 @@ def test_ngram_join(docs, none, monkeypatch, small):
         assert ngram_join.similar(none).collect() == []
 
 
+@pytest.mark.parametrize("small", [48, 1])
+def test_ngram_join_counts_all_links(spark, docs, monkeypatch, small):
+    monkeypatch.setattr(ngram_join, "SMALL", small)
+    monkeypatch.setattr(ngram_join, "SALT", 7)
+    monkeypatch.setattr(ngram_join, "DOCS_PER_FRAGMENT", 9)
+    chain = []  # a cluster of 70 classes: each links with its next few, none with all
+    for k in range(70):
+        chain.append((1000 + k, " ".join(f"word{i}" for i in range(4 * k, 4 * k + 120))))
+    rows = [r[:2] for r in _rows()] + chain + [chain[5]]
+    sets = [_set(t) for _, t in rows]
+    distinct = set(sets) - {frozenset()}
+    links = {s: sum(t != s and 100 * len(s & t) >= 80 * len(s | t) for t in distinct) for s in distinct}
+    assert max(links.values()) > 2 and links[_set(chain[30][1])] == 6
+    got = _got(ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id", "n_links"))
+    assert _key(got) == _key((*r[:3], links.get(s, 0)) for r, s in zip(_components(rows), sets, strict=True))
+
+
 def test_one_of_each(docs):
     out = ngram_join.one_of_each(docs)
     assert out.columns == docs.columns
