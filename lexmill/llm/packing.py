@@ -2,7 +2,8 @@
 
 Documents become token pieces of at most one sequence. A packing needs only how many pieces there are of each length,
 which is a bounded table, so the search runs on counts: branch and bound in which each node takes the largest piece
-left, enumerates undominated fillings of the room beside it, and applies a filling as often as the counts allow.
+left, enumerates undominated fillings of the room beside it, of any number of pieces, and applies a filling as often as
+the counts allow, or half as often, and so on down to once. The search ends at the bound, when it is complete, or at a limit.
 Fillings whose waste, with that so far, can't beat the incumbent are pruned; best-fit decreasing completes each node to
 a new incumbent. The bound is the ceiling of all tokens over the capacity. The plan (patterns times multiplicity) is
 then laid over the pieces by their rank among those of equal length.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,10 +28,8 @@ from .bpe import blocks, packed_encoder
 from .common import ranked, stage
 
 CAPACITY = 2048
-#: Nodes that the search may visit before it returns its incumbent.
-NODES = 400
-#: Fillings tried at a node.
-BRANCHES = 4
+#: Nodes that the search may visit, and steps that its fillings may take, before it returns its incumbent.
+NODES, STEPS = 400, 3_000_000
 RANK_ROWS = 4000
 
 Pattern = tuple[int, ...]  # lengths in a sequence, largest first
@@ -72,52 +72,49 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pat
     return [x for same in open_.values() for x in same]
 
 
-def fillings(lengths: list[int], counts: dict[int, int], room: int, most_waste: int, limit: int = BRANCHES) -> list[tuple[int, Pattern]]:
-    """Undominated fillings of the room by increasing waste: (waste, lengths).
+def fillings(counts: dict[int, int], room: int, most_waste: int, tick: Callable[[], bool] = lambda: True) -> Iterator[tuple[int, Pattern]]:
+    """The fillings of the room of any number of pieces, by increasing waste up to most_waste: (waste, lengths).
 
-    lengths: those with counts, largest first. A filling is dominated if a larger piece could take the place of one of
-    its pieces, or of several, in the room they leave; so single pieces come first, then pairs, then triples, and a
-    filling is kept only if it wastes less than every filling with fewer pieces.
+    Left out are those to which a piece left over could be added, or in which one could take a smaller one's place: any
+    packing with such a filling can be changed to one without it. tick counts the steps; the search ends when it is false.
     """
-    fit = [x for x in lengths if x <= room and counts[x]]
-    if not fit:
-        return [(room, ())] if room <= most_waste else []
-    up = fit[::-1]
-    found: dict[Pattern, int] = {}
-
-    def largest(most: int) -> int:
-        at = bisect.bisect_right(up, most)
-        return up[at - 1] if at else 0
-
-    found[(fit[0],)] = room - fit[0]
-    least = room - fit[0]
-    for a in fit[:256]:
-        if not least:
-            break
-        b = largest(min(a, room - a))
-        if b and (b != a or counts[a] > 1):
-            waste = room - a - b
-            if waste < least or waste == 0:
-                found[a, b] = waste
-                least = min(least, waste)
-    for a in fit[:48]:
-        if not least:
-            break
-        for b in [x for x in fit if x <= min(a, room - a)][:48]:
-            if a == b and counts[a] < 2:
-                continue
-            c = largest(min(b, room - a - b))
-            if c and counts[c] >= 1 + (c == a) + (c == b):
-                waste = room - a - b - c
-                if waste < least:
-                    found[a, b, c] = waste
-                    least = waste
-    out = sorted(((w, p) for p, w in found.items()), key=lambda x: (x[0], len(x[1]), [-v for v in x[1]]))
-    # what a filling leaves may take smaller pieces still; that is left to best fit when a node is completed
-    return out[:limit]
-
-
-def pack_counts(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
+    sizes = sorted((x for x, n in counts.items() if n and x <= room), reverse=True)
+    mask = (1 << (room + 1)) - 1
+    reach = [1] * (len(sizes) + 1)  # bit k of reach[i]: pieces of sizes[i:] can add up to k
+    for i in range(len(sizes) - 1, -1, -1):
+        bits, left, part = reach[i + 1], min(counts[sizes[i]], room // sizes[i]), 1
+        while left:
+            part = min(part, left)
+            bits |= bits << part * sizes[i] & mask
+            left, part = left - part, 2 * part
+        reach[i] = bits
+
+    def chosen(i: int, todo: int, waste: int, above: int | None) -> Iterator[Pattern]:
+        """Pieces of sizes[i:] that add up to todo; above is the smallest larger size of which some are left over."""
+        for j in range(i, len(sizes)):
+            if not reach[j] >> todo & 1 or not tick():
+                return
+            x, n = sizes[j], counts[sizes[j]]
+            if x <= waste and n * x > todo:
+                return  # a piece left over would fit
+            if x <= todo and (above is None or above > x + waste):
+                for k in range(min(n, todo // x), 0, -1):
+                    if reach[j + 1] >> (todo - k * x) & 1 and (k == n or x > waste):
+                        for more in chosen(j + 1, todo - k * x, waste, above if k == n else x):
+                            yield (x,) * k + more
+            if x <= waste:
+                return
+            above = x
+        if not todo:
+            yield ()
+
+    for waste in range(min(room, most_waste) + 1):
+        if reach[0] >> (room - waste) & 1:
+            for filling in chosen(0, room - waste, waste, None):
+                yield waste, filling
+
+
+def pack_counts(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> list[tuple[Pattern, int]]:
     """A packing of pieces, given how many there are of each length, into few sequences: (pattern, how often)."""
     counts = {k: v for k, v in counts.items() if v}
     if not counts:
@@ -125,36 +122,47 @@ def pack_counts(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = N
     total = sum(k * v for k, v in counts.items())
     bound = -(-total // capacity)
     best = best_fit(counts, capacity)
-    size = lambda plan: sum(n for _, n in plan)
-    best_size, seen = size(best), 0
-    stack: list[tuple[dict[int, int], list[tuple[Pattern, int]], int]] = [(counts, [], 0)]
-    while stack and best_size > bound and seen < nodes:
-        left, plan, waste = stack.pop()
-        seen += 1
-        spare = capacity * (best_size - 1) - total - waste  # waste that a better packing may still have
-        if spare < 0 or not left:
-            continue
-        lengths = sorted(left, reverse=True)
-        top = lengths[0]
-        rest = dict(left)
-        rest[top] -= 1
-        nexts = []
-        for w, filling in fillings(lengths, rest, capacity - top, spare):
+    best_size = sum(n for _, n in best)
+    seen = taken = 0
+
+    def tick() -> bool:
+        nonlocal taken
+        taken += 1
+        return taken <= steps
+
+    def spare(waste: int) -> int:  # waste that a better packing may still have
+        return capacity * (best_size - 1) - total - waste
+
+    def nexts(left: dict[int, int], waste: int) -> Iterator[tuple[int, Pattern, int]]:
+        top = max(left)
+        for w, filling in fillings({**left, top: left[top] - 1}, capacity - top, spare(waste), tick):
             pattern = (top, *filling)
-            need = Counter(pattern)
-            times = min(left[k] // c for k, c in need.items())
-            if w:
-                times = max(1, min(times, spare // w))
-            if w * times > spare:
-                # the room left may still take smaller pieces: close the node by best fit only
-                continue
-            after = {k: v - need.get(k, 0) * times for k, v in left.items()}
-            nexts.append(({k: v for k, v in after.items() if v}, [*plan, (pattern, times)], waste + w * times))
-        stack += nexts[::-1]  # the least waste is searched first
-        if nexts:
-            done = [*nexts[0][1], *best_fit(nexts[0][0], capacity)]
-            if (s := size(done)) < best_size:
-                best, best_size = done, s
+            times = min(left[k] // c for k, c in Counter(pattern).items())
+            while times:
+                yield w, pattern, times
+                times //= 2
+
+    stack = [(counts, [], 0, nexts(counts, 0))] if best_size > bound else []
+    while stack and best_size > bound and seen < nodes and taken <= steps:
+        left, plan, waste, todo = stack[-1]
+        found = next(todo, None)
+        if found is None or found[0] > spare(waste):  # the others waste no less
+            stack.pop()
+            continue
+        w, pattern, times = found
+        waste += w * times
+        if spare(waste) < 0:
+            continue
+        seen += 1
+        need = Counter(pattern)
+        after = {k: v for k, v in ((k, v - need[k] * times) for k, v in left.items()) if v}
+        plan = [*plan, (pattern, times)]
+        # no piece left fits into the sequences of the plan
+        done = [*plan, *best_fit(after, capacity)]
+        if (s := sum(n for _, n in done)) < best_size:
+            best, best_size = done, s
+        if after:
+            stack.append((after, plan, waste, nexts(after, waste)))
     return best
 
 

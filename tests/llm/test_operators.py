@@ -126,6 +126,20 @@ def test_bin_completion_beats_best_fit():
     assert sum(n for _, n in packing.pack_counts(hard, 10)) == 6
 
 
+@pytest.mark.parametrize("seed", [4, 7, 9, 10])
+def test_bin_completion_combines_many_pieces(seed):
+    r, counts, bins = random.Random(seed), Counter(), 4 + seed % 3
+    for _ in range(bins):  # full bins of six pieces each
+        cuts = sorted(r.sample(range(1, 100), 5))
+        counts.update(b - a for a, b in zip([0, *cuts], [*cuts, 100], strict=True))
+    plan = packing.pack_counts(counts, 100)
+    used = Counter()
+    for pattern, n in plan:
+        assert sum(pattern) <= 100
+        used.update(pattern * n)
+    assert used == counts and sum(n for _, n in plan) == bins < sum(n for _, n in packing.best_fit(counts, 100))
+
+
 def test_packing(docs, none, library):
     got = packing.best_fit_pack(docs, vocabulary(), keep_ids=True).toPandas()
     want = []
