@@ -458,3 +458,12 @@ def test_sharding_keeps_groups_together(spark):
     where = got[got.doc_id < 200].groupby(got.doc_id % 50).shard.nunique()
     assert (where == 1).mean() > 0.9  # few groups are cut
     assert got[got.doc_id >= 2000].shard.nunique() <= 8
+
+
+def test_sharding_keeps_pairs_together_where_every_row_has_a_copy(spark):
+    rows = [(k, f"pair {k // 2}") for k in range(6000)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 10).toPandas()
+    assert set(got.groupby("shard").size()) == {600}
+    apart = (got.groupby(got.doc_id // 2).shard.nunique() > 1).mean()
+    print("pairs apart", apart)
+    assert apart < 0.05
