@@ -16,28 +16,25 @@ import hashlib
 import json
 import os
 import re
-import struct
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer
-
-#: White space by Unicode's White_Space property.
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
-#: Characters that str.split() takes as white space and the tokenizer doesn't.
-NOT_WHITE = re.compile("[\x1c-\x1f]")
-#: Entries of the cache of encoded chunks, per Python worker (about 200 bytes each). Later chunks are encoded anew in
-#: each block: frequent ones are met early and stay.
-CACHE = 800_000
-#: Code points encoded together.
-BLOCK = 2_000_000
+from tokenizers import Tokenizer, pre_tokenizers
+
+from .words import blocks, gathered, spelled
+
+#: Pairs of tokens of which it is remembered, per Python worker, whether they may stand side by side.
+PAIRS = 300_000
 END = "</w>"
+#: ASCII punctuation without the apostrophe, which may belong to the letters before it.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def byte_symbols() -> dict[str, int]:
@@ -78,7 +75,7 @@ class WordBPE:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
+        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
         self.split_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
 
     def spine(self, token: int, right: bool) -> list[tuple[int, int, int]]:
@@ -106,7 +103,7 @@ class WordBPE:
                     # equal ranks: the leftmost pair merges first
                     if r is not None and r < used_x and r <= used_y and made_x < used_y and made_y < used_x:
                         known = False
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             self.fits[key] = known
         return known
@@ -146,7 +143,7 @@ class WordBPE:
         return out
 
     def words_of(self, chunk: str) -> list[str | int]:
-        """Words (one character per byte) and ids of special tokens in a chunk without white space."""
+        """Words (one character per byte) and ids of special tokens in a chunk."""
         if "<|" in chunk and self.split_special and self.split_special.search(chunk):
             out, at = [], 0
             for m in self.split_special.finditer(chunk):
@@ -169,103 +166,104 @@ class WordBPE:
         return " ".join(self.tokens[int(i)] for i in ids)
 
 
-class Cache(dict):
-    """Renderings of chunks; what it doesn't hold is looked up in `rest`, which lasts for a block."""
-
-    def __init__(self):
-        super().__init__()
-        self.rest: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.rest[chunk]
-
-
 class TextEncoder:
-    """Texts to the joined renderings of their tokens. renders: (ids -> bytes, separator) each.
+    """Texts to the token ids of their words between white space, each distinct word encoded once a block.
 
-    No token crosses white space, so chunks between white space are encoded once and looked up. New chunks are encoded
-    by the trie, or by the tokenizers library itself (`library`).
+    No token crosses white space, so a text's ids are those of its words in turn. Words are encoded by the trie, or by
+    the tokenizers library itself (`library`).
     """
 
-    def __init__(self, path: str, renders: list[tuple[Callable[[WordBPE, list[int]], bytes], bytes]], library: bool = False):
-        self.bpe, self.renders = WordBPE(path), renders
-        self.caches = [Cache() for _ in renders]
+    def __init__(self, path: str, library: bool = False):
+        self.bpe = WordBPE(path)
         self.library = self.bpe.library if library else None
-
-    def learn(self, chunks: list[str]) -> Iterator:
-        """The ids of each chunk: lists from the trie, arrays from the library."""
-        if self.library:
-            # a special token between chunks marks where their ids end; chunks that might hold one go alone
-            mark, mark_id = next(iter(self.bpe.special.items()))
-            plain = [c for c in chunks if "<|" not in c]
-            joined = [mark.join(plain[i : i + 1000]) + mark for i in range(0, len(plain), 1000)]
-            found = self.library.encode_batch_fast(joined, add_special_tokens=False)
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in found]) if found else np.zeros(0, "<u4")
-            ends = iter(np.flatnonzero(ids == mark_id).tolist())
-            start = 0
-            for c in chunks:
-                if "<|" in c:
-                    yield np.array(self.library.encode(c, add_special_tokens=False).ids, "<u4")
-                else:
-                    end = next(ends)
-                    yield ids[start:end]
-                    start = end + 1
-            return
-        bpe = self.bpe
-        parts = [bpe.words_of(c) for c in chunks]
-        words = bpe.encode_words({w for p in parts for w in p if w.__class__ is str})
-        for p in parts:
-            yield [i for w in p for i in (words[w] if w.__class__ is str else (w,))]
-
-    def block(self, texts: list[str]) -> list[list[bytes]]:
-        """For each render, the renderings of all texts."""
-        split = [([c for c in WHITE.split(t) if c] if NOT_WHITE.search(t) else t.split()) for t in texts]
-        known = self.caches[0]
-        new = [*set(chain.from_iterable(split)).difference(known)]
-        full = len(known) >= CACHE
-        for c, ids in zip(new, self.learn(new), strict=True):
-            for cache, (render, _) in zip(self.caches, self.renders, strict=True):
-                (cache.rest if full else cache)[c] = render(self.bpe, ids)
-        out = [[sep.join(map(cache.__getitem__, s)) for s in split] for cache, (_, sep) in zip(self.caches, self.renders, strict=True)]
-        for cache in self.caches:
-            cache.rest = {}
-        return out
-
-
-def blocks(texts: list[str | None], size: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `size` code points together."""
-    start = total = 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
-        if total >= size:
-            yield start, i + 1
-            start, total = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def _packed(_: WordBPE, ids) -> bytes:
-    return ids.tobytes() if isinstance(ids, np.ndarray) else struct.pack(f"<{len(ids)}I", *ids)
-
-
-def _decimal(_: WordBPE, ids: list[int]) -> bytes:
-    return " ".join(map(str, map(int, ids))).encode()
-
-
-def _decoded(bpe: WordBPE, ids: list[int]) -> bytes:
-    return bpe.decode(ids).encode()
-
-
-@lru_cache(4)
-def packed_encoder(path: str, library: bool = True) -> TextEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids. Kept, with its cache, for the next tasks of a worker."""
-    return TextEncoder(path, [(_packed, b"")], library)
-
-
-@lru_cache(4)
-def text_encoder(path: str) -> TextEncoder:
-    """Encodes texts to decimal ids and to decoded texts. Kept, with its cache, for the next tasks of a worker."""
-    return TextEncoder(path, [(_decimal, b" "), (_decoded, b" ")])
+        self.split = Tokenizer(self.bpe.library.model)  # words that are pieces already, between spaces
+        self.split.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.before: tuple[dict[str, int], np.ndarray, np.ndarray] = {}, np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        top = max(self.bpe.tokens) + 1
+        self.ends = np.zeros(top, bool)  # tokens that end a piece of a word
+        self.ends[list(self.bpe.final.values())] = True
+        self.contents = pa.array([self.bpe.tokens.get(i, "") for i in range(top)], pa.large_string())
+        self.numbers = pa.array([str(i) for i in range(top)], pa.large_string())
+
+    def learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids): how many ids each distinct chunk has, and all of them in turn. Chunks of the block before are known."""
+        index, sizes, flat = self.before
+        known = np.fromiter(map(index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new_sizes, new_flat = self.encode([chunks[k] for k in np.flatnonzero(known < 0).tolist()])
+        known[known < 0] = len(sizes) + np.arange(len(new_sizes))
+        sizes = np.r_[sizes, new_sizes]
+        flat = gathered(known, sizes, np.r_[flat, new_flat])
+        self.before = {c: k for k, c in enumerate(chunks)}, sizes[known], flat
+        return sizes[known], flat
+
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not chunks:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if not self.library:
+            parts = [self.bpe.words_of(c) for c in chunks]
+            words = self.bpe.encode_words({w for p in parts for w in p if w.__class__ is str})
+            ids = [[i for w in p for i in (words[w] if w.__class__ is str else (w,))] for p in parts]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        # letters of Latin-1 are one piece, punctuation behind them another; each ends with the one token that may end it,
+        # and only they need no normalizer. Others are cut by a special token put between them; those that might hold
+        # one go alone.
+        bare = [c.rstrip(PUNCTUATION) for c in chunks]
+        plain = [b.isalpha() and (b.isascii() or max(b) < "\u0100") for b in bare]
+        kinds = np.array([2 if "<|" in c else 0 if p else 1 for c, p in zip(chunks, plain, strict=True)], np.int8)
+        order = np.argsort(kinds, kind="stable")
+        bound = np.searchsorted(kinds[order], [1, 2]).tolist()
+        first, others, alone = (x.tolist() for x in np.split(order, bound))
+        mark, mark_id = next(iter(self.bpe.special.items()))
+
+        pieces = np.fromiter((1 + (len(bare[k]) < len(chunks[k])) for k in first), np.int64, len(first))
+        words = [bare[k].lower() if n == 1 else f"{bare[k].lower()} {chunks[k][len(bare[k]):]}" for k, n in zip(first, pieces.tolist(), strict=True)]
+        flat = self._ids(self.split, [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)])
+        ends = np.flatnonzero(self.ends[flat])
+        if len(ends) != pieces.sum():
+            raise ValueError("the vocabulary's pieces can't be told apart")
+        sizes, ids = [np.diff(ends[np.cumsum(pieces) - 1], prepend=-1)], [flat]
+
+        flat = self._ids(self.library, [mark.join(chunks[k] for k in others[i : i + 1000]) + mark for i in range(0, len(others), 1000)])
+        ends = np.flatnonzero(flat == mark_id)
+        sizes.append(np.diff(ends, prepend=-1) - 1)
+        ids.append(np.delete(flat, ends))
+        for k in alone:
+            ids.append(self._ids(self.library, [chunks[k]]))
+            sizes.append(np.array([len(ids[-1])]))
+        size, back = np.concatenate(sizes), np.empty(len(chunks), np.int64)
+        back[order] = np.arange(len(chunks))
+        return size[back], gathered(back, size, np.concatenate(ids))
+
+    @staticmethod
+    def _ids(encoder: Tokenizer, texts: list[str]) -> np.ndarray:
+        parts = [np.zeros(0, np.uint32)]
+        for k in range(0, len(texts), 20):  # an encoding takes many times the memory of its ids
+            parts += [np.array(e.ids, np.uint32) for e in encoder.encode_batch_fast(texts[k : k + 20], add_special_tokens=False)]
+        return np.concatenate(parts)
+
+    def block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
+        offsets, index, words = spelled(texts)
+        sizes, flat = self.learn(words.to_pylist())
+        return np.r_[0, np.cumsum(sizes[index])][offsets], gathered(index, sizes, flat)
+
+    def joined(self, table: pa.Array, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+        """The entries of a table by id, joined by one space for each text."""
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), table.take(pa.array(ids))), pa.scalar(" ", table.type))
+
+
+@lru_cache(2)
+def text_encoder(path: str, library: bool = False) -> TextEncoder:
+    """Kept for the next tasks of a worker: the vocabulary, what joins its tokens, and the words of one block."""
+    return TextEncoder(path, library)
+
+
+def slices(texts: pa.Array) -> Iterator[memoryview]:
+    """The bytes of a large string array's values, not copied."""
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    raw = memoryview(texts.buffers()[2] or b"")
+    return (raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
 
 
 def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
@@ -275,18 +273,14 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     def run(batches):
         enc = text_encoder(path)
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts):
-                # chunks have at least one token each, so joined renderings hold no empty parts
-                numbers, words = enc.block(texts[a:b])
-                cols = [
-                    ids.slice(a, b - a),
-                    pa.array([x.count(b" ") + 1 if x else 0 for x in numbers], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in numbers]),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in words]),
-                ]
+            for a, b in blocks(batch.column(1)):
+                offsets, ids = enc.block(batch.column(1).slice(a, b - a))
+                numbers, words = enc.joined(enc.numbers, offsets, ids), enc.joined(enc.contents, offsets, ids)
+                sha = [pa.array([hashlib.sha256(x).hexdigest() for x in slices(t)], pa.string()) for t in (numbers, words)]
+                cols = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets), pa.int64()), *sha]
                 if keep_ids:
-                    cols += [pa.array([np.array(x.split(), "<u4").tobytes() for x in numbers], pa.binary()), pa.array([x.decode() for x in words])]
+                    raw = ids.astype("<u4").tobytes()
+                    cols += [pa.array([raw[4 * x : 4 * y] for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()), words.cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
 
     out_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + ([("ids", pa.binary()), ("decoded", pa.string())] if keep_ids else []))

@@ -20,12 +20,14 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import blocks, packed_encoder
+from .bpe import text_encoder
 from .common import ranked, stage
+from .words import blocks
 
 CAPACITY = 2048
 #: Nodes that the search may visit, and steps that its fillings may take, before it returns its incumbent.
@@ -187,17 +189,21 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + ([("ids", pa.binary())] if keep_ids else [])
 
     def run(batches):
-        enc, out_schema = packed_encoder(path), pa.schema(fields)
+        enc, out_schema = text_encoder(path, library=True), pa.schema(fields)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts):
-                rows = []
-                for key, ids in zip(keys[a:b], enc.block(texts[a:b])[0], strict=True):
-                    ids += bytes(4)  # id 0 closes a document
-                    for k in range(0, len(ids), 4 * capacity):
-                        part = ids[k : k + 4 * capacity]
-                        rows.append((key, k // (4 * capacity), k // 4, len(part) // 4, zlib.crc32(part), part))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=False)], schema=out_schema)
+            for a, b in blocks(batch.column(1)):
+                offsets, ids = enc.block(batch.column(1).slice(a, b - a))
+                ids = np.insert(ids, offsets[1:], 0).astype("<u4")  # id 0 closes a document
+                n = np.diff(offsets) + 1
+                count = -(-n // capacity)
+                of = np.repeat(np.arange(len(n)), count)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                length = np.minimum(capacity, n[of] - start)
+                raw, at = memoryview(ids.tobytes()), 4 * np.r_[0, np.cumsum(length)]
+                parts = [raw[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                cols = [batch.column(0).slice(a, b - a).take(pa.array(of)), piece, start, length, [*map(zlib.crc32, parts)]] + ([[*map(bytes, parts)]] if keep_ids else [])
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(cols, fields, strict=True)], schema=out_schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
