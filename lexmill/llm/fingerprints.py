@@ -16,18 +16,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import stage, width
-from .shingles import shingler
+from .common import width
+from .shingles import shingled
+from .words import blocks
 
 K = 128
 #: Documents in a stretch of consecutive ids, about; a stretch is streamed, never held.
 STRETCH = 200
-#: Stretches at most, so that the table of their edges is bounded.
+#: Stretches of ids at most (and of nulls, and of repeated ids), so that the table of their edges is bounded.
 STRETCHES = 20_000
 _SCALE = float(1 << 48)
 
@@ -77,32 +78,72 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     """Rows (doc_id, n_chars, fingerprint, n_distinct)."""
 
     def run(batches):
-        shingle = shingler()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [sketch(shingle(t), k) for t in texts]
+            found = [sketch(h, k) for h in shingled(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array([write(s) for s in found], pa.string()), pa.array([distinct(s, k) for s in found], pa.float64())],
+                [batch.column(0), pc.fill_null(pc.utf8_length(batch.column(1)), 0).cast(pa.int64()), pa.array([write(s) for s in found], pa.string()), pa.array([distinct(s, k) for s in found], pa.float64())],
                 names=["doc_id", "n_chars", "fingerprint", "n_distinct"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, fingerprint string, n_distinct double")
 
 
-def _zipped(docs: DataFrame) -> DataFrame:
-    """docs with the text as zstd bytes: texts are shuffled once, at under half their size."""
+class Stretches:
+    """Consecutive stretches of rows in the order (doc_id descending, nulls last; digest), of about equal numbers.
+
+    Cuts are approximate quantiles of the ids. An id that fills several stretches, and the rows without an id, are cut by
+    their digests.
+    """
+
+    def __init__(self, docs: DataFrame):
+        n, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+        want = max(1, min(STRETCHES, known // STRETCH))
+        at = [k / want for k in range(1, want)]
+        found = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, at)), max(10_000, 4 * want))).first()[0] if at and known else []
+        self.cuts, times = np.unique(np.array(found or [], np.int64), return_counts=True)
+        size = np.ones(2 * len(self.cuts) + 1, np.int64)  # ascending: below a cut or equal, the cut alone if repeated
+        size[1::2] = np.where(times > 1, times, 0)
+        size = np.r_[max(1, min(STRETCHES, (n - known) // STRETCH)), size]  # nulls come before the smallest
+        self.first = np.r_[np.cumsum(size[::-1])[::-1][1:], 0]  # descending
+        self.size, self.count = size, int(size.sum())
+
+    def of(self, ids: pa.Array, digests: list[str]) -> np.ndarray:
+        x = ids.fill_null(0).to_numpy()
+        k = np.searchsorted(self.cuts, x)
+        region = 1 + 2 * k
+        alone = (k < len(self.cuts)) & (self.cuts[np.minimum(k, len(self.cuts) - 1)] == x) & (self.size[np.minimum(region + 1, len(self.size) - 1)] > 1) if len(self.cuts) else np.zeros(len(x), bool)
+        region = np.where(ids.is_valid().to_numpy(zero_copy_only=False), region + alone, 0)
+        turn = np.array([int(d[:8], 16) for d in digests], np.int64)
+        return self.first[region] + (turn * self.size[region] >> 32)
+
+
+def _order(ids: list[int | None], digests: list[str]) -> list[tuple]:
+    return [(i is None, 0 if i is None else -i, d) for i, d in zip(ids, digests, strict=True)]
+
+
+def _edges(docs: DataFrame, stretches: Stretches) -> dict[tuple, int]:
+    """The first row (doc_id, digest) of each stretch -> the stretch before it (the last, for the first one)."""
 
     def run(batches):
-        z = zstandard.ZstdCompressor(level=3)
+        low: dict[int, tuple] = {}
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([z.compress((t or "").encode()) for t in batch.columns[-1].to_pylist()], pa.binary())],
-                names=batch.schema.names,
-            )
+            ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for p, o, i in zip(stretches.of(batch.column(0), digests).tolist(), _order(ids, digests), ids, strict=True):
+                if p not in low or o < low[p][0]:
+                    low[p] = (o, i)
+        rows = [(p, i, o[2]) for p, (o, i) in low.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)], names=["part", "doc_id", "digest"])
+
+    firsts = docs.select("doc_id", _digest()).mapInArrow(run, "part long, doc_id long, digest string")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "digest", "doc_id")
+    found = firsts.groupBy("part").agg(F.min(row).alias("r")).select("part", "r.doc_id", "r.digest").collect()  # at most three times STRETCHES rows
+    found.sort(key=lambda r: r["part"])
+    return {(r["doc_id"], r["digest"]): found[k - 1]["part"] for k, r in enumerate(found)}
 
-    schema = docs.schema
-    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields[:-1])
-    return docs.mapInArrow(run, f"{head}, {schema.fields[-1].name} binary")
+
+def _digest():
+    return F.md5(F.coalesce("text", F.lit(""))).alias("digest")
 
 
 def edited(docs: DataFrame, k: int = K) -> DataFrame:
@@ -110,57 +151,60 @@ def edited(docs: DataFrame, k: int = K) -> DataFrame:
 
     The edited text has its last third (floor of a third of the code points) replaced by the first as many of the next
     document. Rows are dealt into stretches of consecutive ids; each stretch is streamed in order, and its last row
-    finds the next document as a second copy of the next stretch's first row.
+    finds the next document as a second copy of the next stretch's first row. Texts are shuffled once, compressed.
     """
-    ids = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    parts = max(1, min(STRETCHES, ids["n"] // STRETCH))
-    lo, hi = ids["lo"] or 0, ids["hi"] or 0
-    span = hi - lo + 1
-    stretch = F.coalesce(F.floor((F.lit(hi) - F.col("doc_id")) / F.lit(-(-span // parts))), F.lit(parts)).cast("int")
-    edges = docs.select(stretch.alias("part"), "doc_id").groupBy("part").agg(F.max("doc_id").alias("doc_id"))
-    turn = Window.orderBy("part")  # at most STRETCHES + 1 rows
-    edges = stage(edges.select("part", "doc_id", F.lag("part").over(turn).alias("before"), F.max("part").over(Window.partitionBy()).alias("end")), "fingerprint-edges")
-    edges = edges.select(F.col("part").alias("at"), F.col("doc_id").alias("first"), F.coalesce("before", "end").alias("before"))
-
-    rows = docs.select(stretch.alias("part"), "doc_id", "text")
-    rows = rows.join(F.broadcast(edges), (F.col("part") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first")), "left")
-    rows = rows.withColumn("second", F.explode(F.when(F.col("at").isNotNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    rows = rows.select(F.when(F.col("second") == 1, F.col("before")).otherwise(F.col("part")).alias("part"), "second", "doc_id", "text")
-    order = ["part", "second", F.desc_nulls_last("doc_id"), F.md5("text")]
-    dealt = _zipped(rows).repartition(min(parts + 1, 4 * width(docs.sparkSession)), "part").sortWithinPartitions(*order)
+    stretches = Stretches(docs)
+    edges = docs.sparkSession.sparkContext.broadcast(_edges(docs, stretches))
+
+    def deal(batches):
+        z, sent = zstandard.ZstdCompressor(level=3), set()
+        for batch in batches:
+            ids, digests = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in blocks(batch.column(2)):
+                rows = []
+                parts = stretches.of(batch.column(0).slice(a, b - a), digests[a:b]).tolist()
+                for p, i, d, t in zip(parts, ids[a:b], digests[a:b], batch.column(2).slice(a, b - a).to_pylist(), strict=True):
+                    raw = z.compress((t or "").encode())
+                    rows.append((p, 0, i, d, raw))
+                    before = edges.value.get((i, d))
+                    if before is not None and (i, d) not in sent:
+                        sent.add((i, d))
+                        rows.append((before, 1, i, d, raw))
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["part", "second", "doc_id", "digest", "text"])
+
+    rows = docs.select("doc_id", _digest(), "text").mapInArrow(deal, "part long, second int, doc_id long, digest string, text binary")
+    order = ["part", "second", F.desc_nulls_last("doc_id"), "digest"]
+    dealt = rows.repartition(min(stretches.count, max(4 * width(docs.sparkSession), stretches.count // 100)), "part").sortWithinPartitions(*order)
+
+    def paired(held):
+        """The results of rows (part, second, key, text), each with the one after it in its part."""
+        sketches = [sketch(h, k) for h in shingled(pa.array([r[3] for r in held], pa.string()))]
+        found = []
+        for j in range(len(held) - 1):
+            (part, second, key, text), (part2, _, _, after) = held[j], held[j + 1]
+            if part == part2 and not second:
+                cut = len(text) // 3
+                found.append((key, text, text[: len(text) - cut] + after[:cut], sketches[j], sketches[j + 1]))
+        edits = [sketch(h, k) for h in shingled(pa.array([r[2] for r in found], pa.string()))]
+        out = [(key, len(text), hashlib.sha256(new.encode()).hexdigest(), write(s), write(e), resemblance(s, e, k), resemblance(s, nxt, k)) for (key, text, new, s, nxt), e in zip(found, edits, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True) if out else [[]] * len(fields), fields, strict=True)], schema=pa.schema(fields))
 
     def run(batches):
-        shingle, unzip = shingler(), zstandard.ZstdDecompressor()
-        out, held, size = [], None, 0
-
-        def pair(cur, nxt):
-            """cur, nxt: (doc_id, text, sketch)."""
-            key, text, s = cur
-            n = len(text)
-            cut = n // 3
-            new = text[: n - cut] + nxt[1][:cut]
-            e = s if new == text else sketch(shingle(new), k)
-            return (key, n, hashlib.sha256(new.encode()).hexdigest(), write(s), write(e), resemblance(s, e, k), resemblance(s, nxt[2], k))
-
-        def full(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], schema=pa.schema(fields))
-
-        skip = None
+        unzip = zstandard.ZstdDecompressor()
+        held, size = [], 0
         for batch in batches:
-            for part, second, key, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if second and skip == part:
-                    continue  # a repeated doc_id at the edge: the first in order counts
-                text = unzip.decompress(z).decode()
-                cur = (key, text, sketch(shingle(text), k))
-                if held and held[0] == part:
-                    out.append(pair(held[1], cur))
-                    size += 1
-                held, skip = (None, part) if second else ((part, cur), None)
-                if size >= 500:
-                    yield full(out)
-                    out, size = [], 0
-        if out:
-            yield full(out)
+            for part, second, key, _, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if second and held and held[-1][:2] == (part, 1):
+                    continue  # sent by several tasks
+                held.append((part, second, key, unzip.decompress(z).decode()))
+                size += len(held[-1][3])
+                if len(held) > 500 or size > 4_000_000:
+                    yield paired(held)
+                    held = held[-1:]
+                    size = len(held[0][3])
+        if held:
+            yield paired(held)
 
     fields = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
     return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -10,8 +10,9 @@ Documents become sets of hashed five-word shingles; equal sets form one class, a
 3. Inside clusters, partial overlaps are counted fragment by fragment and summed per pair. All pairs are counted in
    small clusters. A large cluster is first counted against its pivot, the class whose n-grams are the most common,
    which finds most components early; then all its classes are counted against all others of like size. Large clusters
-   are salted over tasks in blocks of members and probes, where overlaps are counted whole. The number of links of each
-   probe and the links that join components leave a block; the pairs themselves don't.
+   are salted over tasks in blocks of members and probes; a block goes through the fragments, sums the partial overlaps
+   per pair and stops where the rest can't make a link. The number of links of each probe and the links that join
+   components leave a block; the pairs themselves don't.
 
 Every link counts at every cluster size: n_links of `similar` is exact. `one_of_each` needs the components only, so there
 just the classes that the pivot does not reach are counted against the others.
@@ -32,17 +33,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, stage, width
-from .shingles import Shingler
+from .shingles import shingled
 
 PERCENT = 80
 #: Documents per fragment of the order, about, and the most fragments.
 DOCS_PER_FRAGMENT, FRAGMENTS = 4000, 1 << 20
+#: Partitions of a shuffle by fragment, at most; beyond, a partition has several fragments, one after the other.
+PARTITIONS = 20_000
 #: Shingles that a map task holds before it sends them.
 BLOCK = 2_000_000
 #: Clusters up to this size have all their pairs counted; larger ones are counted against pivots.
 SMALL = 48
 #: Fragments in which overlaps are counted; members, and probes, of a large cluster per task.
-VERTICAL, SALT = 4, 1000
+VERTICAL, SALT = 4, 500
 #: Up to so many keys (16 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 _LAST = (1 << 63) - 1
@@ -52,49 +55,42 @@ def _class_of(h: np.ndarray) -> int:
     return int(np.array(xxhash.xxh3_64_intdigest(h.tobytes()), np.uint64).view(np.int64))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, hash, n, cls): hash of the text, size and digest of the set of shingles."""
-
-    def run(batches):
-        shingle = Shingler()
-        for batch in batches:
-            sets = [shingle(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([len(h) for h in sets], pa.int64()), pa.array([_class_of(h) for h in sets], pa.int64())], names=["doc_id", "hash", "n", "cls"]
-            )
-
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, "doc_id long, hash long, n long, cls long")
+_FRAGMENTS = "frag int, kind int, cls binary, n binary, k binary, grams binary"
 
 
 def _fragments(docs: DataFrame, count: int) -> DataFrame:
-    """Rows (frag, cls, n, k, grams): for the classes of a block, arrays as bytes; k grams of each in the fragment."""
+    """Kind 0: the classes of a block in a fragment, arrays as bytes; k grams of each lie in it. Kind 1: the documents of
+    a batch, with classes, sizes of sets, hashes of texts, and ids followed by marks of those that are not null."""
     bounds = np.array([(i << 64) // count for i in range(1, count)], np.uint64)
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+
+    def rows_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in _FRAGMENTS.split(", ")])
+
+    def sent(cls, sets):
+        grams = np.concatenate(sets)
+        sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        frag = np.searchsorted(bounds, grams, "right")
+        order = np.argsort(frag, kind="stable")
+        frag, grams, owner = frag[order], grams[order], owner[order]
+        ids = np.array(cls, np.int64)
+        cuts = np.flatnonzero(np.r_[True, frag[1:] != frag[:-1], True])
+        rows = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            who, k = np.unique(owner[a:b], return_counts=True)
+            rows.append((int(frag[a]), 0, ids[who].tobytes(), sizes[who].astype(np.int32).tobytes(), k.astype(np.int32).tobytes(), grams[a:b].tobytes()))
+        return rows_of(rows)
 
     def run(batches):
-        shingle = Shingler()
         done: set[int] = set()  # classes already sent by this task
-
-        def sent(cls, sets):
-            grams = np.concatenate(sets)
-            sizes = np.array([len(s) for s in sets])
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            frag = np.searchsorted(bounds, grams, "right")
-            order = np.argsort(frag, kind="stable")
-            frag, grams, owner = frag[order], grams[order], owner[order]
-            ids = np.array(cls, np.int64)
-            cuts = np.flatnonzero(np.r_[True, frag[1:] != frag[:-1], True])
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                who, k = np.unique(owner[a:b], return_counts=True)
-                rows.append((int(frag[a]), ids[who].tobytes(), sizes[who].astype(np.int32).tobytes(), k.astype(np.int32).tobytes(), grams[a:b].tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["frag", "cls", "n", "k", "grams"])
-
-        types = [pa.int32(), *[pa.binary()] * 4]
         cls, sets, held = [], [], 0
-        for batch in batches:
-            for t in batch.column(0):
-                h = shingle(t.as_py())
+        for turn, batch in enumerate(batches):
+            all_cls, all_n = [], []
+            for h in shingled(batch.column(2)):
                 c = _class_of(h)
+                all_cls.append(c)
+                all_n.append(len(h))
                 if not len(h) or c in done:
                     continue
                 if len(done) < 1_000_000:
@@ -105,10 +101,14 @@ def _fragments(docs: DataFrame, count: int) -> DataFrame:
                 if held >= BLOCK:
                     yield sent(cls, sets)
                     cls, sets, held = [], [], 0
+            if all_cls:
+                ids, there = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                hashes = batch.column(1).to_numpy()
+                yield rows_of([((all_cls[0] + turn) % count, 1, np.array(all_cls, np.int64).tobytes(), np.array(all_n, np.int32).tobytes(), hashes.tobytes(), ids.tobytes() + there.tobytes())])
         if sets:
             yield sent(cls, sets)
 
-    return docs.select("text").mapInArrow(run, "frag int, cls binary, n binary, k binary, grams binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, _FRAGMENTS)
 
 
 def _arrays(parts: list[tuple], kinds: tuple) -> list[np.ndarray]:
@@ -130,10 +130,22 @@ def _groups(batches, key: int = 1):
 
 
 def _shared(fragments: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, cls, n, k, grams, often): n-grams of two classes or more, dealt by class; often is log2 of the frequency."""
+    """Rows (bucket, kind, cls, n, k, grams, often): n-grams of two classes or more, dealt by class; often is log2 of the
+    frequency. Rows of documents (kind 1) pass."""
+
+    def rows_of(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.int32(), *[pa.binary()] * 5], strict=True)], names=["bucket", "kind", "cls", "n", "k", "grams", "often"]
+        )
 
     def run(batches):
-        for _, parts in _groups(batches):
+        for (frag,), found in _groups(batches):
+            for x in found:
+                if x[0]:
+                    yield rows_of([(frag % buckets, *x, b"")])
+            parts = [x[1:] for x in found if not x[0]]
+            if not parts:
+                continue
             cls, n, k, grams = _arrays(parts, (np.int64, np.int32, np.int32, np.uint64))
             ids, first = np.unique(cls, return_index=True)  # a class that two tasks sent counts once
             once = np.zeros(len(cls), bool)
@@ -158,20 +170,27 @@ def _shared(fragments: DataFrame, buckets: int) -> DataFrame:
             rows = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 who, m = np.unique(o[a:b], return_counts=True)
-                rows.append((int(place[a]), ids[who].tobytes(), n[who].tobytes(), m.astype(np.int32).tobytes(), g[a:b].tobytes(), often[a:b].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 5], strict=True)], names=["bucket", "cls", "n", "k", "grams", "often"]
-            )
+                rows.append((int(place[a]), 0, ids[who].tobytes(), n[who].tobytes(), m.astype(np.int32).tobytes(), g[a:b].tobytes(), often[a:b].tobytes()))
+            yield rows_of(rows)
 
-    return fragments.mapInArrow(run, "bucket int, cls binary, n binary, k binary, grams binary, often binary")
+    return fragments.mapInArrow(run, "bucket int, kind int, cls binary, n binary, k binary, grams binary, often binary")
 
 
 def _survivors(shared: DataFrame) -> DataFrame:
     """Rows (cls, n, score, grams, prefix): classes of which enough n-grams are shared, how common these are on average,
-    and the shared ones of the prefix."""
+    and the shared ones of the prefix. With null grams, one row for each document: doc_id, hash, n and cls."""
 
     def run(batches):
-        for _, parts in _groups(batches):
+        for _, found in _groups(batches):
+            for kind, cls, n, hashes, ids, _ in found:
+                if kind:
+                    m = len(cls) // 8
+                    id_, there = np.frombuffer(ids, np.int64, m), np.frombuffer(ids, np.uint8, m, 8 * m)
+                    none = [pa.nulls(m, t) for t in (pa.float64(), pa.binary(), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(cls, np.int64)), pa.array(np.frombuffer(n, np.int32).astype(np.int64)), *none, pa.array(id_, mask=there == 0), pa.array(np.frombuffer(hashes, np.int64))], names=names)
+            parts = [x[1:] for x in found if not x[0]]
+            if not parts:
+                continue
             cls, n, k, grams, often = _arrays(parts, (np.int64, np.int32, np.int32, np.uint64, np.uint8))
             ids, inv = np.unique(cls, return_inverse=True)
             total = np.zeros(len(ids), np.int64)
@@ -201,9 +220,11 @@ def _survivors(shared: DataFrame) -> DataFrame:
 
     def batch_of(rows):
         cls, n, score, grams, prefix = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(grams, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["cls", "n", "score", "grams", "prefix"])
+        none = [pa.nulls(len(rows), pa.int64())] * 2
+        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(grams, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), *none], names=names)
 
-    return shared.mapInArrow(run, "cls long, n long, score double, grams binary, prefix array<long>")
+    names = ["cls", "n", "score", "grams", "prefix", "doc_id", "hash"]
+    return shared.mapInArrow(run, "cls long, n long, score double, grams binary, prefix array<long>, doc_id long, hash long")
 
 
 def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
@@ -280,18 +301,25 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
     p = probes.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(bands, ["cluster", "band"]).join(blocks, "cluster")
     p = p.withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).cast("int")).withColumn("kind", F.lit(1)).withColumn("salt", spread("salts"))
 
+    bounds = np.array([(i << 64) // VERTICAL for i in range(1, VERTICAL)], np.uint64)
+
     def run(batches):
         for _, rows in _groups(batches, 4):
             mine, ask = [r for r in rows if not r[0]], [r for r in rows if r[0]]
             if not mine or not ask:
                 continue
             cls, n, comps = (np.array([r[i] for r in mine], np.int64) for i in (1, 2, 3))
-            grams = np.frombuffer(b"".join(r[4] for r in mine), np.uint64)
-            owner = np.repeat(np.arange(len(mine)), [len(r[4]) // 8 for r in mine])
-            order = np.argsort(grams, kind="stable")
-            grams, owner = grams[order], owner[order]
-            at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-            values, ends = grams[at], np.r_[at[1:], len(grams)]
+            every = np.frombuffer(b"".join(r[4] for r in mine), np.uint64)
+            whose = np.repeat(np.arange(len(mine)), [len(r[4]) // 8 for r in mine])
+            part = np.searchsorted(bounds, every, "right")
+            fragments, rest = [], np.bincount(whose, minlength=len(mine))
+            for v in range(VERTICAL):
+                grams, owner = every[part == v], whose[part == v]
+                rest = rest - np.bincount(owner, minlength=len(mine))  # of each member, beyond this fragment
+                order = np.argsort(grams, kind="stable")
+                grams, owner = grams[order], owner[order]
+                at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]]) if len(grams) else np.zeros(0, np.int64)
+                fragments.append((grams[at], at, np.r_[at[1:], len(grams)], owner, rest))
             up: dict[int, int] = {}
 
             def find(x: int) -> int:
@@ -301,13 +329,19 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
 
             out = []
             for _, c, size, comp, raw in sorted(ask):
-                g = np.frombuffer(raw, np.uint64)
-                k = np.searchsorted(values, g)
-                k = k[(k < len(values)) & (values[np.minimum(k, len(values) - 1)] == g)]
-                lengths = ends[k] - at[k]
-                flat = np.repeat(at[k] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
-                o = np.bincount(owner[flat], minlength=len(mine))
-                found = np.flatnonzero((100 * o >= PERCENT * (size + n - o)) & (cls != c))
+                g = np.frombuffer(raw, np.uint64)  # sorted
+                cut = [0, *np.searchsorted(g, bounds).tolist(), len(g)]
+                o, need = np.zeros(len(mine), np.int64), PERCENT * (size + n)
+                for v, (values, at, ends, owner, rest) in enumerate(fragments):
+                    mine_here = g[cut[v] : cut[v + 1]]
+                    k = np.searchsorted(values, mine_here)
+                    k = k[(k < len(values)) & (values[np.minimum(k, len(values) - 1)] == mine_here)] if len(values) else k[:0]
+                    lengths = ends[k] - at[k]
+                    flat = np.repeat(at[k] - np.r_[0, np.cumsum(lengths)[:-1]], lengths) + np.arange(lengths.sum())
+                    o += np.bincount(owner[flat], minlength=len(mine))
+                    if not ((100 + PERCENT) * (o + np.minimum(rest, len(g) - cut[v + 1])) >= need).any():
+                        break  # no member can link any more
+                found = np.flatnonzero(((100 + PERCENT) * o >= need) & (cls != c))
                 if not len(found):
                     continue
                 out.append((c, None, len(found)))
@@ -325,15 +359,17 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
     return dealt.mapInArrow(run, "a long, b long, k long")
 
 
-def class_links(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b) between classes, enough to join every component, and if counted, (cls, n_links) of each class that links."""
+def class_links(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Links (a, b) between classes, enough to join every component; (cls, n_links) of each class that links, if counted;
+    and the documents: doc_id, hash of the text, n and cls, size and digest of the set of shingles."""
     spark = docs.sparkSession
     parts = width(spark)
     count = max(1, min(FRAGMENTS, docs.count() // DOCS_PER_FRAGMENT))
-    frags = _fragments(docs, count).repartition(max(parts, min(count, 4 * parts)), "frag").sortWithinPartitions("frag")
+    frags = _fragments(docs, count).repartition(max(parts, min(count, PARTITIONS)), "frag").sortWithinPartitions("frag")
     buckets = max(parts, count // 2)
-    shared = _shared(frags, buckets).repartition(max(parts, min(buckets, 4 * parts)), "bucket").sortWithinPartitions("bucket")
-    rest = stage(_survivors(shared), "join-survivors")
+    shared = _shared(frags, buckets).repartition(max(parts, min(buckets, PARTITIONS)), "bucket").sortWithinPartitions("bucket")
+    both = stage(_survivors(shared), "join-survivors")
+    rest, base = both.where("grams is not null").drop("doc_id", "hash"), both.where("grams is null").select("doc_id", "hash", "n", "cls")
 
     index = rest.select(F.explode("prefix").alias("gram"), "cls")
     low = index.groupBy("gram").agg(F.min("cls").alias("m"), F.max("cls").alias("x")).where("m <> x").drop("x")
@@ -360,14 +396,13 @@ def class_links(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, Data
         rest = stage(_joined(large, probes, parts, hint), "join-links")
         links = links.union(first).union(rest.where("b is not null").select("a", "b"))
         ends = ends.union(rest.where("b is null").select(F.col("a").alias("cls"), "k"))
-    return links, stage(ends.groupBy("cls").agg(F.sum("k").alias("n_links")), "join-counts") if counted else None
+    return links, stage(ends.groupBy("cls").agg(F.sum("k").alias("n_links")), "join-counts") if counted else None, base
 
 
 def _placed(docs: DataFrame, counted: bool = False) -> DataFrame:
     """Rows (doc_id, hash, n, cls, keeper struct<id, hash>): keeper is the component's first document, null if n is 0;
     and n_links of the class, if counted."""
-    base = stage(classes(docs), "join-classes")
-    links, counts = class_links(docs, counted)
+    links, counts, base = class_links(docs, counted)
     roots = components(links)
     row = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "hash")
     first = base.where("n > 0").groupBy("cls").agg(F.min(row).alias("first"))

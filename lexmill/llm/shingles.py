@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
+import pyarrow as pa
 import xxhash
 
+from .words import blocks, spelled
+
 WORDS = 5
-#: Word hashes kept per Python worker.
-CACHE = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHE:
-            self[word] = h
-        return h
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -28,27 +19,27 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(1)
-def shingler() -> "Shingler":
-    """One per Python worker, with its cache of words."""
-    return Shingler()
+def hashed(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of `size` words, given those of the words; mixed at each word: no two orders agree by algebra."""
+    with np.errstate(over="ignore"):
+        out = np.full(len(h) - size + 1, size, np.uint64)
+        for k in range(size):
+            out = mixed(out + h[k : len(h) - size + 1 + k] * _ODD[k])
+    return out
 
 
-class Shingler:
-    """Texts to their sets of shingles, as sorted 64-bit hashes. Two sets with equal hashes count as equal."""
+def shingled(texts: pa.Array):
+    """The sets of shingles of texts (null: empty), as sorted 64-bit hashes. Sets with equal hashes count as equal."""
+    for a, b in blocks(texts):
+        offsets, index, words = spelled(texts.slice(a, b - a), lower=True)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))[index]
+        windows = hashed(h, WORDS) if len(h) >= WORDS else h[:0]
+        for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            if y - x >= WORDS:
+                yield np.unique(windows[x : y - WORDS + 1])
+            else:
+                yield hashed(h[x:y], y - x) if y > x else h[:0]
 
-    def __init__(self):
-        self.words = _Words()
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII only
-        n = len(words)
-        if not n:
-            return np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, n)
-        size = min(n, WORDS)
-        with np.errstate(over="ignore"):
-            out = np.full(n - size + 1, size, np.uint64)
-            for k in range(size):  # mixed at each word: no two orders of words agree by algebra
-                out = mixed(out + h[k : n - size + 1 + k] * _ODD[k])
-        return np.unique(out)
+def shingle(text: str | None) -> np.ndarray:
+    return next(shingled(pa.array([text], pa.string())))
