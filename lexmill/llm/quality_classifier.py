@@ -6,7 +6,7 @@ frequencies, so its vector has length 1 per family and a score is one sparse dot
 SAMPLE labelled documents, those with the lowest hashes of their ids; scoring reads every text whole.
 
 Defined cases: null text is empty and scores the bias; labels that are null or have no document are skipped; repeated
-rows are scored each; without any labels all scores are 0.5; an empty table gives no rows; further columns are ignored
+rows are learned from once and scored each; without any labels all scores are 0.5; an empty table gives no rows; further columns are ignored
 by `scores` and kept by `keep_good`.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import blocks, spelled
+
 #: Labelled documents that training reads at most.
 SAMPLE = 8000
 BITS = 18
@@ -29,7 +31,6 @@ EPOCHS = 4
 #: FTRL-proximal: learning rate, its offset, and the L1 and L2 penalties.
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.05
 THRESHOLD = 0.7
-CACHE = 300_000
 _MASK = np.uint64((1 << BITS) - 1)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -37,61 +38,48 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def shape(word: str) -> str:
     """The word with runs of letters as A (no lower case), Aa or a, runs of digits as 0, and other characters kept."""
     w = _LETTERS.sub(lambda m: "a" if m[0].islower() else ("A" if m[0].isupper() and len(m[0]) > 1 else "B"), word)
-    return re.sub(r"\d+", "0", w)[:24]
-
-
-class _Words(dict):
-    """Word -> (hash of the word, hash of its shape) as indices into tables."""
-
-    def __missing__(self, word: str) -> tuple[int, int]:
-        h = (xxhash.xxh3_64_intdigest(word), xxhash.xxh3_64_intdigest(shape(word), 1))
-        if len(self) < CACHE:
-            self[word] = h
-        return h
-
-
-class Features:
-    """Texts to (indices, values) of their sparse vectors."""
-
-    def __init__(self):
-        self.words = _Words()
-
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = (text or "").split()
-        n = len(words)
-        bias = (np.zeros(1, np.int64), np.ones(1))
-        if not n:
-            return bias
-        both = np.array([self.words[w] for w in words], np.uint64)
-        raw, form = both[:, 0], both[:, 1]
-        ix, val = [bias[0]], [bias[1]]
-
-        def family(parts: list[np.ndarray]) -> None:
-            h = np.concatenate(parts)
-            i, c = np.unique(((h ^ (h >> np.uint64(32))) & _MASK).astype(np.int64), return_counts=True)
-            ix.append(i)
-            val.append(np.sqrt(c / len(h)))
-
-        with np.errstate(over="ignore"):
-            two = raw[:-1] * np.uint64(0x9E3779B97F4A7C15) + raw[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-            f2 = form[:-1] * np.uint64(0x9E3779B97F4A7C15) + form[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-            f3 = f2[:-1] * np.uint64(0x165667B19E3779F9) + form[2:]
-            five = raw[: n - 4].copy() if n > 4 else raw[:0].copy()
-            for k in range(1, 5):
-                five = five * np.uint64(0x9E3779B97F4A7C15) + raw[k : n - 4 + k][: len(five)]
-        family([raw, two])
-        family([form, f2, f3])
-        again = 1 - len(np.unique(five)) / len(five) if len(five) else 0.0
-        tokens = [f"again {math.ceil(again * 10)}", f"size {min(12, n.bit_length())}"]
-        ix.append(np.array([xxhash.xxh3_64_intdigest(t, 2) & int(_MASK) for t in tokens]))
-        val.append(np.full(len(tokens), 0.5))
-        return np.concatenate(ix), np.concatenate(val)
-
-
-@lru_cache(1)
-def features() -> Features:
-    """One per Python worker, with its cache of words."""
-    return Features()
+    return re.sub(r"\d+", "0", w)
+
+
+def vectors(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(indices, values) of the sparse vector of each text."""
+    for a, b in blocks(texts):
+        offsets, index, words = spelled(texts.slice(a, b - a))
+        words = words.to_pylist()
+        raw = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[index]
+        form = np.fromiter((xxhash.xxh3_64_intdigest(shape(w), 1) for w in words), np.uint64, len(words))[index]
+        for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            yield vector(raw[x:y], form[x:y])
+
+
+def vector(raw: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """raw, form: hashes of the words of a text and of their shapes."""
+    n = len(raw)
+    bias = (np.zeros(1, np.int64), np.ones(1))
+    if not n:
+        return bias
+    ix, val = [bias[0]], [bias[1]]
+
+    def family(parts: list[np.ndarray]) -> None:
+        h = np.concatenate(parts)
+        i, c = np.unique(((h ^ (h >> np.uint64(32))) & _MASK).astype(np.int64), return_counts=True)
+        ix.append(i)
+        val.append(np.sqrt(c / len(h)))
+
+    with np.errstate(over="ignore"):
+        two = raw[:-1] * np.uint64(0x9E3779B97F4A7C15) + raw[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        f2 = form[:-1] * np.uint64(0x9E3779B97F4A7C15) + form[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+        f3 = f2[:-1] * np.uint64(0x165667B19E3779F9) + form[2:]
+        five = raw[: n - 4].copy() if n > 4 else raw[:0].copy()
+        for k in range(1, 5):
+            five = five * np.uint64(0x9E3779B97F4A7C15) + raw[k : n - 4 + k][: len(five)]
+    family([raw, two])
+    family([form, f2, f3])
+    again = 1 - len(np.unique(five)) / len(five) if len(five) else 0.0
+    tokens = [f"again {math.ceil(again * 10)}", f"size {min(12, n.bit_length())}"]
+    ix.append(np.array([xxhash.xxh3_64_intdigest(t, 2) & int(_MASK) for t in tokens]))
+    val.append(np.full(len(tokens), 0.5))
+    return np.concatenate(ix), np.concatenate(val)
 
 
 class Ftrl:
@@ -119,19 +107,22 @@ def sigmoid(v: float) -> float:
 
 def fitted(rows: list[tuple[str | None, int]]) -> np.ndarray:
     """Weights from (text, label) rows, in their order, over EPOCHS passes (each in another fixed order)."""
-    vector, model = features(), Ftrl()
-    vectors = [(*vector(t), y) for t, y in rows]
+    model = Ftrl()
+    found = [(*v, y) for v, (_, y) in zip(vectors(pa.array([t for t, _ in rows], pa.string())), rows, strict=True)]
     for k in range(EPOCHS):
-        for j in np.random.default_rng(k).permutation(len(vectors)):
-            model.learn(*vectors[j])
+        for j in np.random.default_rng(k).permutation(len(found)):
+            model.learn(*found[j])
     return model.weights().astype(np.float32)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Weights from the labelled documents whose crc32(doc_id as text) mod 4 is not 2; labels: doc_id, quality."""
     free = labels.where(F.col("quality").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
-    drawn = free.select("doc_id", F.col("quality").cast("int").alias("y"), F.xxhash64("doc_id").alias("turn")).orderBy("turn", "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("turn", "doc_id", "text", "y").repartition(1)  # at most `sample` documents
+    free = free.select("doc_id", F.col("quality").cast("int").alias("y"), F.xxhash64("doc_id").alias("turn")).orderBy("turn", "doc_id", "y").limit(sample)
+    # equal rows count once, so that no repeated id or text fills the sample's one task
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash")).join(F.broadcast(free), "doc_id").distinct().orderBy("turn", "doc_id", "hash", "y").limit(sample)
+    once = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").join(F.broadcast(rows), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash", "y"])
+    rows = once.select("turn", "doc_id", "text", "y").repartition(1)  # at most `sample` documents
 
     def run(batches):
         got = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
@@ -145,16 +136,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
 def scorer(spark, weights: np.ndarray):
     """A function of texts to scores, for use on executors; the weights (1 MB) are broadcast."""
     there = spark.sparkContext.broadcast(weights)
-    state: dict = {}
 
-    def score(texts: list[str | None]) -> list[float]:
-        if not state:
-            state["f"], state["w"] = features(), there.value.astype(np.float64)
-        out = []
-        for t in texts:
-            i, x = state["f"](t)
-            out.append(sigmoid(float(state["w"][i] @ x)))
-        return out
+    def score(texts: pa.Array) -> list[float]:
+        w = there.value
+        return [sigmoid(float(w[i].astype(np.float64) @ x)) for i, x in vectors(texts)]
 
     return score
 
@@ -165,7 +150,7 @@ def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1)), pa.float64())], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -180,6 +165,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def of(text):  # noqa: ANN001
         import pandas as pd
 
-        return pd.Series(score(text.tolist()))
+        return pd.Series(score(pa.array(text, pa.string(), from_pandas=True)))
 
     return docs.where(of("text") >= THRESHOLD)
