@@ -1,9 +1,11 @@
 """Quality rules with adaptive thresholds, with DataFrame functions only.
 
 Every document's measures are put into integer bins. Counts per (lang, source, measure, bin) are a quantile sketch
-that merges by adding counts: sources merge into languages and languages into the corpus. A group's fences lie beyond
-its quartiles by a multiple of their distance; a group of few documents uses its language's sketch, then the corpus's.
-Documents are joined with their group's fences and kept if every measure lies within them.
+that merges by adding counts: sources merge into languages and languages into the corpus. A sketch gives two pairs of
+fences: beyond its INNER and its OUTER percentiles by the distance of these from the median. A group's fences are drawn
+towards those of its language, and a language's towards the corpus's, as if SHRINK documents of the wider sketch were
+its own; no threshold is a fixed value. Documents are joined with their group's fences and dropped if a measure lies
+beyond an outer fence, or two measures beyond inner ones.
 
 Bins are exact up to 127 and keep 7 significant bits above, so a sketch has at most a few hundred bins per measure and
 a quantile is off by under 1 %. Sketches are sums, so results do not depend on partitions or order.
@@ -20,13 +22,17 @@ from pyspark.sql.window import Window
 
 from .common import SPACES, stage
 
-#: A group with fewer documents takes the fences of the next wider sketch.
-FEW = 50
-#: Fences lie this many distances of the quartiles beyond them.
-REACH = 3
-#: Measures: column -> the least distance between a quartile and its fence. Shares are per mille.
-MEASURES = {"symbol_share": 30, "upper_share": 150, "bang_share": 40, "dup_line_share": 350, "repeat_share": 180, "word_length": 350}
-#: More groups than this are joined by a shuffle; up to this the fences (under 200 bytes a group) are broadcast.
+#: Percentiles (those from below and from above) that the fences start from.
+INNER, OUTER = 90, 98
+#: Documents of the next wider sketch that count as a group's own.
+SHRINK = 100
+#: Measures beyond an inner fence that a document may have.
+STRIKES = 1
+#: Measures; shares are per mille, the length of words in hundredths of a character.
+MEASURES = ("symbol_share", "upper_share", "bang_share", "dup_line_share", "repeat_share", "word_length")
+#: The fences of a measure: lower and upper of each pair.
+SIDES = ("il", "ih", "ol", "oh")
+#: More groups than this are joined by a shuffle; up to this the fences (under 300 bytes a group) are broadcast.
 BROADCAST_GROUPS = 50_000
 
 
@@ -108,37 +114,37 @@ def groups_of() -> list[Column]:
     return [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(f"{c}_") for c in ("lang", "source")]
 
 
-def _quartiles(sketch: DataFrame, by: list[str], tag: str) -> DataFrame:
-    """Per group and measure: documents and the lowest bins that reach a quarter and three quarters of them."""
+def _fences(sketch: DataFrame, by: list[str], tag: str) -> DataFrame:
+    """Per group and measure: documents and fences; a percentile is the lowest bin that reaches its share of them."""
     merged = sketch.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy(*by, "measure").orderBy("bin")
     whole = Window.partitionBy(*by, "measure")
     run = merged.withColumn("c", F.sum("n").over(upto)).withColumn("t", F.sum("n").over(whole))
-    q = lambda num: F.min(F.when(F.col("c") * 4 >= F.col("t") * num, F.col("bin")))
-    return run.groupBy(*by, "measure").agg(F.max("t").alias(f"t{tag}"), q(1).alias(f"lo{tag}"), q(3).alias(f"hi{tag}"))
+    q = lambda num: F.min(F.when(F.col("c") * 100 >= F.col("t") * num, F.col("bin")))
+    at = (100 - INNER, INNER, 100 - OUTER, OUTER)
+    return run.groupBy(*by, "measure").agg(F.max("t").alias(f"t{tag}"), *[(2 * q(x) - q(50)).alias(f"{s}{tag}") for s, x in zip(SIDES, at, strict=True)])
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """One row per (lang_, source_) with columns <measure>_low and <measure>_high."""
-    fine = _quartiles(sketch, ["lang_", "source_"], "0")
-    lang = _quartiles(sketch, ["lang_"], "1")
-    every = _quartiles(sketch, [], "2")
+    """One row per (lang_, source_) with columns <measure>_<side>."""
+    fine = _fences(sketch, ["lang_", "source_"], "0")
+    lang = _fences(sketch, ["lang_"], "1")
+    every = _fences(sketch, [], "2")
     q = fine.join(lang, ["lang_", "measure"]).join(every, "measure")
-    pick = lambda x: F.when(F.col("t0") >= FEW, F.col(f"{x}0")).when(F.col("t1") >= FEW, F.col(f"{x}1")).otherwise(F.col(f"{x}2"))
-    least = F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv])
-    q = q.withColumn("lo", pick("lo")).withColumn("hi", pick("hi")).withColumn("d", F.greatest(REACH * (F.col("hi") - F.col("lo")), least[F.col("measure")]))
-    of = lambda k, e: F.max(F.when(F.col("measure") == k, F.expr(e)))
-    return q.groupBy("lang_", "source_").agg(*[of(k, "lo - d").alias(f"{k}_low") for k in MEASURES], *[of(k, "hi + d").alias(f"{k}_high") for k in MEASURES])
+    drawn = lambda own, n, wide: (n * own + SHRINK * wide) / (n + SHRINK)
+    q = q.select("lang_", "source_", "measure", *[drawn(F.col(f"{s}0"), F.col("t0"), drawn(F.col(f"{s}1"), F.col("t1"), F.col(f"{s}2"))).alias(s) for s in SIDES])
+    return q.groupBy("lang_", "source_").agg(*[F.max(F.when(F.col("measure") == k, F.col(s))).alias(f"{k}_{s}") for k in MEASURES for s in SIDES])
 
 
 def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """rows of `measured` with kept; limits: staged fences."""
     small = limits.count() <= BROADCAST_GROUPS
-    inside = F.lit(True)
+    beyond = lambda k, lo, hi: (F.col(k) < F.col(f"{k}_{lo}")) | (F.col(k) > F.col(f"{k}_{hi}"))
+    strikes, far = F.lit(0), F.lit(False)
     for k in MEASURES:
-        inside = inside & (F.col(k) >= F.col(f"{k}_low")) & (F.col(k) <= F.col(f"{k}_high"))
+        strikes, far = strikes + beyond(k, "il", "ih").cast("int"), far | beyond(k, "ol", "oh")
     marked = rows.select("*", *groups_of()).join(F.broadcast(limits) if small else limits, ["lang_", "source_"])
-    return marked.withColumn("kept", ~F.col("base_failed") & inside)
+    return marked.withColumn("kept", ~F.col("base_failed") & (strikes <= STRIKES) & ~far)
 
 
 RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

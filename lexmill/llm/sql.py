@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality_rules import FEW, MEASURES, REACH
+from .quality_rules import INNER, MEASURES, OUTER, SHRINK, SIDES, STRIKES
 
 OP2 = r"""
 WITH said AS (
@@ -22,18 +22,20 @@ FROM said GROUP BY conv_id
 def _op4() -> str:
     binned = lambda k: f"(({k} >> greatest(length(bin({k})) - 7, 0)) << greatest(length(bin({k})) - 7, 0))"
     each = " UNION ALL ".join(f"SELECT lang_, source_, '{k}' AS measure, {binned(k)} AS bin FROM shares" for k in MEASURES)
-    least = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MEASURES.items())
-    low = ", ".join(f"max(CASE WHEN measure = '{k}' THEN lo - d END) AS {k}_low, max(CASE WHEN measure = '{k}' THEN hi + d END) AS {k}_high" for k in MEASURES)
-    inside = " AND ".join(f"{k} BETWEEN {k}_low AND {k}_high" for k in MEASURES)
+    at = dict(zip(SIDES, (100 - INNER, INNER, 100 - OUTER, OUTER), strict=True))
+    sides = ", ".join(f"max(CASE WHEN measure = '{k}' THEN {s} END) AS {k}_{s}" for k in MEASURES for s in SIDES)
+    strikes = " + ".join(f"CASE WHEN {k} < {k}_il OR {k} > {k}_ih THEN 1 ELSE 0 END" for k in MEASURES)
+    far = " OR ".join(f"{k} < {k}_ol OR {k} > {k}_oh" for k in MEASURES)
+    drawn = ", ".join(f"(t0 * {s}0 + {SHRINK} * ((t1 * {s}1 + {SHRINK} * {s}2) / (t1 + {SHRINK}))) / (t0 + {SHRINK}) AS {s}" for s in SIDES)
 
-    def quartiles(name: str, by: str, tag: int) -> str:
+    def percentiles(name: str, by: str, tag: int) -> str:
         keys = f"{by}, " if by else ""
+        q = lambda num: f"min(CASE WHEN c * 100 >= t * {num} THEN bin END)"
         return f"""{name} AS (
-  SELECT {keys}measure, max(t) AS t{tag}, min(CASE WHEN c * 4 >= t THEN bin END) AS lo{tag}, min(CASE WHEN c * 4 >= t * 3 THEN bin END) AS hi{tag}
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS c, sum(n) OVER (PARTITION BY {keys}measure) AS t
+  SELECT {keys}measure, max(t) AS t{tag}, {", ".join(f"2 * {q(x)} - {q(50)} AS {s}{tag}" for s, x in at.items())}
+  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS BIGINT) AS c, CAST(sum(n) OVER (PARTITION BY {keys}measure) AS BIGINT) AS t
         FROM (SELECT {keys}measure, bin, count(*) AS n FROM bins GROUP BY ALL)) GROUP BY {keys}measure)"""
 
-    pick = lambda x: f"CASE WHEN t0 >= {FEW} THEN {x}0 WHEN t1 >= {FEW} THEN {x}1 ELSE {x}2 END"
     return rf"""
 WITH raw AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS lang_, coalesce('=' || source, '') AS source_, coalesce(text, '') AS text FROM documents),
@@ -61,14 +63,12 @@ shares AS (
     CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_share,
     CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS word_length FROM counts),
 bins AS ({each}),
-{quartiles("fine", "lang_, source_", 0)},
-{quartiles("coarse", "lang_", 1)},
-{quartiles("every", "", 2)},
-limits AS (
-  SELECT *, greatest({REACH} * (hi - lo), CASE measure {least} END) AS d FROM (
-    SELECT lang_, source_, measure, {pick("lo")} AS lo, {pick("hi")} AS hi FROM fine JOIN coarse USING (lang_, measure) JOIN every USING (measure))),
-fences AS (SELECT lang_, source_, {low} FROM limits GROUP BY lang_, source_)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {inside} AS kept
+{percentiles("fine", "lang_, source_", 0)},
+{percentiles("coarse", "lang_", 1)},
+{percentiles("every", "", 2)},
+limits AS (SELECT lang_, source_, measure, {drawn} FROM fine JOIN coarse USING (lang_, measure) JOIN every USING (measure)),
+fences AS (SELECT lang_, source_, {sides} FROM limits GROUP BY lang_, source_)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ({strikes}) <= {STRIKES} AND NOT ({far}) AS kept
 FROM shares JOIN fences USING (lang_, source_)
 """
 
