@@ -1,13 +1,13 @@
 """Main-text extraction by a recurrent block labeller.
 
 A page is cut into leaf blocks (text between block tags). Each block has hashed features of its tag path (tags, classes,
-ids and roles of all ancestors), hashed words, and a few measures; a bidirectional LSTM in numpy reads the whole
+ids and roles of all ancestors), hashes of all its words, and a few measures; a bidirectional LSTM in numpy reads the whole
 sequence of a page, so every block is labelled with the page before and after it in view. It is trained on generated
 pages of many layouts and on at most SAMPLE pages of the corpus whose mark-up itself says what is article (an `article`
-or `main` element). Blocks labelled as main text are joined by line feeds.
+or `main` element), each also with that mark-up made plain. Blocks labelled as main text are joined by line feeds.
 
 Defined cases: null or empty html gives an empty text; unclosed and stray tags, comments, and pages without a body are
-read as far as they go; blocks without a visible character are none; repeated rows are extracted each; an empty table
+read as far as they go; pages of any length and depth are read whole; blocks without a visible character are none; repeated rows are extracted each; an empty table
 gives no rows; further columns are ignored.
 """
 
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 SAMPLE, GENERATED = 150, 700
 PATH, WORDS, MEASURES, HIDDEN = 256, 64, 8, 20
 EPOCHS, BATCH, RATE = 7, 25, 0.01
-#: Blocks labelled together, at most (a longer page goes alone).
-STEPS = 6000
+#: Blocks labelled together, at most (a longer page goes alone, in parts), and of a page learned together.
+STEPS, WINDOW = 6000, 400
 
 # The element names of HTML by how they are laid out.
 BLOCKS = frozenset(
@@ -58,18 +58,77 @@ _SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    """A leaf block: parts, the hashed parts of all elements around it; last, the innermost two of their names; inside,
+    those of MARKS around it; text; and how many characters of its source lie in links."""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("parts", "last", "inside", "text", "linked")
+
+    def __init__(self, parts: np.ndarray, last: tuple[str, ...], inside: frozenset[str], text: str, linked: int):
+        self.parts, self.last, self.inside, self.text, self.linked = parts, last, inside, text, linked
+
+
+#: Elements of which a block knows by name whether it is inside.
+MARKS = ("article", "main", "nav", "aside", "footer", "form")
+
+
+def _hashed(name: str, count: int, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(name, seed) % count
+
+
+class _Open:
+    """The open elements, and how many of them have each hashed part. An element's parts are counted once, when it opens,
+    so that depth costs no more memory than the elements themselves."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple[str, ...], np.ndarray, bool, bool]] = []  # tag, names, parts, hidden, in a link
+        self.counts = np.zeros(PATH, np.int64)
+        self.marks = dict.fromkeys(MARKS, 0)
+        self.known: tuple[np.ndarray, tuple[str, ...], frozenset[str]] | None = None
+
+    def push(self, tag: str, names: list[str], hidden: bool) -> None:
+        parts = np.array([_hashed(n, PATH, 1) for n in names], np.int64)
+        np.add.at(self.counts, parts, 1)
+        if tag in self.marks:
+            self.marks[tag] += 1
+        self.stack.append((tag, tuple(names), parts, hidden or self.hidden, tag == "a" or self.linked))
+        self.known = None
+
+    def cut(self, k: int) -> None:
+        """Close the elements from the k-th on."""
+        for tag, _, parts, _, _ in self.stack[k:]:
+            np.subtract.at(self.counts, parts, 1)
+            if tag in self.marks:
+                self.marks[tag] -= 1
+        del self.stack[k:]
+        self.known = None
+
+    @property
+    def hidden(self) -> bool:
+        return bool(self.stack) and self.stack[-1][3]
+
+    @property
+    def linked(self) -> bool:
+        return bool(self.stack) and self.stack[-1][4]
+
+    def here(self) -> tuple[np.ndarray, tuple[str, ...], frozenset[str]]:
+        if self.known is None:
+            last: list[str] = []
+            for _, names, *_ in reversed(self.stack):
+                last = [*names, *last][-2:]
+                if len(last) == 2:
+                    break
+            self.known = np.flatnonzero(self.counts).astype(np.int16), tuple(last), frozenset(m for m, n in self.marks.items() if n)
+        return self.known
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in order; path: parts of all ancestors' tags, classes, ids and roles."""
+    """The leaf blocks of a page in order, with the tags, classes, ids and roles of all elements around them."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool, bool]] = []  # tag, path to it, hidden, in a link
+    open_ = _Open()
+    stack = open_.stack
     parts: list[str] = []
+    where = open_.here()
     linked = at = 0
 
     def close() -> None:
@@ -77,18 +136,17 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             if text:
-                out.append(Block(path, text, linked))
+                out.append(Block(*where, text, linked))
             parts, linked = [], 0
 
-    path: tuple[str, ...] = ()
     while at < len(page):
         m = _TAG.search(page, at)
         text = page[at : m.start() if m else len(page)]
-        if text and not (stack and stack[-1][2]):
+        if text and not open_.hidden:
             if not parts:
-                path = stack[-1][1] if stack else ()
+                where = open_.here()
             parts.append(text)
-            if stack and stack[-1][3]:
+            if open_.linked:
                 linked += len(text)
         if not m:
             break
@@ -105,7 +163,7 @@ def blocks(page: str | None) -> list[Block]:
         if slash:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    open_.cut(k)
                     break
                 if tag not in BLOCKS and stack[k][0] in BLOCKS:
                     break  # a stray end of an inline element
@@ -114,68 +172,57 @@ def blocks(page: str | None) -> list[Block]:
             ends, stop = IMPLIED[tag]
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] in ends:
-                    del stack[k:]
+                    open_.cut(k)
                 elif stack[k][0] in stop:
                     break
         if tag in VOID:
             continue
-        hidden = bool(stack and stack[-1][2]) or tag in HIDDEN_TEXT
+        hidden = tag in HIDDEN_TEXT
         names = [tag] if tag in BLOCKS or tag == "a" else []
         if attrs and tag in BLOCKS | {"span", "a"}:
             for name, value in _ATTR.findall(attrs):
                 name = name.lower()
                 if name in ("class", "id", "role", "itemprop"):
-                    names += ["." + p for p in _PART.findall(value.strip("\"'").lower())[:12]]
+                    names += ["." + p for p in _PART.findall(value.strip("\"'").lower())]
                 elif name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none", value)):
                     hidden = True
-        stack.append((tag, (stack[-1][1] if stack else ()) + tuple(names), hidden, tag == "a" or bool(stack and stack[-1][3])))
         if tag in RAW_TEXT:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
-            stack.pop()
+            continue
+        open_.push(tag, names, hidden)
     close()
     return out
 
 
 class Vectors:
-    """Blocks to input rows: hashed path parts, hashed words, measures."""
+    """Blocks to input rows: hashed path parts, hashed words, measures. Hashes of words are remembered."""
 
     def __init__(self):
         self.words: dict[str, int] = {}
-        self.parts: dict[str, int] = {}
 
     def word(self, w: str) -> int:
         i = self.words.get(w)
         if i is None:
-            i = xxhash.xxh3_64_intdigest(w.lower().strip(".,:;!?()[]\"'")) % WORDS
-            if len(self.words) < 200_000:
+            i = _hashed(w.lower().strip(".,:;!?()[]\"'"), WORDS)
+            if len(self.words) < 100_000:
                 self.words[w] = i
         return i
 
-    def part(self, p: str) -> int:
-        i = self.parts.get(p)
-        if i is None:
-            i = xxhash.xxh3_64_intdigest(p, 1) % PATH
-            if len(self.parts) < 200_000:
-                self.parts[p] = i
-        return i
-
-    def __call__(self, page: list[Block]) -> np.ndarray:
-        x = np.zeros((len(page), PATH + WORDS + MEASURES), np.float32)
-        for k, b in enumerate(page):
-            for depth, p in enumerate(b.path[-24:]):
-                x[k, self.part(p)] = 1.0
-                if depth >= len(b.path[-24:]) - 2:
-                    x[k, self.part("last " + p)] = 1.0
+    def __call__(self, page: list[Block], start: int = 0, end: int | None = None) -> np.ndarray:
+        """Rows of the blocks from start to end."""
+        some = page[start:end]
+        x = np.zeros((len(some), PATH + WORDS + MEASURES), np.float32)
+        for k, b in enumerate(some):
+            x[k, b.parts] = 1.0
+            for p in b.last:
+                x[k, _hashed("last " + p, PATH, 1)] = 1.0
             words = b.text.split()
-            near = words if len(words) <= 24 else words[:16] + words[-8:]  # of a long block its edges tell its kind
-            for w in near:
-                x[k, PATH + self.word(w)] += 1.0
-            x[k, PATH : PATH + WORDS] /= math.sqrt(len(near))
+            x[k, PATH : PATH + WORDS] = np.bincount([*map(self.word, words)], minlength=WORDS) / math.sqrt(len(words))
             n = len(b.text)
             x[k, PATH + WORDS :] = (
                 math.log1p(n) / 8, min(1.0, b.linked / n), sum(c in ".!?" for c in b.text[-3:]) / 3, math.log1p(len(words)) / 6,
-                b.text[0].isupper(), k / len(page), ("©" in b.text) + 0.0, min(1.0, 5 * b.text.count(",") / n),
+                b.text[0].isupper(), (start + k) / len(page), ("©" in b.text) + 0.0, min(1.0, 5 * b.text.count(",") / n),
             )
         return x
 
@@ -198,11 +245,11 @@ class Labeller:
                 weights[f"{s}c"] = np.r_[np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)]
         self.w = {k: v.astype(np.float32) for k, v in weights.items()}
 
-    def run(self, side: str, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
-        """x: steps x pages x features in reading order of the side."""
+    def run(self, side: str, x: np.ndarray, mask: np.ndarray, state: tuple | None = None, taped: bool = True) -> tuple[np.ndarray, list, tuple]:
+        """x: steps x pages x features in reading order of the side. Gives the outputs, a tape for `back`, and the state."""
         steps, n, d = x.shape
         a = (x.reshape(-1, d) @ self.w[side + "x"] + self.w[side + "c"]).reshape(steps, n, -1)
-        h = c = np.zeros((n, HIDDEN), np.float32)
+        h, c = state or (np.zeros((n, HIDDEN), np.float32),) * 2
         out, tape = np.zeros((steps, n, HIDDEN), np.float32), []
         for t in range(steps):
             z = a[t] + h @ self.w[side + "h"]
@@ -210,10 +257,11 @@ class Labeller:
             g, m = np.tanh(z[:, 3 * HIDDEN :]), mask[t][:, None]
             new = f * c + i * g
             tc = np.tanh(new)
-            tape.append((h, c, i, f, o, g, tc))
+            if taped:
+                tape.append((h, c, i, f, o, g, tc))
             h, c = np.where(m, o * tc, h), np.where(m, new, c)
             out[t] = h
-        return out, tape
+        return out, tape, (h, c)
 
     def back(self, side: str, x: np.ndarray, mask: np.ndarray, tape: list, dout: np.ndarray) -> dict[str, np.ndarray]:
         steps, n, d = x.shape
@@ -243,10 +291,10 @@ class Labeller:
             x[0, : len(p), k], x[1, : len(p), k], mask[: len(p), k] = p, p[::-1], True
         return x[0], x[1], mask
 
-    def outputs(self, pages: list[np.ndarray]):
+    def outputs(self, pages: list[np.ndarray], taped: bool = False):
         xf, xb, mask = self.padded(pages)
-        hf, tf = self.run("f", xf, mask)
-        hb, tb = self.run("b", xb, mask)
+        hf, tf, _ = self.run("f", xf, mask, taped=taped)
+        hb, tb, _ = self.run("b", xb, mask, taped=taped)
         turned = np.zeros_like(hb)
         for k, p in enumerate(pages):
             turned[: len(p), k] = hb[: len(p), k][::-1]
@@ -257,8 +305,21 @@ class Labeller:
         p, _ = self.outputs(pages)
         return [p[: len(x), k] for k, x in enumerate(pages)]
 
+    def label_long(self, page: list[Block], vectors: Vectors) -> np.ndarray:
+        """As label, for one page of any length: its rows are made STEPS at a time, the state is carried on."""
+        cuts = [(a, min(a + STEPS, len(page))) for a in range(0, len(page), STEPS)]
+        both = np.zeros((len(page), 2 * HIDDEN), np.float32)
+        for side, order in (("f", cuts), ("b", cuts[::-1])):
+            state = None
+            for a, b in order:
+                x = vectors(page, a, b)[:: 1 if side == "f" else -1, None]
+                out, _, state = self.run(side, x, np.ones((b - a, 1), bool), state, taped=False)
+                both[a:b, :HIDDEN] = out[:, 0] if side == "f" else both[a:b, :HIDDEN]
+                both[a:b, HIDDEN:] = out[::-1, 0] if side == "b" else both[a:b, HIDDEN:]
+        return _sig(both @ self.w["v"] + self.w["c"])
+
     def gradient(self, pages: list[np.ndarray], truth: list[np.ndarray]) -> tuple[float, dict[str, np.ndarray]]:
-        p, (xf, xb, mask, hf, turned, tf, tb) = self.outputs(pages)
+        p, (xf, xb, mask, hf, turned, tf, tb) = self.outputs(pages, taped=True)
         y = np.zeros_like(p)
         for k, t in enumerate(truth):
             y[: len(t), k] = t
@@ -468,6 +529,8 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
                     if chance(0.05):
                         pick([advert, notice, small, form, side])()
 
+            if chance(0.2):
+                return body()  # right in the page
             a = attr(["content", "post", "entry-content", "article", "story", "main", "post-body", "text"])
             tag, a = pick([("article", ""), ("article", ""), ("article", a), ("main", ""), ("div", a), ("div", a), ("section", a), ("div", ' role="main"'), ("div", "")])
             wrap = pick([None, None, "main", "div"])
@@ -491,23 +554,38 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
 
 def self_labelled(page: list[Block]) -> np.ndarray | None:
     """Labels from mark-up that names the article, or None if a page has no such element."""
-    y = np.array([("article" in b.path or "main" in b.path) and not {"nav", "aside", "footer", "form"} & set(b.path) for b in page], float)
+    y = np.array([bool({"article", "main"} & b.inside) and not {"nav", "aside", "footer", "form"} & b.inside for b in page], float)
     return y if len(y) and 0 < y.sum() else None
 
 
+def plainer(page: str) -> str:
+    """The page with its telling elements as divs: those of the article without attributes, others named by a class."""
+    page = re.sub(r"(?i)<(article|main)\b[^>]*>", "<div>", page)
+    page = re.sub(r"(?i)<(nav|aside|footer|header)\b([^>]*)>", lambda m: f'<div class="{m[1].lower()}">' if "class=" not in m[2] else f"<div{m[2]}>", page)
+    return re.sub(r"(?i)</(article|main|nav|aside|footer|header)\s*>", "</div>", page)
+
+
 def trained(samples: list[str]) -> Labeller:
+    """A model of generated pages and of those samples whose mark-up labels them, as they are and `plainer`."""
     vectors, xs, ys = Vectors(), [], []
+
+    def add(found: list[Block], y: np.ndarray) -> None:
+        for a in range(0, len(found), WINDOW):
+            xs.append(vectors(found, a, a + WINDOW))
+            ys.append(y[a : a + WINDOW])
+
     for page, y in generated(GENERATED):
         found = blocks(page)
         if len(found) == len(y):
-            xs.append(vectors(found))
-            ys.append(np.array(y, float))
+            add(found, np.array(y, float))
     for page in samples:
         found = blocks(page)
         y = self_labelled(found)
-        if y is not None and len(found) <= 400:
-            xs.append(vectors(found))
-            ys.append(y)
+        if y is not None:
+            add(found, y)
+            bare = blocks(plainer(page))
+            if [b.text for b in bare] == [b.text for b in found]:
+                add(bare, y)
     model = Labeller()
     model.fit(xs, ys)
     return model
@@ -517,6 +595,9 @@ def extracted(model: Labeller, pages: list[str | None]) -> list[str]:
     vectors, found = Vectors(), [blocks(p) for p in pages]
     out = [""] * len(pages)
     order = sorted((k for k in range(len(pages)) if found[k]), key=lambda k: len(found[k]))
+    while order and len(found[order[-1]]) > STEPS:
+        k = order.pop()
+        out[k] = "\n".join(b.text for b, q in zip(found[k], model.label_long(found[k], vectors), strict=True) if q >= 0.5)
     while order:
         n = len(found[order[0]])
         take = 1
@@ -529,8 +610,11 @@ def extracted(model: Labeller, pages: list[str | None]) -> list[str]:
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> bytes:
-    """Weights from generated pages and the `sample` pages with the lowest hashes of their ids."""
-    drawn = pages.select(F.xxhash64("page_id", "html").alias("turn"), "html").where("html is not null").orderBy("turn").limit(sample).repartition(1)
+    """Weights from generated pages and the `sample` pages with the lowest hashes (equal pages count once)."""
+    turns = pages.where("html is not null").select(F.xxhash64("page_id", "html").alias("turn"), "html")
+    # the hashes alone are sorted; then the pages up to the last of them are read
+    last = turns.select("turn").distinct().orderBy("turn").limit(sample).agg(F.max("turn")).first()[0]
+    drawn = turns.where(F.col("turn") <= F.lit(last)).dropDuplicates(["turn"]).repartition(1)
 
     def run(batches):
         got = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))

@@ -8,9 +8,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from lexmill.llm import bpe, chat, fingerprints, html_extract, ngram_join, packing, quality_classifier, quality_rules, sharding, sql, suffix_dedup
+from lexmill.llm import bpe, chat, fingerprints, html_extract, ngram_join, packing, quality_classifier, quality_rules, sharding, shingles, sql, suffix_dedup, words
 from lexmill.llm.queries import QUERIES, vocabulary
 from tests.conftest import DATA, oracle, same
 
@@ -83,25 +84,27 @@ def test_bpe_equals_library(docs, none, library):
 
 
 def test_bpe_fuzz(library):
-    enc = bpe.TextEncoder(vocabulary(), [(bpe._decimal, b" ")])
+    enc, fast = bpe.text_encoder(vocabulary()), bpe.text_encoder(vocabulary(), library=True)
     r = random.Random(1)
     pool = [*"aAéÉßİΣς'sdlm 019²½́\x1c\x1f\x85  　中文テ😀!?<|>_-\n\t\x00\x0b", "'ll", "'re", "<|endoftext|>", "<|startoftext|>", "ΑΣ", "haha", "ing"]
     texts = ["".join(r.choice(pool) for _ in range(r.randint(0, 25))) for _ in range(3000)]
     texts += ["".join(r.choice("abcdehinost") for _ in range(r.randint(1, 14))) for _ in range(3000)] + ["a" * k for k in range(60)]
-    fast = bpe.packed_encoder(vocabulary())
-    for t, x, y in zip(texts, enc.block(texts)[0], fast.block(texts)[0], strict=True):
-        ids = library.encode(t, add_special_tokens=False).ids
-        assert x.decode() == " ".join(map(str, ids)), t
-        assert y == struct.pack(f"<{len(ids)}I", *ids), t
+    texts += ["x" + c + "y" + c for c in "\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\ufeff\u200b\x1c"] + ["ªº µ ŉ Ÿ İ ǅ ﬁ e\u0301 \u0301"]
+    for e in (enc, fast):
+        at, ids = e.block(pa.array(texts))
+        for k, t in enumerate(texts):
+            assert ids[at[k] : at[k + 1]].tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
-def test_bpe_without_cache(monkeypatch):
-    texts = ["some words here", "other words there", "some other things"] * 3
-    new = bpe.packed_encoder.__wrapped__
-    want = new(vocabulary()).block(texts)
-    monkeypatch.setattr(bpe, "CACHE", 2)
-    enc = new(vocabulary())
-    assert [enc.block(texts[:3])[0], enc.block(texts[3:])[0]] == [want[0][:3], want[0][3:]]
+def test_words_in_blocks():
+    r = random.Random(4)
+    texts = [None, "", "  ", " a\x1cb\x85c\xa0d  e\t\n\x0b\x0cf\r"] + ["".join(r.choice("ab \n\xa0") for _ in range(r.randint(0, 30))) for _ in range(200)]
+    for a, b in words.blocks(pa.array(texts), 100):
+        at, index, found = words.spelled(pa.array(texts).slice(a, b - a))
+        for k, t in enumerate(texts[a:b]):
+            assert [found[i].as_py().encode() for i in index[at[k] : at[k + 1]]] == (t or "").encode().split()
+    assert [x for a, b in words.blocks(pa.array(texts), 100) for x in range(a, b)] == list(range(len(texts)))
+    assert list(words.blocks(pa.array(["a" * 1000, "b"]), 10)) == [(0, 1), (1, 2)]
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -258,6 +261,28 @@ def test_rules_counts(docs, none, monkeypatch):
     assert quality_rules.verdicts(none).collect() == []
 
 
+def test_rules_fences_follow_their_group(spark):
+    """A group's fences come from its own documents: twice the measures, (nearly) twice the fences."""
+    r = random.Random(8)
+    say = lambda upper: " ".join("W" * upper + "".join(r.choices("aeiouy", k=10 - upper)) for _ in range(40 + r.randrange(20)))
+    rows = [(k, say(r.choice([1, 1, 1, 2, 3])), "en", "low") for k in range(3000)] + [(3000 + k, say(2 * r.choice([1, 1, 1, 2, 3])), "en", "high") for k in range(3000)]
+    rows += [(6000, say(7), "en", "low"), (6001, say(7), "en", "high"), (6002, say(7), "en", "few"), (6003, "a b c " * 40, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    f = {x["source_"]: x for x in quality_rules.fences(quality_rules.sketches(quality_rules.measured(d))).collect()}
+    assert f["=low"]["upper_share_ih"] * 1.8 < f["=high"]["upper_share_ih"] and f["=low"]["upper_share_oh"] < f["=few"]["upper_share_oh"] < f["=high"]["upper_share_oh"]
+    kept = {x["doc_id"]: x["kept"] for x in quality_rules.verdicts(d).collect()}
+    assert (kept[6000], kept[6001], kept[6002]) == (False, True, True)  # the same measures, judged by the group
+    assert sum(kept[k] for k in range(6000)) > 5900
+
+
+def test_rules_keep_clean_documents(spark):
+    """Rates on labelled documents."""
+    d, labels = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"), spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
+    v = quality_rules.verdicts(d).where("not base_failed").join(labels, "doc_id").toPandas()
+    assert v[(v.quality == 1) & (v.toxic == 0)].kept.mean() > 0.97
+    assert v[v.quality == 0].kept.mean() < 0.25
+
+
 def test_classifier(spark):
     d, labels = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"), spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
     w = quality_classifier.train(d, labels)
@@ -288,7 +313,8 @@ def test_html_blocks():
     page = "<body>one<!-- no --><script>x='</p>'</script><p class='a-b'>two <b>bold<br>&amp;<p>three<ul><li>x<li>y<a href=z>link</a></ul></div>end<style>q{}"
     found = html_extract.blocks(page)
     assert [b.text for b in found] == ["one", "two bold &", "three", "x", "ylink", "end"]
-    assert found[1].path == ("body", "p", ".a", ".b") and found[4].linked == 4
+    assert found[1].last == (".a", ".b") and found[4].linked == 4
+    assert set(found[1].parts.tolist()) == {html_extract._hashed(n, html_extract.PATH, 1) for n in ("body", "p", ".a", ".b")}
     assert html_extract.blocks(None) == [] and html_extract.blocks("<p> <br> </p>") == []
     assert [b.text for b in html_extract.blocks("a < b <p title='x>y'>c</p> <p title=\"un>closed")] == ["a < b", "c", "closed"]
 
@@ -312,12 +338,25 @@ def test_lstm_gradient():
         assert abs((up - down) / 2e-2 - grad[k][at]) < 2e-3 + 0.05 * abs(grad[k][at]), k
 
 
+def test_html_long_and_deep_pages(monkeypatch):
+    deep = "<div class=x>" * 8000 + "in the deep" + "</div>" * 8000 + "<p>after"
+    assert [(b.text, len(b.parts)) for b in html_extract.blocks(deep)] == [("in the deep", 2), ("after", 1)]
+    every = " ".join(f"<p class='{' '.join(f'c{j}' for j in range(40))}'>text {i}" for i in range(50))
+    assert len(html_extract.blocks("<footer>" + "<div class='a b c d e f g h'>" * 9 + every)[3].inside) == 1
+    model, vectors = html_extract.Labeller(), html_extract.Vectors()
+    page = html_extract.blocks("".join(f"<div class=a{i % 7}><p>text {i}, and more</p></div>" for i in range(300)))
+    want = model.label([vectors(page)])[0]
+    monkeypatch.setattr(html_extract, "STEPS", 64)
+    assert np.abs(model.label_long(page, vectors) - want).max() < 1e-5
+    assert html_extract.extracted(model, ["<p>x", "".join(f"<p>{i}</p>" for i in range(200))])
+
+
 def test_html_extraction(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "GENERATED", 350)
     pages = spark.read.parquet(f"{DATA}/sf0.001/pages.parquet")
     weights = html_extract.train(pages)
     got = html_extract.main_text(pages, weights).toPandas()
-    want = {p.page_id: "\n".join(b.text for b in html_extract.blocks(p.html) if "article" in b.path) for p in pages.toPandas().itertuples()}
+    want = {p.page_id: "\n".join(b.text for b in html_extract.blocks(p.html) if "article" in b.inside) for p in pages.toPandas().itertuples()}
     assert dict(zip(got.page_id, got.text, strict=True)) == want and (got.n_chars == got.text.str.len()).all()
     model, vectors, right, total = html_extract.Labeller.load(weights), html_extract.Vectors(), 0, 0
     for page, y in html_extract.generated(150, seed=123):  # pages not learned from
@@ -325,6 +364,10 @@ def test_html_extraction(spark, monkeypatch):
         right += int(((model.label([vectors(found)])[0] >= 0.5) == np.array(y)).sum())
         total += len(y)
     assert right / total > 0.96
+    clean = "The river rose in the night and the mill stood still, as it had in the years before."
+    bare = f"<html><body><p>{clean}</p><p>Nobody came, and nobody was asked to come.</p></body></html>"
+    plain = f"<body><div><h1>A mill</h1><p>{clean}</p><p>{clean}</p></div><div class=footer>Copyright by the mill</div></body>"
+    assert html_extract.extracted(model, [bare, plain]) == [f"{clean}\nNobody came, and nobody was asked to come.", f"A mill\n{clean}\n{clean}"]
     odd = spark.createDataFrame([(1, None, None, 0), (2, "u", "", 0), (2, "u", "<p", 0)], "page_id long, url string, html string, text int")
     assert [r["text"] for r in html_extract.main_text(odd, weights).collect()][:2] == ["", ""]
     assert html_extract.main_text(odd.limit(0), weights).collect() == []
@@ -420,7 +463,7 @@ def test_fingerprints(docs, none):
 
 
 def test_fingerprint_estimates():
-    shingle = fingerprints.shingler()
+    shingle = shingles.shingle
     r = random.Random(3)
     w = [f"w{r.randrange(10**6)}" for _ in range(3000)]
     a, b = shingle(" ".join(w[:2000])), shingle(" ".join(w[500:]))
