@@ -11,10 +11,28 @@ GRID = [*range(500, 15_001, 500), *range(20_000, 100_001, 5_000)]
 GRID43 = [b for b in GRID if b not in (50_000, 65_000, 85_000, 95_000)]
 
 
+def _arms(grid: list[int]) -> list[tuple[int, int, int]]:
+    """The grid as runs (first, step, last) of equal steps."""
+    out: list[tuple[int, int, int]] = []
+    for b in grid:
+        if out and (out[-1][0] == out[-1][2] or b - out[-1][2] == out[-1][1]):
+            out[-1] = (out[-1][0], b - out[-1][2], b)
+        else:
+            out.append((b, 1, b))
+    return out
+
+
 def closest_bucket(n: Column, grid: list[int] = GRID) -> Column:
-    """The bucket nearest to n; of two equally near the smaller; n is clamped to the grid."""
-    at = F.greatest(F.lit(grid[0]), F.least(F.lit(grid[-1]), n))
-    return F.array_min(F.transform(F.array(*map(F.lit, grid)), lambda b: F.struct(F.abs(b - at).alias("d"), b.alias("b"))))["b"].cast("int")
+    """The bucket nearest to n; of two equally near the smaller; n is clamped to the grid, null counts as its end.
+
+    Arithmetic on a few runs of equal steps, so that n, which may be the length of a long text, is computed once.
+    """
+    arms = _arms(grid)
+    near = lambda a, step, b: F.lit(a) + F.greatest(F.lit(0), F.least(F.lit(b - a), F.floor((n - a + (step - 1) // 2) / step) * step))
+    out = near(*arms[-1])
+    for (a, step, b), (after, _, _) in reversed([*zip(arms, arms[1:], strict=False)]):
+        out = F.when(n <= (b + after) // 2, near(a, step, b)).otherwise(out)
+    return F.coalesce(out.cast("int"), F.lit(grid[-1]))
 
 
 def rounded_bucket(n: Column) -> Column:
