@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
@@ -52,42 +51,36 @@ def title_of(root: Element) -> str:
     return t.text().strip() if t else ""
 
 
-def blocks(root: Element, page: Page, exclude: frozenset[str] = K.BODY_EXCLUDED, deadline: float | None = None) -> Iterator[Block]:
+def blocks(root: Element, page: Page, exclude: frozenset[str] = K.BODY_EXCLUDED) -> Iterator[Block]:
     """Blocks in document order with the heading that they stand under.
 
     Text outside block tags is left out. A heading appears once something follows it; a heading of the same or a higher
     level replaces those pending, so sections without content vanish and their parents stay.
     """
-    from .dom import OutOfTime
-
     heading, level = LEAD, 2
     waiting: list[tuple[str, int]] = []
-
-    def walk(e: Element) -> Iterator[Block]:
-        nonlocal heading, level
-        for c in e.elements():
-            if deadline and time.monotonic() > deadline:
-                raise OutOfTime
-            if K.not_printed(c) or (c.name == "table" and K.table_hidden(c)):
-                continue  # ancestors were judged on the way down
-            if len(c.name) == 2 and c.name[0] == "h" and c.name[1] in "23456":
-                new = int(c.name[1])
-                while waiting and waiting[-1][1] >= new:
-                    waiting.pop()
-                waiting.append((c.text().strip(), new))
-            elif c.name in BLOCK_TAGS:
-                text = _block(c, page, exclude)
-                if not text.strip():
-                    continue
-                while waiting:
-                    heading, level = waiting.pop(0)
-                    if waiting:
-                        yield heading, level, ""
-                yield heading, level, text
-            else:
-                yield from walk(c)
-
-    yield from walk(root)
+    stack = root.elements()[::-1]
+    while stack:
+        c = stack.pop()
+        page.check()
+        if K.not_printed(c) or (c.name == "table" and K.table_hidden(c)):
+            continue  # ancestors were judged on the way down
+        if len(c.name) == 2 and c.name[0] == "h" and c.name[1] in "23456":
+            new = int(c.name[1])
+            while waiting and waiting[-1][1] >= new:
+                waiting.pop()
+            waiting.append((c.text().strip(), new))
+        elif c.name in BLOCK_TAGS:
+            text = _block(c, page, exclude)
+            if not text.strip():
+                continue
+            while waiting:
+                heading, level = waiting.pop(0)
+                if waiting:
+                    yield heading, level, ""
+            yield heading, level, text
+        else:
+            stack += c.elements()[::-1]
 
 
 def _block(e: Element, page: Page, exclude: frozenset[str]) -> str:
@@ -128,9 +121,8 @@ class Document:
 
 def extract(html: str | None, ref_words: set[str] | frozenset[str] = frozenset(), seconds: float | None = None, **base: str | None) -> Document:
     """Everything that is read from a page, from one parse. Raises OutOfTime after `seconds`."""
-    deadline = time.monotonic() + seconds if seconds else None
-    root = ensure_base(parse(html, deadline), base_host(**base))
-    page = Page()
+    page = Page.within(seconds)
+    root = ensure_base(parse(html, page.deadline), base_host(**base))
     boxes = infoboxes(root, page)
-    text = assembled(blocks(root, page, deadline=deadline), title_of(root), ref_words)
+    text = assembled(blocks(root, page), title_of(root), ref_words)
     return Document(text, boxes, page.has_math)

@@ -37,16 +37,19 @@ def text_of(cell: Element, page: Page) -> str:
     """The cell's text; a reading without citations and hidden parts where that drops brackets, or finds text at all."""
     main = cell_text(cell, page, K.CELL_EXCLUDED).strip()
 
-    def parts(e: Element):
-        for c in e.children:
+    def parts():
+        stack: list[Element | str] = cell.children[::-1]
+        while stack:
+            c = stack.pop()
+            page.check()
             if isinstance(c, str):
                 yield c
             elif c.name == "br":
                 yield DOT
             elif not K.hidden(c) and not (c.name == "sup" and "reference" in c.classes):
-                yield from parts(c)
+                stack += c.children[::-1]
 
-    other = clean_value(" ".join(t for t in (p.strip() for p in parts(cell)) if t))
+    other = clean_value(" ".join(t for t in (p.strip() for p in parts()) if t))
     brackets = "[" in main and "]" in main and "[" not in other
     return other if brackets or (not main and other) else main
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+import time
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from . import classify as K
-from .dom import Element
+from .dom import Element, OutOfTime
 
 DOT = " · "
 NONE: frozenset[str] = frozenset()
@@ -16,9 +17,20 @@ NONE: frozenset[str] = frozenset()
 
 @dataclass
 class Page:
-    """State of one document: whether mathematics was met."""
+    """State of one document: whether mathematics was met, and when its time is up."""
 
     has_math: bool = False
+    deadline: float | None = None
+    seen: int = 0
+
+    @classmethod
+    def within(cls, seconds: float | None) -> Page:
+        return cls(deadline=time.monotonic() + seconds if seconds else None)
+
+    def check(self) -> None:
+        self.seen += 1
+        if self.deadline and not self.seen % 64 and time.monotonic() > self.deadline:
+            raise OutOfTime
 
 
 Token = tuple[str, frozenset[str]]  # text, types of the elements around it
@@ -34,33 +46,43 @@ def depth(e: Element) -> int:
 
 
 def tokens(node: Element, page: Page, around: frozenset[str] = NONE, exclude: frozenset[str] = NONE) -> Iterator[Token]:
-    """The text below a node, piece by piece. `exclude` acts on what this call renders itself and isn't handed down."""
-    if K.hidden(node) and not node.first("math"):
+    """The text below a node, piece by piece. `exclude` acts on the node's own children and isn't handed down.
+
+    The way down is a stack, so that nesting has no limit.
+    """
+    unseen = lambda e: K.hidden(e) and not e.first("math")
+    if unseen(node):
         return
-    here = around | K.kinds(node)
-    section = node.name == "section"
-    for c in node.children:
+    stack = [(iter(node.children), node, around | K.kinds(node))]
+    while stack:
+        children, e, here = stack[-1]
+        c = next(children, None)
+        if c is None:
+            stack.pop()
+            continue
+        page.check()
+        drop = exclude if e is node else NONE
         if isinstance(c, str):
             yield c, here
-        elif K.banner(c) or (K.hidden(c) and c.name != "math" and not c.first("math")):
+        elif K.banner(c) or (c.name != "math" and unseen(c)):
             continue
-        elif section and c.name == "section":
+        elif e.name == "section" and c.name == "section":
             yield "\n", here | {"Section"}
         elif c.name == "math":
             page.has_math = True
             yield c.get("alttext"), here
         elif c.name == "table":
-            yield table(c, page, exclude), here | _table_kinds(c)
+            yield table(c, page, drop), here | _table_kinds(c)
         elif c.name in ("ul", "ol"):
             yield from _list_tokens(c, page, here)
         elif c.name == "br":
             yield (DOT if c.inside("table") else "\n"), here
         elif c.name == "div" and c.inside("caption") and not c.text(strip=True):
             yield DOT, here
-        elif c.name == "div" and "Citation" in exclude and not {"reflist", "mw-references-wrap"}.isdisjoint(c.classes):
+        elif c.name == "div" and "Citation" in drop and not {"reflist", "mw-references-wrap"}.isdisjoint(c.classes):
             continue
         elif c.name not in ("script", "style"):
-            yield from tokens(c, page, here)
+            stack.append((iter(c.children), c, here | K.kinds(c)))
 
 
 def _table_kinds(e: Element) -> frozenset[str]:
@@ -150,14 +172,17 @@ def _table_cell(cell: Element, page: Page, exclude: frozenset[str]) -> str:
 
 
 def _without(e: Element, drop) -> Element:
+    """A copy without the elements below that are to be dropped."""
     out = Element(e.name, e.attrs, e.parent)
-    for c in e.children:
-        if isinstance(c, str):
-            out.children.append(c)
-        elif not drop(c):
-            child = _without(c, drop)
-            child.parent = out
-            out.children.append(child)
+    todo = [(e, out)]
+    while todo:
+        old, new = todo.pop()
+        for c in old.children:
+            if isinstance(c, str):
+                new.children.append(c)
+            elif not drop(c):
+                new.children.append(Element(c.name, c.attrs, new))
+                todo.append((c, new.children[-1]))
     return out
 
 

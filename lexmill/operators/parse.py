@@ -50,38 +50,47 @@ def forwarded(rows: DataFrame) -> DataFrame:
 OUTCOMES = ("extracted", "dropped", "timeout", "clean_error")
 
 
-def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str) -> DataFrame:
-    names = [key, *(x.split()[0] for x in schema.split(", "))]
+def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str, seconds: float | None = SECONDS) -> DataFrame:
+    """Rows (key, schema, error) of read(html, page state); a record that fails or takes too long is one row with its error."""
+    names = [key, *(x.split()[0] for x in schema.split(", ")), "error"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([(k, *row) for k, h in zip(pdf[key], pdf[html], strict=True) for row in read(h)], columns=names)
+            rows = []
+            for k, h in zip(pdf[key], pdf[html], strict=True):
+                try:
+                    rows += [(k, *row, None) for row in read(h, Page.within(seconds))]
+                except OutOfTime:
+                    rows.append((k, *[None] * (len(names) - 2), "timeout"))
+                except Exception as e:  # noqa: BLE001  a record's failure is a result
+                    rows.append((k, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
 
-    return pages.select(key, html).mapInPandas(run, f"{key} bigint, {schema}")
+    return pages.select(key, html).mapInPandas(run, f"{key} bigint, {schema}, error string")
 
 
 def html_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Rows (key, seq, heading, level, text)."""
-    return _each(pages, key, html, lambda h: [(k, *b) for k, b in enumerate(blocks(parse(h), Page()))], "seq int, heading string, level int, text string")
+    """Rows (key, seq, heading, level, text, error)."""
+    return _each(pages, key, html, lambda h, page: [(k, *b) for k, b in enumerate(blocks(parse(h, page.deadline), page))], "seq int, heading string, level int, text string")
 
 
 def html_lists(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Rows (key, list_no, text) of top-level lists."""
+    """Rows (key, list_no, text, error) of top-level lists."""
 
-    def read(h: str | None):
-        tops = [e for e in parse(h).all("ul", "ol") if not e.inside("ul", "ol")]
-        return [(k, list_text(e, Page(), classify.BODY_EXCLUDED)) for k, e in enumerate(tops)]
+    def read(h: str | None, page: Page):
+        tops = [e for e in parse(h, page.deadline).all("ul", "ol") if not e.inside("ul", "ol")]
+        return [(k, list_text(e, page, classify.BODY_EXCLUDED)) for k, e in enumerate(tops)]
 
     return _each(pages, key, html, read, "list_no int, text string")
 
 
 def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Rows (key, table_no, markdown, n_rows, n_cols) of top-level tables."""
+    """Rows (key, table_no, markdown, n_rows, n_cols, error) of top-level tables."""
 
-    def read(h: str | None):
+    def read(h: str | None, page: Page):
         out = []
-        for k, e in enumerate(t for t in parse(h).all("table") if not t.inside("table")):
-            md = table(e, Page(), classify.BODY_EXCLUDED)
+        for k, e in enumerate(t for t in parse(h, page.deadline).all("table") if not t.inside("table")):
+            md = table(e, page, classify.BODY_EXCLUDED)
             lines = md.split("\n") if md else []
             out.append((k, md, len(lines), lines[0].replace("\\|", "").count("|") - 1 if lines else 0))
         return out
@@ -90,18 +99,18 @@ def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
 
 
 def infobox_values(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Rows (key, box_no, title, entry, name, value_no, value)."""
+    """Rows (key, box_no, title, entry, name, value_no, value, error)."""
 
-    def read(h: str | None):
-        boxes = ordered(infoboxes(parse(h), Page()))
+    def read(h: str | None, page: Page):
+        boxes = ordered(infoboxes(parse(h, page.deadline), page))
         return [(n, b["title"], e, d["key"], v, x) for n, b in enumerate(boxes) for e, d in enumerate(b["data"]) for v, x in enumerate(d["values"])]
 
     return _each(pages, key, html, read, "box_no int, title string, entry int, name string, value_no int, value string")
 
 
 def html_markdown(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Rows (key, text, n_infoboxes, has_math)."""
-    return _each(pages, key, html, lambda h: [((d := extract(h)).text, len(d.infoboxes), d.has_math)], "text string, n_infoboxes int, has_math boolean")
+    """Rows (key, text, n_infoboxes, has_math, error)."""
+    return _each(pages, key, html, lambda h, page: [((d := extract(h, seconds=SECONDS)).text, len(d.infoboxes), d.has_math)], "text string, n_infoboxes int, has_math boolean")
 
 
 def base_hosts(pages: DataFrame, key: str = "page_id") -> DataFrame:

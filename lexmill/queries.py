@@ -182,7 +182,17 @@ def filter_counters(spark, sf_dir):
     return pages.counters(_verdicts(spark, sf_dir), "reason", filter_docs.REASONS)
 
 
-@query()
+_STOPS = ", ".join(f"('{lang}', '{w}')" for lang, words in filter_docs.STOP_WORDS.items() for w in dict.fromkeys(words))
+
+
+@query(
+    rf"""WITH stops(lang, w) AS (VALUES {_STOPS}),
+words AS (SELECT doc_id, lower(trim(w, '.,;:!?')) AS w, count(*) AS c FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS w FROM documents) GROUP BY ALL),
+hits AS (SELECT doc_id, lang, CAST(sum(c) AS BIGINT) AS h FROM words JOIN stops USING (w) GROUP BY ALL),
+best AS (SELECT doc_id, lang, h, sum(h) OVER (PARTITION BY doc_id) AS total, row_number() OVER (PARTITION BY doc_id ORDER BY h DESC, lang DESC) AS rn FROM hits)
+SELECT d.doc_id, coalesce(best.lang, 'und') AS lang, CASE WHEN regexp_matches(text, '\p{{Latin}}') THEN 'Latn' ELSE 'Zyyy' END AS script, coalesce(round(h / total, 6), 0) AS score
+FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id AND rn = 1"""
+)
 def language_prediction(spark, sf_dir):
     return filter_docs.with_predictions(docs_of(spark, sf_dir).select("doc_id", "text")).select("doc_id", "lang", "script", F.round("score", 6).alias("score"))
 
@@ -190,9 +200,8 @@ def language_prediction(spark, sf_dir):
 # Page records -------------------------------------------------------------------------------------------------------
 
 
-def raw_pages(spark, sf_dir) -> DataFrame:
-    """Page records made of the pages table, with redirects, disambiguations and other namespaces at fixed ids."""
-    p = table(spark, sf_dir, "pages")
+def raw_pages(p: DataFrame) -> DataFrame:
+    """Page records made of pages (page_id, url, html), with redirects, disambiguations and other namespaces at fixed ids."""
     i = F.col("page_id")
     at = lambda k: i % 23 == k
     html = (
@@ -212,7 +221,7 @@ def raw_pages(spark, sf_dir) -> DataFrame:
     )
 
 
-def _disambiguations(spark):
+def disambiguations(spark):
     return spark.range(0, 10_000, 29).select(F.concat(F.lit("Q"), "id").alias("item"))
 
 
@@ -225,14 +234,14 @@ judged AS (SELECT *, CASE WHEN page_id % 23 IN (1, 2) THEN 'ns' WHEN regexp_matc
 
 @query(f"WITH {_RAW} SELECT page_id, drop_reason FROM judged")
 def page_drop_reasons(spark, sf_dir):
-    return pages.judged(raw_pages(spark, sf_dir), _disambiguations(spark)).select(F.col("identifier").alias("page_id"), "drop_reason")
+    return pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)).select(F.col("identifier").alias("page_id"), "drop_reason")
 
 
 @query(
     f"""WITH {_RAW} SELECT count(*) AS total, """ + ", ".join(f"CAST(sum(CASE WHEN drop_reason = '{r}' THEN 1 ELSE 0 END) AS BIGINT) AS {r}" for r in pages.REASONS) + " FROM judged"
 )
 def page_counters(spark, sf_dir):
-    return pages.counters(pages.judged(raw_pages(spark, sf_dir), _disambiguations(spark)))
+    return pages.counters(pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)))
 
 
 @query(
@@ -240,7 +249,7 @@ def page_counters(spark, sf_dir):
   CAST(strlen(html) AS BIGINT) AS bytes_html, wikitext, page_id * 10 AS version FROM judged WHERE drop_reason = 'kept'"""
 )
 def page_documents(spark, sf_dir):
-    d = pages.documents(pages.judged(raw_pages(spark, sf_dir), _disambiguations(spark)))
+    d = pages.documents(pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)))
     return d.select("id", "metadata.page_id", "metadata.title", "metadata.url", "metadata.wikidata_id", "metadata.bytes_html", "metadata.wikitext", "metadata.version")
 
 
@@ -249,19 +258,13 @@ def page_documents(spark, sf_dir):
   CAST(strlen(html) AS BIGINT) AS bytes_html, wikitext, page_id * 10 AS version, '[]' AS infoboxes, false AS has_math FROM judged WHERE drop_reason = 'kept'"""
 )
 def published_schema(spark, sf_dir):
-    d = pages.documents(pages.judged(raw_pages(spark, sf_dir), _disambiguations(spark)))
+    d = pages.documents(pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)))
     from .schemas import INFOBOXES
 
     d = d.withColumn("metadata", F.col("metadata").withField("infoboxes", F.array().cast(INFOBOXES)).withField("has_math", F.lit(None).cast("boolean")))
     return filter_docs.published(d).drop("text")
 
 
-@query()
-def parsed_pages(spark, sf_dir):
-    d = pages.documents(pages.judged(raw_pages(spark, sf_dir), _disambiguations(spark)))
-    return parse.parsed(d).select("id", F.char_length("text").alias("n_chars"), F.size("infoboxes").alias("n_infoboxes"), "has_math", "outcome")
-
-
 @query("SELECT page_id, coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), ''), 'wikipedia.org') AS host FROM pages")
 def url_host(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", host_of(F.col("url"), F.lit(None).cast("string")).alias("host"))
@@ -279,55 +282,6 @@ def wiki_folders(spark, sf_dir):
     return rows.select("folder", wiki_language(F.col("folder")).alias("language"), page_key(F.col("lang"), F.col("doc_id")).alias("id"))
 
 
-# HTML ---------------------------------------------------------------------------------------------------------------
-
-
-@query()
-def html_blocks(spark, sf_dir):
-    return parse.html_blocks(table(spark, sf_dir, "pages"))
-
-
-@query()
-def html_markdown(spark, sf_dir):
-    return parse.html_markdown(table(spark, sf_dir, "pages"))
-
-
-@query()
-def html_reassembled(spark, sf_dir):
-    words = spark.createDataFrame([("References",)], "heading string")
-    return parse.reassembled(parse.blocks_without(parse.html_blocks(table(spark, sf_dir, "pages")), words, ["heading"]))
-
-
-@query()
-def html_lists(spark, sf_dir):
-    return parse.html_lists(table(spark, sf_dir, "pages"))
-
-
-def _wiki_like(spark, sf_dir) -> DataFrame:
-    """Orders as pages with a data table and an infobox."""
-    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    row = F.concat(F.lit("<tr><td>"), "l_linenumber", F.lit("</td><td>"), F.col("l_quantity").cast("int"), F.lit("</td><td>"), "l_returnflag", F.lit("</td></tr>"))
-    rows = o.groupBy("o_orderkey", "o_orderstatus", "o_orderpriority").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity", row.alias("r")))).alias("rows"))
-    html = F.concat(
-        F.lit('<table class="infobox"><caption>Order '), "o_orderkey", F.lit("</caption><tr><th>Status:</th><td>"), "o_orderstatus", F.lit("</td></tr><tr><th>Priority</th><td>"),
-        "o_orderpriority", F.lit("</td></tr></table><table class=wikitable><tr><th>no</th><th>qty</th><th>flag</th></tr>"), F.array_join(F.transform("rows", lambda x: x["r"]), ""), F.lit("</table>"),
-    )
-    return rows.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
-
-
-@query()
-def html_tables(spark, sf_dir):
-    return parse.html_tables(_wiki_like(spark, sf_dir))
-
-
-@query(
-    """SELECT DISTINCT o_orderkey AS page_id, 0 AS box_no, 'Order ' || o_orderkey AS title, e.entry, e.name, 0 AS value_no, CASE e.entry WHEN 0 THEN o_orderstatus ELSE o_orderpriority END AS value
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey CROSS JOIN (VALUES (0, 'Status'), (1, 'Priority')) e(entry, name)"""
-)
-def infobox_kv(spark, sf_dir):
-    return parse.infobox_values(_wiki_like(spark, sf_dir))
-
-
 # Catalogue ----------------------------------------------------------------------------------------------------------
 
 
