@@ -28,14 +28,16 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--disambiguation-ids")
     c.add_argument("--reference-words")
     c.add_argument("--seconds", type=float, default=parse.SECONDS)
+    c.add_argument("--whole-files", action="store_true", help="let Spark open the archives, each whole in memory")
     command("filter", "documents", "script_map", "out")
     c = command("publish", "documents", "out")
     c.add_argument("--max-docs", type=int, default=0)
     c.add_argument("--max-files", type=int, default=0)
     c.add_argument("--by-language", action="store_true")
     c.add_argument("--rows-per-file", type=int)
-    command("stats", "published")
-    command("histogram", "published", "out")
+    c.add_argument("--mb-per-file", type=int, default=500)
+    for c in (command("stats", "published"), command("histogram", "published", "out")):
+        c.add_argument("--max-items", type=int, default=0, help="read so many articles at most; 0: all")
     c = command("sample", "published", "out")
     c.add_argument("--per-bucket", type=int, default=lengths.PER_BUCKET)
     command("estimate", "results", "out")
@@ -51,20 +53,17 @@ def main(args: list[str] | None = None) -> None:
     a = parser().parse_args(args)
     spark = session()
     if a.command == "extract":
-        lines = archives.read_tar_jsonl(spark, a.archives)
-        if a.task_ids:
-            chosen = pages.selected_files(archives.files(spark, a.archives, "*.tar.gz"), task_ids(a.task_ids))
-            lines = lines.join(F.broadcast(chosen), "path", "left_semi")
+        chosen = pages.selected_files(archives.files(spark, a.archives, "*.tar.gz"), task_ids(a.task_ids)) if a.task_ids else None
+        lines = archives.read_tar_jsonl(spark, a.archives, chosen=chosen, streamed=not a.whole_files)
         ids = files.read_disambiguation_ids(spark, a.disambiguation_ids) if a.disambiguation_ids else None
         words: dict[str, list[str]] = {}
         if a.reference_words:
             for r in files.read_reference_words(spark, a.reference_words).collect():  # a lookup of some hundred headings
                 words.setdefault(f"{r['wiki']}wiki", []).append(r["heading"])
         docs = pages.documents(pages.judged(pages.records(lines), ids))
-        read = parse.parsed(docs, words, a.seconds).withColumnRenamed("text", "parsed")
-        done = docs.join(read.where("outcome = 'extracted'"), "id")
+        done = parse.forwarded(parse.parsed(docs, words, a.seconds))
         meta = F.col("metadata").withField("infoboxes", F.col("infoboxes")).withField("has_math", F.col("has_math"))
-        files.write_documents(done.select(F.col("parsed").alias("text"), "id", meta.alias("metadata")), a.out)
+        files.write_documents(done.select("text", "id", meta.alias("metadata")), a.out)
     elif a.command == "filter":
         docs = files.read_documents(spark, a.documents)
         wiki = wiki_language(F.concat("metadata.wikiname", F.lit("_namespace_0")))
@@ -72,13 +71,13 @@ def main(args: list[str] | None = None) -> None:
         judged = filter_docs.verdict(filter_docs.with_predictions(rows), filter_docs.script_map(files.read_script_map(spark, a.script_map)))
         files.write_documents(judged.where("reason = 'kept'"), a.out)
     elif a.command == "publish":
-        docs = filter_docs.published(files.read_documents(spark, a.documents))
+        docs = filter_docs.published(files.read_documents(spark, a.documents, a.max_files))
         docs = docs.orderBy("id").limit(a.max_docs) if a.max_docs else docs
-        files.write_published(docs, a.out, a.by_language, a.rows_per_file)
+        files.write_published(docs, a.out, a.by_language, a.rows_per_file, bytes_per_file=a.mb_per_file * 10**6)
     elif a.command == "stats":
-        lengths.length_stats(files.read_published(spark, a.published)).show(vertical=True)
+        lengths.length_stats(files.capped(files.read_published(spark, a.published), a.max_items)).show(vertical=True)
     elif a.command == "histogram":
-        files.to_json_object(lengths.bucket_histogram(files.read_published(spark, a.published)), "bucket").write.text(a.out)
+        files.to_json_object(lengths.bucket_histogram(files.capped(files.read_published(spark, a.published), a.max_items)), "bucket").write.text(a.out)
     elif a.command == "sample":
         lengths.sample_first(files.read_published(spark, a.published), a.per_bucket, key="id").orderBy("bucket", "rn").write.json(a.out)
     elif a.command == "estimate":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.scalar import page_key
 from ..schemas import RAW_PAGE
@@ -75,10 +76,11 @@ def counters(rows: DataFrame, reason: str = "drop_reason", names: tuple[str, ...
 
 def selected_files(files: DataFrame, ids: list[int] | None) -> DataFrame:
     """Files (path) with their place in name order as task_id; only those asked for. An id out of range fails."""
-    numbered = files.sparkSession.createDataFrame([(k, r["path"]) for k, r in enumerate(files.select("path").orderBy("path").collect())], "task_id int, path string")
-    n = numbered.count()
+    by_name = Window.orderBy("path")  # paths of a listing only, one row per archive
+    numbered = files.select((F.row_number().over(by_name) - 1).alias("task_id"), "path")
     if ids is None:
         return numbered
+    n = files.count()
     if bad := [i for i in ids if not 0 <= i < n]:
         raise ValueError(f"task ids out of range: {bad}")
     return numbered.where(F.col("task_id").isin(ids))

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..html import classify
 from ..html.document import blocks, ensure_base, base_host, extract
@@ -19,28 +22,32 @@ SECONDS = 5.0
 
 
 def parsed(docs: DataFrame, ref_words: dict[str, list[str]] | None = None, seconds: float = SECONDS) -> DataFrame:
-    """Documents (id, text, metadata) with parsed text, infoboxes, has_math and outcome.
+    """Documents (id, text, metadata) with parsed text, infoboxes, has_math and outcome; metadata passes as it is.
 
     outcome: extracted, dropped (no text), timeout or clean_error; a bad record never fails its task.
     ref_words: wiki -> headings left out.
     """
     words = {k: frozenset(v) for k, v in (ref_words or {}).items()}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for i, html, url, wiki in zip(pdf["id"], pdf["html"], pdf["url"], pdf["wikiname"], strict=True):
-                try:
-                    d = extract(html, words.get(wiki or "", frozenset()), seconds, url=url, wikiname=wiki)
-                    rows.append((i, d.text, ordered(d.infoboxes), d.has_math, "extracted" if d.text else "dropped", None))
-                except OutOfTime:
-                    rows.append((i, None, None, None, "timeout", None))
-                except Exception as e:  # noqa: BLE001  a record's failure is a result
-                    rows.append((i, None, None, None, "clean_error", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["id", "text", "infoboxes", "has_math", "outcome", "error"])
-
-    flat = docs.select("id", F.col("text").alias("html"), F.col("metadata.url").alias("url"), F.col("metadata.wikiname").alias("wikiname"))
-    return flat.mapInPandas(run, f"id string, text string, infoboxes {INFOBOXES}, has_math boolean, outcome string, error string")
+    read = T.StructType.fromDDL(f"text string, infoboxes {INFOBOXES}, has_math boolean, outcome string, error string")
+
+    def one(html, url, wiki) -> dict:
+        try:
+            d = extract(html, words.get(wiki or "", frozenset()), seconds, url=url, wikiname=wiki)
+            return {"text": d.text, "infoboxes": ordered(d.infoboxes), "has_math": d.has_math, "outcome": "extracted" if d.text else "dropped"}
+        except OutOfTime:
+            return {"outcome": "timeout"}
+        except Exception as e:  # noqa: BLE001  a record's failure is a result
+            return {"outcome": "clean_error", "error": f"{type(e).__name__}: {e}"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            meta = b.column("metadata")
+            url, wiki = meta.field("url").to_pylist(), meta.field("wikiname").to_pylist()
+            rows = pa.array([one(h, u, w) for h, u, w in zip(b.column("text").to_pylist(), url, wiki, strict=True)], pa.struct(list(to_arrow_schema(read))))
+            yield pa.RecordBatch.from_arrays([b.column("id"), *rows.flatten(), meta], names=["id", *read.names, "metadata"])
+
+    out = T.StructType([docs.schema["id"], *read, docs.schema["metadata"]])
+    return docs.select("id", "text", "metadata").mapInArrow(run, out)
 
 
 def forwarded(rows: DataFrame) -> DataFrame:

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalar import cleanup_percent
+from ..staging import stage, unstage
+
+#: Up to so many query vectors (some kB each) are broadcast.
+BROADCAST_QUERIES = 10_000
 
 
 def chunks(docs: DataFrame, size: int = 100_000, key: str = "doc_id") -> DataFrame:
@@ -77,16 +81,16 @@ def exact_clusters(names: DataFrame, column: str = "entity") -> DataFrame:
     return rows.join(low, ["graph_id", "k"]).select("graph_id", "member", "representative")
 
 
-def near_clusters(names: DataFrame, column: str = "entity", similarity: float = 0.8, rounds: int = 20) -> DataFrame:
+def near_clusters(names: DataFrame, column: str = "entity", similarity: float = 0.8) -> DataFrame:
     """As exact_clusters, and further names whose character trigrams have the given Jaccard similarity.
 
-    Candidates share one of their rarest trigrams (a prefix that any similar pair must share), then labels spread over
-    the links until none changes.
+    Candidates share one of their rarest trigrams (a prefix that any similar pair must share), then the smallest name of
+    each component spreads over the links until nothing changes.
     """
-    exact = exact_clusters(names, column)
+    exact = stage(exact_clusters(names, column), "kg-exact")
     reps = exact.select("graph_id", F.col("representative").alias("name")).distinct().withColumn("k", normal_key(F.col("name")))
     n = F.greatest(F.char_length("k") - 2, F.lit(1))
-    grams = reps.withColumn("grams", F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(F.col("k"), i, F.lit(3)))))
+    grams = stage(reps.withColumn("grams", F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(F.col("k"), i, F.lit(3))))), "kg-grams")
     each = grams.select("graph_id", "name", F.explode("grams").alias("gram"), F.size("grams").alias("n"))
     often = each.groupBy("graph_id", "gram").agg(F.count(F.lit(1)).alias("df"))
     order = Window.partitionBy("graph_id", "name").orderBy("df", "gram")  # a name's own trigrams
@@ -97,18 +101,30 @@ def near_clusters(names: DataFrame, column: str = "entity", similarity: float =
     sets = grams.select("graph_id", "name", "grams")
     pairs = pairs.join(sets.toDF("graph_id", "a", "ga"), ["graph_id", "a"]).join(sets.toDF("graph_id", "b", "gb"), ["graph_id", "b"])
     like = F.size(F.array_intersect("ga", "gb")) / F.size(F.array_union("ga", "gb")) >= similarity
-    links = pairs.where(like).select("graph_id", "a", "b")
-    links = links.union(links.select("graph_id", F.col("b"), F.col("a"))).toDF("graph_id", "a", "b").persist()
-    labels = reps.select("graph_id", "name", F.col("name").alias("label"))
-    for _ in range(rounds):
-        near = links.join(labels.withColumnRenamed("name", "b"), ["graph_id", "b"]).groupBy("graph_id", "a").agg(F.min("label").alias("low")).withColumnRenamed("a", "name")
-        new = labels.join(near, ["graph_id", "name"], "left").select("graph_id", "name", F.least("label", F.coalesce("low", "label")).alias("label"), (F.col("low") < F.col("label")).alias("moved"))
-        new = new.persist()
-        done = new.where("moved").isEmpty()
-        labels = new.drop("moved")
-        if done:
-            break
-    return exact.join(labels.withColumnRenamed("name", "representative"), ["graph_id", "representative"]).select("graph_id", "member", F.col("label").alias("representative"))
+    labels = smallest_of_components(stage(pairs.where(like).select("graph_id", "a", "b"), "kg-links"))
+    found = exact.join(labels.withColumnRenamed("name", "representative"), ["graph_id", "representative"], "left")
+    return found.select("graph_id", "member", F.coalesce("label", "representative").alias("representative"))
+
+
+def smallest_of_components(links: DataFrame) -> DataFrame:
+    """(graph_id, name, label) of every name in the links (graph_id, a, b): the smallest name of its component.
+
+    Labels are the smallest of the neighbours' labels; then each takes its label's label, so that long chains take a
+    logarithm of rounds. Rounds go on until no label changes; each is staged.
+    """
+    both = stage(links.union(links.select("graph_id", "b", "a")).distinct(), "kg-links")
+    labels = stage(both.groupBy("graph_id", F.col("a").alias("name")).agg(F.least(F.col("name"), F.min("b")).alias("label")), "kg-labels")
+    while True:
+        near = both.join(labels.withColumnRenamed("name", "b"), ["graph_id", "b"]).groupBy("graph_id", F.col("a").alias("name")).agg(F.min("label").alias("low"))
+        low = labels.join(near, ["graph_id", "name"]).select("graph_id", "name", F.col("label").alias("old"), F.least("label", "low").alias("label"))
+        low = stage(low, "kg-low")
+        hop = low.select("graph_id", F.col("name").alias("label"), F.col("label").alias("further"))
+        new = stage(low.join(hop, ["graph_id", "label"]).select("graph_id", "name", "old", F.least("label", "further").alias("label")), "kg-labels")
+        moved = not new.where("label <> old").isEmpty()
+        unstage(labels), unstage(low)
+        if not moved:
+            return new.drop("old")
+        labels = new
 
 
 def relabelled(relations: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -140,34 +156,45 @@ def as_lists(relations: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, k: int = 5, every: int = 100, block: int = 512) -> DataFrame:
     """(query, rn, neighbour, similarity): the k nearest by cosine of each vector whose id is divisible by `every`.
 
-    Queries go out in blocks: each batch of vectors meets a block as a matrix product and keeps k per query.
+    Queries and vectors are packed into blocks; each block of vectors meets each block of queries as one matrix product
+    that keeps k per query. Up to BROADCAST_QUERIES queries are broadcast, more are joined by a shuffle.
     """
-    queries = vectors.where(F.col("vec_id") % every == 0).select("vec_id", "embedding")
-    packed = queries.groupBy(F.floor(F.col("vec_id") / (every * block)).alias("b")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q"))  # at most `block` ids in each
+    pack = lambda rows, size, name: rows.groupBy(F.floor(F.col("vec_id") / size).alias(f"{name}_at")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias(name))
+    asked = vectors.where(F.col("vec_id") % every == 0).select("vec_id", "embedding")
+    queries = pack(asked, every * block, "q").withColumn("one", F.lit(1))
+    many = asked.count()
+    if many > BROADCAST_QUERIES:  # every block of vectors is sent to each block of queries, not the other way
+        at = stage(queries.select("q_at"), "knn-blocks")
+        met = pack(vectors, block, "v").join(F.broadcast(at)).join(queries, "q_at")
+    else:
+        met = pack(vectors, block, "v").withColumn("one", F.lit(1)).join(F.broadcast(queries), "one")
 
     def run(batches):
         for batch in batches:
-            pdf = batch.to_pandas()
-            out = []
-            for _, part in pdf.groupby("b"):
-                q = part["q"].iloc[0]
-                ids = np.array([x["vec_id"] for x in q])
-                a = np.array([x["embedding"] for x in q], float)
-                v, vid = np.array(part["embedding"].tolist(), float), part["vec_id"].to_numpy()
-                s = (a / np.linalg.norm(a, axis=1, keepdims=True)) @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T
+            for found, asked in zip(batch.column(0), batch.column(1), strict=True):
+                ids, a = _matrix(asked)
+                vid, v = _matrix(found)
+                s = a @ v.T
+                s[vid[None, :] == ids[:, None]] = -2
+                out = []
                 for i, row in enumerate(s):
-                    row[vid == ids[i]] = -2
-                    top = np.lexsort((vid, -row))[:k]
-                    out += [(int(ids[i]), int(vid[t]), float(row[t])) for t in top if row[t] > -2]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.float64()], strict=True)] if out else [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["query", "neighbour", "s"])
-
-    blocks = packed.select("b").distinct()
-    met = vectors.select("vec_id", "embedding").join(F.broadcast(blocks)).join(packed, "b").select("b", "vec_id", "embedding", "q")
-    best = met.mapInArrow(run, "query bigint, neighbour bigint, s double")
+                    near = np.flatnonzero(row >= np.partition(row, -k)[-k]) if len(row) > k else np.arange(len(row))
+                    out += [(int(ids[i]), int(vid[t]), float(row[t])) for t in near[np.lexsort((vid[near], -row[near]))[:k]] if row[t] > -2]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.float64()], strict=True)], names=["query", "neighbour", "s"])
+
+    best = met.select("v", "q").mapInArrow(run, "query bigint, neighbour bigint, s double")
     w = Window.partitionBy("query").orderBy(F.desc("s"), "neighbour")
     return best.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).select("query", F.col("rn").cast("bigint").alias("rn"), "neighbour", F.round("s", 6).alias("similarity"))
 
 
+def _matrix(rows: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of an array<struct<vec_id, embedding>>."""
+    ids, vectors = rows.values.field(0).to_numpy(), rows.values.field(1)
+    m = vectors.flatten().to_numpy().astype(float).reshape(len(ids), -1)
+    return ids, m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
 def merged(relations: DataFrame, size: int = 100, path: str | None = None) -> DataFrame:
     """One graph of all: groups of `size` graphs are united and de-duplicated, then the results at once.
 

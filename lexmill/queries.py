@@ -352,7 +352,16 @@ def kg_dedup_exact(spark, sf_dir):
     return graphs.exact_clusters(graphs.entities(_relations(spark, sf_dir)))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_REL}, {_CLUSTER},
+grams AS (SELECT graph_id, name, list_distinct(list_transform(range(1, greatest(length(k) - 2, 1) + 1), lambda i: k[i:i + 2])) AS g
+  FROM (SELECT DISTINCT graph_id, representative AS name, {_KEY.format("representative")} AS k FROM clusters)),
+like_ AS (SELECT x.graph_id, x.name AS a, y.name AS b FROM grams x JOIN grams y ON x.graph_id = y.graph_id AND x.name <> y.name AND 0.8 * len(x.g) <= len(y.g) AND 0.8 * len(y.g) <= len(x.g)
+  WHERE len(list_intersect(x.g, y.g)) / (len(x.g) + len(y.g) - len(list_intersect(x.g, y.g))) >= 0.8),
+reach(graph_id, name, r) AS (SELECT graph_id, name, name FROM grams UNION SELECT l.graph_id, reach.name, l.b FROM reach JOIN like_ l ON l.graph_id = reach.graph_id AND l.a = reach.r),
+low AS (SELECT graph_id, name, min(r) AS r FROM reach GROUP BY ALL)
+SELECT c.graph_id, member, low.r AS representative FROM clusters c JOIN low ON low.graph_id = c.graph_id AND low.name = c.representative"""
+)
 def kg_dedup_near(spark, sf_dir):
     return graphs.near_clusters(graphs.entities(_relations(spark, sf_dir)))
 

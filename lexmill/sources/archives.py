@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -27,40 +29,63 @@ def lines_of(data: io.BufferedIOBase) -> Iterator[tuple[str, int, str]]:
                     yield member.name, n, line
 
 
-def read_tar_jsonl(spark: SparkSession, path: str, batch: int = 500, spread: int | None = None) -> DataFrame:
-    """Lines of *.tar.gz files under a path that any of Spark's file systems can open.
+def opened(path: str):
+    """A file as a stream: a local or mounted one, or one in a store that Arrow knows by its address."""
+    scheme = path.split("://", 1)[0] if "://" in path else path.split(":/", 1)[0] if ":/" in path else ""
+    if scheme in ("", "file"):
+        return open(re.sub("^file:/+", "/", path), "rb")
+    store, inside = pafs.FileSystem.from_uri(path)
+    return store.open_input_stream(inside, buffer_size=1 << 20)
 
-    A file is one task, since gzip can't be split; `spread` deals the lines out again for costly parsing.
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["path", "member", "line_no", "value"])
+
+
+def _batches(name: str, data, size: int) -> Iterator[pa.RecordBatch]:
+    rows = []
+    for member, n, line in lines_of(data):
+        rows.append((name, member, n, line))
+        if len(rows) >= size:
+            yield _batch(rows)
+            rows = []
+    if rows:
+        yield _batch(rows)
+
+
+def read_tar_jsonl(spark: SparkSession, path: str, batch: int = 100, spread: int | None = None, chosen: DataFrame | None = None, streamed: bool = True) -> DataFrame:
+    """Lines of *.tar.gz files under a path; `chosen` (path) are those to read, if not all.
+
+    A file is one task, since gzip can't be split, and is read as a stream: memory is bounded by `batch` lines. `spread`
+    deals the lines out again for costly parsing. Not streamed, Spark's own reader opens the files, whole, from any of
+    its file systems.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").option("recursiveFileLookup", "true").load(path).select("path", "content")
-
-    def run(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                name, rows = b.column(0)[k].as_py(), []
-                for member, n, line in lines_of(io.BytesIO(b.column(1)[k].as_py())):
-                    rows.append((name, member, n, line))
-                    if len(rows) >= batch:
-                        yield _batch(rows)
-                        rows = []
-                if rows:
-                    yield _batch(rows)
-
-    def _batch(rows):
-        types = [pa.string(), pa.string(), pa.int64(), pa.string()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["path", "member", "line_no", "value"])
-
-    out = files.mapInArrow(run, LINES)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").option("recursiveFileLookup", "true").load(path)
+    if chosen is not None:
+        listed = listed.join(F.broadcast(chosen.select("path")), "path", "left_semi")  # a listing: one row per archive
+    if streamed:
+        paths = listed.select("path")
+        paths = paths.repartition(max(1, paths.count()))  # round robin: one file each
+        out = paths.mapInArrow(lambda it: (x for b in it for name in b.column(0).to_pylist() for x in _streamed(name, batch)), LINES)
+    else:
+        whole = listed.select("path", "content")
+        out = whole.mapInArrow(lambda it: (x for b in it for k in range(b.num_rows) for x in _batches(b.column(0)[k].as_py(), io.BytesIO(b.column(1)[k].as_py()), batch)), LINES)
     return out.repartition(spread) if spread else out
 
 
+def _streamed(name: str, size: int) -> Iterator[pa.RecordBatch]:
+    with opened(name) as data:
+        yield from _batches(name, data, size)
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path
 
 
 class TarJsonLines(DataSource):
-    """spark.read.format("tarjsonl").load(glob): one input partition per local or mounted file."""
+    """spark.read.format("tarjsonl").load(path): one input partition per file, read as a stream."""
 
     @classmethod
     def name(cls) -> str:
@@ -81,13 +106,17 @@ class _Reader(DataSourceReader):
         import glob
         import os
 
-        found = glob.glob(os.path.join(self.path, "**", "*.tar.gz"), recursive=True) if os.path.isdir(self.path) else glob.glob(self.path)
+        if "://" in self.path and not self.path.startswith("file:"):
+            store, inside = pafs.FileSystem.from_uri(self.path)
+            scheme = self.path.split("://", 1)[0]
+            found = [f"{scheme}://{f.path}" for f in store.get_file_info(pafs.FileSelector(inside, recursive=True)) if f.path.endswith(".tar.gz")]
+        else:
+            local = re.sub("^file:/+", "/", self.path)
+            found = glob.glob(os.path.join(local, "**", "*.tar.gz"), recursive=True) if os.path.isdir(local) else glob.glob(local)
         return [_File(p) for p in sorted(found)]
 
     def read(self, partition: _File):
-        with open(partition.path, "rb") as f:
-            for member, n, line in lines_of(f):
-                yield partition.path, member, n, line
+        yield from _streamed(partition.path, 100)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

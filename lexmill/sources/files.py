@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import METADATA, PUBLISHED, SAMPLE_RESULT, SCRIPT_MAP
 from ..functions.scalar import last_segment
+from ..operators.catalog import first_files
 
 
 def write_documents(docs: DataFrame, path: str, mode: str = "error") -> None:
@@ -16,7 +17,11 @@ def write_documents(docs: DataFrame, path: str, mode: str = "error") -> None:
     docs.select("text", "id", "metadata").write.mode(mode).json(path)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, max_files: int = 0) -> DataFrame:
+    """Documents from JSON lines; the first `max_files` files by name, 0: all."""
+    if max_files:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+        path = [r["path"] for r in first_files(listed.where(~F.col("path").rlike("/[_.][^/]*$")), max_files).collect()]  # as many names as asked for
     meta = ", ".join(f"{x.split(' ', 1)[0]}: {x.split(' ', 1)[1]}" for x in _fields(METADATA))
     return spark.read.schema(f"text string, id string, metadata struct<{meta}>").json(path)
 
@@ -49,8 +54,13 @@ def read_reference_words(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("wiki", F.explode("words").alias("heading"))
 
 
-def write_published(rows: DataFrame, path: str, by_language: bool = False, rows_per_file: int | None = None, mode: str = "error") -> None:
-    """The fixed schema as Parquet, by language code if asked, with at most rows_per_file rows in a file."""
+def write_published(rows: DataFrame, path: str, by_language: bool = False, rows_per_file: int | None = None, mode: str = "error", bytes_per_file: int | None = None) -> None:
+    """The fixed schema as Parquet, by language code if asked, with at most rows_per_file rows in a file, or about
+    bytes_per_file bytes of text (before compression) by the mean size of a row."""
+    if bytes_per_file:
+        mean = rows.agg(F.avg(F.coalesce(F.octet_length("text"), F.lit(0)) + F.coalesce(F.octet_length("wikitext"), F.lit(0)) + F.coalesce(F.octet_length("infoboxes"), F.lit(0)))).first()[0]
+        fitting = max(1, int(bytes_per_file / max(1.0, mean or 1.0)))
+        rows_per_file = min(rows_per_file or fitting, fitting)
     w = rows.select(*[F.col(n).cast(t).alias(n) for n, t in PUBLISHED]).write.mode(mode)
     w = w.option("maxRecordsPerFile", rows_per_file) if rows_per_file else w
     (w.partitionBy("language_code") if by_language else w).parquet(path)
@@ -60,6 +70,11 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(", ".join(f"{n} {t}" for n, t in PUBLISHED)).parquet(path)
 
 
+def capped(rows: DataFrame, max_items: int = 0) -> DataFrame:
+    """At most so many rows; 0: all."""
+    return rows.limit(max_items) if max_items else rows
+
+
 def read_sample_results(spark: SparkSession, path: str) -> DataFrame:
     """Nested sample results, one file each; files that don't parse are marked by `corrupt`."""
     ddl = f"{SAMPLE_RESULT}, corrupt string"

@@ -147,3 +147,19 @@ def test_out_of_time():
 def test_assembled_levels():
     assert assembled(iter([("_Lead", 2, "a"), ("H", 9, " b"), ("H", 9, " c")]), "T") == "# T\na\n\n###### H\nb\n c\n"
     assert list(blocks(parse("<section><h2>A</h2><section><p>x</p></section></section>"), Page())) == [("A", 2, "x")]
+
+
+def test_deep_pages():
+    deep = "<div>" * 5000 + "<p>" + "<span>" * 5000 + "x" + "</span>" * 5000 + "</p>" + "</div>" * 5000
+    assert body(deep) == "x\n"
+    cell = "<table><tr><td>" + "<b>" * 4000 + "y<img alt=no>" + "</b>" * 4000 + "</td></tr></table>"
+    assert md(cell) == "| y |"
+    assert boxes(cell.replace("<table>", "<table class=infobox>").replace("<td>", "<td>k</td><td>", 1)) == [{"title": "", "data": {"k": "y"}}]
+
+
+def test_time_in_tables_and_lists():
+    page = Page.within(-1)
+    with pytest.raises(OutOfTime):
+        table(parse("<table><tr>" + "<td>x<b>y</b></td>" * 200 + "</tr></table>").first("table"), page)
+    with pytest.raises(OutOfTime):
+        list_text(parse("<ul>" + "<li>x<b>y</b></li>" * 200 + "</ul>").first("ul"), page, classify.BODY_EXCLUDED)

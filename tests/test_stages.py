@@ -216,6 +216,42 @@ def test_append_missing(spark, tmp_path):
     assert files.drop_cached(spark, str(tmp_path / "c"))
 
 
+def test_failing_records_are_rows(spark, monkeypatch):
+    from lexmill.operators import parse
+
+    deep = "<ul><li>" * 3000 + "x"
+    rows = spark.createDataFrame([(1, "<ul><li>a</ul>"), (2, deep), (3, None)], "page_id long, html string")
+    got = {r["page_id"]: r for r in parse.html_lists(rows).collect()}
+    assert (got[1]["text"], got[1]["error"]) == ("- a\n", None) and got[2]["error"].startswith("RecursionError") and 3 not in got
+    late = parse._each(rows.limit(1), "page_id", "html", lambda h, page: [("x",)] if not page.deadline else (_ for _ in ()).throw(parse.OutOfTime), "text string", 1.0)
+    assert [tuple(r) for r in late.collect()] == [(1, None, "timeout")]
+
+
+def test_long_chains_of_names(spark):
+    links = spark.createDataFrame([(1, f"n{k:03}", f"n{k + 1:03}") for k in range(70)] + [(2, "b", "a"), (2, "c", "b")], "graph_id long, a string, b string")
+    got = {(r["graph_id"], r["name"]): r["label"] for r in graphs.smallest_of_components(links).collect()}
+    assert got == {(1, f"n{k:03}"): "n000" for k in range(71)} | {(2, x): "a" for x in "abc"}
+
+
+def test_first_files_and_caps(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"f{k}.json").write_text(f'{{"id": "{k}", "text": "t{k}"}}\n')
+    assert {r["id"] for r in files.read_documents(spark, str(tmp_path), 2).collect()} == {"0", "1"}
+    assert files.read_documents(spark, str(tmp_path)).count() == 3 and files.capped(spark.range(9), 4).count() == 4 and files.capped(spark.range(9)).count() == 9
+
+
+def test_archives_as_streams(spark, archive):
+    one, two = archives.read_tar_jsonl(spark, str(archive)), archives.read_tar_jsonl(spark, str(archive), streamed=False)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) != []
+
+
+def test_nearest_by_shuffle(spark, monkeypatch):
+    v = spark.createDataFrame([(k, [float((k * 7919) % 13 - 6), float((k * 104729) % 17 - 8), 1.0]) for k in range(1200)], "vec_id long, embedding array<float>")
+    want = sorted(map(tuple, graphs.nearest(v, 3, 100, 64).collect()))
+    monkeypatch.setattr(graphs, "BROADCAST_QUERIES", 0)
+    assert sorted(map(tuple, graphs.nearest(v, 3, 100, 64).collect())) == want and len(want) == 36
+
+
 def test_streams(spark, tmp_path):
     source, sink, check = str(tmp_path / "s"), str(tmp_path / "k"), str(tmp_path / "c")
     put = lambda *rows: spark.createDataFrame([(r,) for r in rows], "text string").coalesce(1).write.mode("append").parquet(source)
