@@ -1,15 +1,14 @@
-"""Helpers shared by the operators: tables, staging in the shared folder, ranks and connected components."""
+"""Helpers shared by the operators: tables, ranks and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..staging import stage, unstage
+
 #: ASCII white space that separates words (tab, LF, VT, FF, CR, space), as a Java regex class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
@@ -19,23 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where the setting is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="lexmill-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lexmill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -102,7 +84,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", limit: int = 60) ->
     state = None
     for _ in range(limit):
         if state is None and cur.count() <= ONE_TASK_EDGES:
-            return _one_task(cur)
+            out = _one_task(cur)
+            unstage(cur)
+            return out
         # large star: every larger neighbour of u is linked to the smallest of u and its neighbours
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -110,7 +94,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", limit: int = 60) ->
         # small star: smaller neighbours and u itself are linked to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        cur = stage(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        old, cur = cur, stage(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        unstage(old)
         new = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == new:
             break

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked, stage
+from .common import ranked, stage, unstage
 
 #: Rounds at most; they end when the number of rows that want to move stops falling.
 ROUNDS = 20
@@ -85,7 +85,8 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) ->
         moved = wish.join(F.broadcast(share), ["label", "to"], "left").withColumn(
             "label", F.when((F.col("to") != F.col("label")) & (_unit("group", "label", F.lit(k)) < F.col("p")), F.col("to")).otherwise(F.col("label"))
         )
-        linked = stage(moved.select(*linked.columns), "shard-labels")
+        old, linked = linked, stage(moved.select(*linked.columns), "shard-labels")
+        unstage(old), unstage(best)
 
     # groups that are still apart, for want of room, are placed anew as a whole with the free rows
     ends = linked.groupBy("group").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("g").alias("g"))
