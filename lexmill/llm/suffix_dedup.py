@@ -4,14 +4,14 @@ A byte is removed if a string of `length` bytes that covers it also starts anywh
 
 1. Parse. A rolling hash of 8 bytes cuts each text into phrases at its triggers. Triggers depend on these bytes alone,
    so equal strings are cut alike, and a string's first trigger (within its first length - KEY bytes) is its anchor.
-   An anchor's dictionary entry is its context: all strings anchored there. Its key is the KEY bytes from the trigger.
-   A string with no trigger there is an entry of its own.
-2. Parse counts. Anchors meet by key. A key met once drops out with all its strings. An entry that occurs twice or more
-   in the parse is repeated whole. Only keys with several entries need the order of suffixes.
-3. Dictionary. For these, the suffixes of the key's entries that start at anchored strings are sorted; neighbours in
-   this suffix array with a common prefix of `length` bytes repeat. Together with the counts of 2 this is the corpus
-   order, cut at `length` bytes; equal strings share their anchor, so no order across keys is needed.
-4. The repeated strings of each document are united and cut out.
+   An anchor's entry is its context: all strings anchored there. Its key is the KEY bytes from the trigger. A string
+   with no trigger there is an entry of its own. Anchors meet by key: a key met once drops out with all its strings, and
+   an entry that occurs twice or more is repeated whole (its copies are one entry of the dictionary).
+2. Order. The remaining entries of a range of keys are ordered together. What follows each trigger is ordered by the
+   suffix array of the parse (ranks of phrases, sorted by prefix doubling), what precedes it by the sorted suffixes of
+   the dictionary. Both together are the corpus order of the anchored strings, cut at `length` bytes; equal strings share
+   their anchor's key, so no order across ranges of keys is needed. Strings that lie together in both orders repeat.
+3. The repeated strings of each document are united and cut out.
 
 Entries that occur several times in a map task are sent once, so copies don't gather. A key with many entries is split
 by its strings. Only documents with a mark have their text shuffled (if their list passes a size check it is broadcast).
@@ -25,6 +25,7 @@ by `without_repeats` (whose cut texts drop bytes of characters that were cut in
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, width
-from .ngram_join import _arrays, _groups
+from .ngram_join import PARTITIONS, _arrays, _groups
+from .shingles import mixed
 
 LENGTH = 200
 #: Bytes from a trigger that make an anchor's key; bytes per phrase, on average.
@@ -42,8 +44,10 @@ KEY, PHRASE = 32, 32
 BLOCK = 400_000
 #: Documents per fragment of the keys, about, and the most fragments.
 DOCS_PER_FRAGMENT, FRAGMENTS = 3000, 1 << 20
-#: A key with more entries than this is split by its strings.
-MANY = 400
+#: A key with more entries than this (some 250 bytes each) is split by its strings.
+MANY = 20_000
+#: Bytes of a text in which triggers are sought at a time, and of entries that are ordered together.
+WINDOW, ORDER = 1 << 18, 1_500_000
 #: Up to so many marked documents (16 bytes each), their list is broadcast.
 BROADCAST_DOCS = 1_000_000
 _NULL = -(1 << 63)
@@ -60,33 +64,40 @@ def triggers(data: bytes) -> np.ndarray:
     return np.flatnonzero(h < np.uint64((1 << 64) // PHRASE))
 
 
-def anchors(data: bytes, length: int = LENGTH) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
-    """(key, digest, trigger, first, last) of each anchor: the strings that start at first..last are anchored there."""
+def anchors(data: bytes, length: int = LENGTH, window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, digest, trigger, first, last) of the anchors, a window at a time: the strings that start at first..last are
+    anchored there. A string without an anchor is one of its own."""
     top = len(data) - length  # the last start
     if top < 0:
-        return [], [], [], [], []
+        return
     reach = length - KEY
-    t = triggers(data)
-    t = t[t <= top + reach]
-    before = np.r_[-1, t[:-1]] if len(t) else t
-    lo, hi = np.maximum(np.maximum(before + 1, t - reach), 0), np.minimum(t, top)
-    ok = lo <= hi
     digest = xxhash.xxh3_64_intdigest
-    keys, digests, ts, los, his = [], [], t[ok].tolist(), lo[ok].tolist(), hi[ok].tolist()
-    for at, a, b in zip(ts, los, his, strict=True):
-        keys.append(digest(data[at : at + KEY]))
-        digests.append(digest(data[a : b + length], at - a))
-    ends = np.r_[t, top + reach + 1]
-    starts = np.r_[-1, t] + 1
-    for a, b in zip(starts.tolist(), np.minimum(ends - reach - 1, top).tolist(), strict=True):
-        for s in range(a, b + 1):  # strings without an anchor
-            d = digest(data[s : s + length], 1 << 20)
-            keys.append(d)
-            digests.append(d)
-            ts.append(s)
-            los.append(s)
-            his.append(s)
-    return keys, digests, ts, los, his
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+    def loose(a: int, b: int):
+        for x in range(a, b + 1, window):
+            at = np.arange(x, min(x + window, b + 1))
+            d = np.fromiter((digest(data[s : s + length], 1 << 20) for s in at.tolist()), np.uint64, len(at))
+            yield d, d, at, at, at
+
+    before = -1
+    for a in range(0, top + reach + 1, window):
+        end = min(a + window, top + reach + 1)
+        t = triggers(data[a : end + 7]) + a
+        last = np.r_[before, t[:-1]] if len(t) else t
+        lo, hi = np.maximum(np.maximum(last + 1, t - reach), 0), np.minimum(t, top)
+        ok = lo <= hi
+        at, lo, hi = t[ok], lo[ok], hi[ok]
+        if len(at):
+            key = np.full(len(at), 1, np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(0, KEY, 8):
+                    key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + words[at + k])
+            yield key, np.fromiter((digest(data[x : y + length], z - x) for x, y, z in zip(lo.tolist(), hi.tolist(), at.tolist(), strict=True)), np.uint64, len(at)), at, lo, hi
+        for k in np.flatnonzero(t - last > reach + 1).tolist():
+            yield from loose(int(last[k]) + 1, min(int(t[k]) - reach - 1, top))
+        before = int(t[-1]) if len(t) else before
+    yield from loose(before + 1, top)
 
 
 def _united(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +136,11 @@ def _parsed(docs: DataFrame, length: int, count: int, buckets: int) -> DataFrame
     bounds = np.array([(i << 64) // count for i in range(1, count)], np.uint64)
 
     def run(batches):
-        cols, owner, doc, hashes, held = [[] for _ in range(5)], [], [], [], 0
+        cols, owner, doc, hashes, held = [], [], [], [], 0
 
         def sent():
-            key, digest = np.array(cols[0], _U64), np.array(cols[1], _U64)
-            at, lo, hi = (np.array(c, _I64) for c in cols[2:])
-            own = np.repeat(np.arange(len(doc)), owner)
+            key, digest, at, lo, hi = (np.concatenate([c[k] for c in cols]) for k in range(5))
+            own = np.repeat(np.array(owner), [len(c[0]) for c in cols])
             d, h = np.array(doc, _I64), np.array(hashes, _I64)
             order = np.lexsort((digest, key))
             same = np.r_[False, (key[order][1:] == key[order][:-1]) & (digest[order][1:] == digest[order][:-1])]
@@ -154,19 +164,18 @@ def _parsed(docs: DataFrame, length: int, count: int, buckets: int) -> DataFrame
 
         for batch in batches:
             for i, h, text in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                found = anchors((text.as_py() or "").encode("utf-8", "surrogatepass"), length)
-                if not found[0]:
-                    continue
-                for c, x in zip(cols, found, strict=True):
-                    c += x
-                owner.append(len(found[0]))
-                i = i.as_py()
-                doc.append(_NULL if i is None else i)
-                hashes.append(h.as_py())
-                held += len(found[0])
-                if held >= BLOCK:
-                    yield from sent()
-                    cols, owner, doc, hashes, held = [[] for _ in range(5)], [], [], [], 0
+                i, h, fresh = i.as_py(), h.as_py(), True
+                for found in anchors((text.as_py() or "").encode("utf-8", "surrogatepass"), length):
+                    if fresh:
+                        doc.append(_NULL if i is None else i)
+                        hashes.append(h)
+                        fresh = False
+                    owner.append(len(doc) - 1)
+                    cols.append(found)
+                    held += len(found[0])
+                    if held >= BLOCK:
+                        yield from sent()
+                        cols, owner, doc, hashes, held, fresh = [], [], [], [], 0, True
         if held:
             yield from sent()
 
@@ -178,7 +187,11 @@ def _place(d: np.ndarray, h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _marks_of(own, d, h, s, e, buckets: int, count: int):
-    """Repeated intervals as rows of kind 1; own is sorted."""
+    """Repeated intervals as rows of kind 1; own is sorted. Those of a document that touch are united first."""
+    far = int(e.max()) + 2
+    s, e = _united(s + own * far, e + own * far)
+    own = s // far
+    s, e = s - own * far, e - own * far
     place = _place(d, h, buckets)[own]
     order = np.lexsort((own, place))
     own, place, s, e = own[order], place[order], s[order], e[order]
@@ -294,35 +307,102 @@ def _entries(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def suffix_order(entries: list[bytes], length: int) -> tuple[list[tuple[int, int]], list[bool]]:
-    """The suffix array of the entries' suffixes of at least `length` bytes, cut there: (entry, start) in order, and
-    whether the suffix has a common prefix of `length` bytes with the one before."""
-    strings = sorted((e[j : j + length], i, j) for i, e in enumerate(entries) for j in range(len(e) - length + 1))
-    return [(i, j) for _, i, j in strings], [k > 0 and strings[k - 1][0] == x[0] for k, x in enumerate(strings)]
+def parse_ranks(texts: list[bytes]) -> np.ndarray:
+    """The rank of each text in their order, by the suffix array of their parse.
+
+    Triggers cut the texts into phrases; distinct phrases are the dictionary, and its order gives their ranks. The
+    suffixes of the parse are sorted by prefix doubling on these ranks; equal suffixes share a rank.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    data, ends = b"".join(texts), np.cumsum(sizes)
+    t = triggers(data)
+    t = t[ends[np.searchsorted(ends, t, "right")] - t >= 8] if len(t) else t  # the bytes of a trigger lie in one text
+    cuts = np.unique(np.r_[t, (ends - sizes)[sizes > 0]])
+    owner = np.searchsorted(ends, cuts, "right")
+    upto = np.minimum(np.r_[cuts[1:], len(data)] + 8, ends[owner])  # with the trigger at its end no phrase starts another
+    phrases = [data[x:y] for x, y in zip(cuts.tolist(), upto.tolist(), strict=True)]
+    place = {p: k for k, p in enumerate(sorted(set(phrases)))}
+    rank = np.fromiter(map(place.__getitem__, phrases), np.int64, len(phrases))
+    step, many = 1, -1
+    while len(rank) and step < len(rank):
+        after = np.zeros(len(rank), np.int64)
+        same = np.flatnonzero(owner[step:] == owner[:-step])
+        if not len(same):
+            break
+        after[same] = rank[same + step] + 1
+        distinct, rank = np.unique(rank * (int(rank.max()) + 2) + after, return_inverse=True)
+        if len(distinct) == many and step > 1:
+            break  # no suffix was told apart from another
+        step, many = 2 * step, len(distinct)
+    out = np.full(len(texts), -1, np.int64)  # an empty text comes first
+    out[sizes > 0] = rank[np.searchsorted(cuts, (ends - sizes)[sizes > 0])]
+    return out
+
+
+def common_prefixes(texts: list[bytes], order: np.ndarray) -> np.ndarray:
+    """For neighbours in the order, how many bytes they have in common from the start."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    wide = int(sizes.max(initial=0)) + 1
+    table = np.zeros((len(texts), wide), np.int16)
+    inside = np.arange(wide) < sizes[:, None]
+    table[inside] = np.frombuffer(b"".join(texts), np.uint8)
+    table[~inside] = -1
+    table = table[order]
+    differ = (table[1:] != table[:-1]) | (table[1:] < 0)
+    return differ.argmax(axis=1)
+
+
+def corpus_order(entries: list[bytes], offs: np.ndarray, length: int) -> np.ndarray:
+    """hit[i, d]: the string of `length` bytes that starts d bytes before entry i's trigger (at offs[i]) starts in another
+    entry too. Equal strings have their first trigger at the same distance.
+
+    What follows the triggers is ordered by the suffix array of the parse, what precedes them by the order of the
+    dictionary's suffixes (read backwards from the trigger). A string is its part before the trigger and its part from it
+    on, so strings are equal where they lie together in both orders, by common prefixes of d and of length - d bytes.
+    """
+    n, sizes = len(entries), np.fromiter(map(len, entries), np.int64, len(entries))
+    rights = [e[o:] for e, o in zip(entries, offs.tolist(), strict=True)]
+    lefts = [e[:o][::-1] for e, o in zip(entries, offs.tolist(), strict=True)]
+    right = np.argsort(parse_ranks(rights), kind="stable")
+    known = {x: k for k, x in enumerate(sorted(set(lefts)))}
+    left = np.argsort(np.fromiter(map(known.__getitem__, lefts), np.int64, n), kind="stable")
+    after, back = common_prefixes(rights, right), common_prefixes(lefts, left)
+    least = offs - (sizes - length)  # the entry's last start
+    hit = np.zeros((n, int(offs.max(initial=0)) + 1), bool)
+    a, b = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for d in range(hit.shape[1]):
+        some = np.flatnonzero((least <= d) & (d <= offs))
+        if len(some) > 1:
+            a[left] = np.r_[0, np.cumsum(back < d)]
+            b[right] = np.r_[0, np.cumsum(after < length - d)]
+            _, at, count = np.unique(a[some] * n + b[some], return_inverse=True, return_counts=True)
+            hit[some, d] = count[at] > 1
+    return hit
 
 
 def _compared(entries: DataFrame, length: int) -> DataFrame:
     """Repeated strings of entries that the parse has once: doc, hash, lo, hi."""
     schema = "doc long, hash long, lo int, hi int"
 
+    def found(rows):
+        """rows: whole keys, one after the other."""
+        hit = corpus_order([r[5] for r in rows], np.array([r[0] for r in rows]), length)
+        hit[[r[1] % 2 == 0 for r in rows]] = False  # flag 1: met once
+        edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (i, near), (_, far) = np.nonzero(edge == 1), np.nonzero(edge == -1)  # runs of distances near..far - 1
+        return [(rows[k][2], rows[k][3], rows[k][4] + rows[k][0] - y + 1, rows[k][4] + rows[k][0] - x + length) for k, x, y in zip(i.tolist(), near.tolist(), far.tolist(), strict=True)]
+
     def run(batches):
-        out = []
+        held, size = [], 0
         for _, rows in _groups(batches):
-            order, like = suffix_order([r[5] for r in rows], length)
-            like.append(False)
-            hit: dict[int, list[int]] = {}
-            for k, (i, j) in enumerate(order):
-                if rows[i][1] % 2 and (like[k] or like[k + 1]):  # flag 1: met once
-                    hit.setdefault(i, []).append(j)
-            for i, js in hit.items():
-                _, _, doc, h, lo, _ = rows[i]
-                s = np.array(js)
-                for a, b in zip(*_united(s, s + length), strict=True):
-                    out.append((doc, h, lo + int(a), lo + int(b)))
-            if len(out) > 5000:
-                yield _rows(schema, out)
-                out = []
-        if out:
+            if len(rows) > 1:  # a string that starts elsewhere too starts in another entry of its key
+                held += rows
+                size += sum(len(r[5]) for r in rows)
+            if size > ORDER:
+                if out := found(held):
+                    yield _rows(schema, out)
+                held, size = [], 0
+        if held and (out := found(held)):
             yield _rows(schema, out)
 
     return entries.mapInArrow(run, schema)
@@ -333,7 +413,7 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     parts = width(docs.sparkSession)
     count = max(1, min(FRAGMENTS, docs.count() // DOCS_PER_FRAGMENT))
     buckets = count
-    wide = max(parts, min(count, 4 * parts))
+    wide = max(parts, min(count, PARTITIONS))
     parsed = _parsed(docs, length, count, buckets).repartition(wide, "frag").sortWithinPartitions("frag")
     met = _met(parsed, length, buckets).repartition(wide, "bucket").sortWithinPartitions("bucket")
     marks = stage(_of_documents(met), "dedup-marks")

@@ -201,7 +201,7 @@ def _repeats(texts, length):
         yield len(b), int(mask.sum()), int((np.diff(np.r_[0, mask.astype(int)]) == 1).sum()), hashlib.sha256(kept).hexdigest(), kept
 
 
-@pytest.mark.parametrize(("many", "broadcast"), [(400, 1_000_000), (1, 0)])
+@pytest.mark.parametrize(("many", "broadcast"), [(20_000, 1_000_000), (1, 0)])
 def test_suffix_dedup(docs, none, monkeypatch, many, broadcast):
     monkeypatch.setattr(suffix_dedup, "MANY", many)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_DOCS", broadcast)
@@ -227,10 +227,46 @@ def test_without_repeats_keeps_columns(docs):
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if r["text"] and r["doc_id"] == 12)
 
 
-def test_suffix_order():
-    order, like = suffix_dedup.suffix_order([b"banana", b"anan"], 3)
-    assert [[b"banana", b"anan"][i][j : j + 3] for i, j in order] == [b"ana", b"ana", b"ana", b"ban", b"nan", b"nan"]
-    assert like == [False, True, True, False, False, True]
+def test_parse_ranks():
+    r = random.Random(6)
+    texts = ["", "a"] + ["".join(r.choice("abc") for _ in range(r.randint(0, 90))) for _ in range(300)] + ["a" * k for k in range(50)] + ["ab" * k for k in range(40)]
+    texts = [t.encode() for t in texts + texts[5:60]]
+    ranks = suffix_dedup.parse_ranks(texts).tolist()
+    assert [texts[k] for k in sorted(range(len(texts)), key=lambda k: (ranks[k], k))] == sorted(texts)
+    assert len(set(zip(ranks, texts, strict=True))) == len(set(texts)) == len(set(ranks))
+
+
+@pytest.mark.parametrize("window", [1 << 18, 300])
+def test_anchors_cover_every_string_once(window):
+    r = random.Random(7)
+    for data in (b"x" * 199, b"x" * 200, b"a" * 2000, bytes(r.choice(b"ab") for _ in range(3000)), random.Random(1).randbytes(5000), b"zz" + random.Random(2).randbytes(900) + b"q" * 900):
+        starts = []
+        for key, digest, at, lo, hi in suffix_dedup.anchors(data, 200, window):
+            assert len(key) == len(digest) == len(at)
+            starts += [s for x, y in zip(lo.tolist(), hi.tolist(), strict=True) for s in range(x, y + 1)]
+        assert sorted(starts) == list(range(max(0, len(data) - 199)))
+
+
+def test_corpus_order():
+    r = random.Random(9)
+    base = ["".join(r.choice("abcd") for _ in range(60)) for _ in range(6)]
+    rows = []
+    for _ in range(200):
+        off = r.randint(0, 12)
+        whole = r.choice(base)[: 40 + r.randint(0, 12)].replace("ab", r.choice(["ab", "ac"]))
+        starts = r.randint(1, off + 1)
+        rows.append((whole[: 20 + starts - 1].encode(), off))
+    hit = suffix_dedup.corpus_order([e for e, _ in rows], np.array([o for _, o in rows]), 20)
+    seen = Counter((o - j, e[j : j + 20]) for e, o in rows for j in range(len(e) - 19))
+    want = {(k, o - j) for k, (e, o) in enumerate(rows) for j in range(len(e) - 19) if seen[o - j, e[j : j + 20]] > 1}
+    assert {(int(k), int(d)) for k, d in zip(*np.nonzero(hit), strict=True)} == want and 0 < len(want) < sum(seen.values())
+
+
+def test_suffix_dedup_long_periodic_text(spark):
+    """Megabytes of one letter: marks are united before they are sent."""
+    rows = [(1, "a" * 2_000_000), (2, "0," * 300_000 + "end"), (3, "b" * 150 + "c" * 199)]
+    got = {r["doc_id"]: r for r in suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"]) for k in (1, 2, 3)] == [(2_000_000, 2_000_000, 1), (600_003, 600_000, 1), (349, 0, 0)]
 
 
 # 4, 5 ---------------------------------------------------------------------------------------------------------------
