@@ -13,9 +13,9 @@ A byte is removed if a string of `length` bytes that covers it also starts anywh
    their anchor's key, so no order across ranges of keys is needed. Strings that lie together in both orders repeat.
 3. The repeated strings of each document are united and cut out.
 
-Entries that occur several times in a map task are sent once, so copies don't gather. A key with many entries is split
-by its strings. Only documents with a mark have their text shuffled (if their list passes a size check it is broadcast).
-Digests are 64 bits, compared only under equal 64-bit keys.
+Entries that occur several times in a map task are sent once, so copies don't gather. Where a key has more than MANY
+entries, its strings are counted one by one with partial sums, and no task holds them together. Only documents with a mark have their text shuffled (if their list passes a size check it is broadcast).
+Digests are 64 bits, compared only under equal 64-bit keys, or 128 bits.
 
 Defined cases: null text is empty; texts shorter than `length` keep all; matches never cross documents; repeated rows
 remove each other; null doc_ids are kept; an empty table gives no rows; further columns are ignored by `repeats` and kept
@@ -45,7 +45,7 @@ BLOCK = 400_000
 #: Documents per fragment of the keys, about, and the most fragments.
 DOCS_PER_FRAGMENT, FRAGMENTS = 3000, 1 << 20
 #: A key with more entries than this (some 250 bytes each) is split by its strings.
-MANY = 20_000
+MANY = 2000
 #: Bytes of a text in which triggers are sought at a time, and of entries that are ordered together.
 WINDOW, ORDER = 1 << 18, 1_500_000
 #: Up to so many marked documents (16 bytes each), their list is broadcast.
@@ -250,11 +250,11 @@ def _met(parsed: DataFrame, length: int, buckets: int) -> DataFrame:
     return parsed.mapInArrow(run, _MARKS)
 
 
-_OF_DOC = "doc long, hash long, spans binary, lo binary, hi binary, at binary, key binary, flag binary"
+_OF_DOC = "doc long, hash long, hot int, spans binary, lo binary, hi binary, at binary, key binary, flag binary"
 
 
 def _of_documents(marks: DataFrame) -> DataFrame:
-    """One row per marked document: its united spans (pairs of int), and its entries to compare."""
+    """One row per marked document: its united spans (pairs of int), its entries to compare, and whether one has a hot key."""
 
     def run(batches):
         for _, parts in _groups(batches):
@@ -270,7 +270,7 @@ def _of_documents(marks: DataFrame) -> DataFrame:
                 z = f == 0
                 s, e = _united(lo[a:b][z], hi[a:b][z])
                 m = ~z
-                rows.append((int(d[a]), int(hh[a]), np.stack([s, e], 1).astype(_I32).tobytes(), *(x[a:b][m].tobytes() for x in (lo, hi, at, key, flag))))
+                rows.append((int(d[a]), int(hh[a]), int((f > 2).any()), np.stack([s, e], 1).astype(_I32).tobytes(), *(x[a:b][m].tobytes() for x in (lo, hi, at, key, flag))))
                 if len(rows) == 2000:
                     yield _rows(_OF_DOC, rows)
                     rows = []
@@ -281,7 +281,7 @@ def _of_documents(marks: DataFrame) -> DataFrame:
 
 
 def _entries(texts: DataFrame, length: int) -> DataFrame:
-    """Dictionary entries to compare, one row each: key, off (the trigger's place in it), flag, doc, hash, lo, entry."""
+    """Entries to order, one row each: key, off (the trigger's place in it), flag, doc, hash, lo, entry."""
     schema = "key long, off int, flag int, doc long, hash long, lo int, entry binary"
 
     def run(batches):
@@ -290,14 +290,7 @@ def _entries(texts: DataFrame, length: int) -> DataFrame:
             for doc, h, text, *cols in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 lo, hi, at, key, flag = (np.frombuffer(c, t).tolist() for c, t in zip(cols, (_I32, _I32, _I32, _I64, _U8), strict=True))
-                for a, b, t, k, f in zip(lo, hi, at, key, flag, strict=True):
-                    if f < 3:
-                        rows.append((k, t - a, f, doc, h, a, data[a : b + length]))
-                        continue
-                    for s in range(a, b + 1):  # a key with many entries is split by its strings
-                        string = data[s : s + length]
-                        own = int(np.array(xxhash.xxh3_64_intdigest(string), np.uint64).view(np.int64))
-                        rows.append((own, t - s, f - 2, doc, h, s, string))
+                rows += [(k, t - a, f, doc, h, a, data[a : b + length]) for a, b, t, k, f in zip(lo, hi, at, key, flag, strict=True) if f < 3]
                 if len(rows) > 5000:
                     yield _rows(schema, rows)
                     rows = []
@@ -307,6 +300,30 @@ def _entries(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def _strings(texts: DataFrame, length: int) -> DataFrame:
+    """The strings of entries with hot keys, one row each: id (their digest), doc, hash, lo, once (met once as an entry)."""
+    schema = "id binary, doc long, hash long, lo int, once int"
+
+    def run(batches):
+        for batch in batches:
+            for doc, h, text, *cols in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = text.encode("utf-8", "surrogatepass")
+                lo, hi, _, _, flag = (np.frombuffer(c, t).tolist() for c, t in zip(cols, (_I32, _I32, _I32, _I64, _U8), strict=True))
+                rows = [(xxhash.xxh3_128_digest(data[x : x + length]), doc, h, x, f % 2) for a, b, f in zip(lo, hi, flag, strict=True) if f > 2 for x in range(a, b + 1)]
+                for k in range(0, len(rows), 50_000):
+                    yield _rows(schema, rows[k : k + 50_000])
+
+    return texts.mapInArrow(run, schema)
+
+
+def _counted(strings: DataFrame, length: int) -> DataFrame:
+    """Repeated strings: doc, hash, lo, hi. They are counted with partial sums and joined back, so that no task holds a
+    string that many documents have."""
+    strings = stage(strings, "dedup-strings")
+    several = stage(strings.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "dedup-several")
+    return strings.where("once = 1").join(several, "id", "left_semi").select("doc", "hash", "lo", (F.col("lo") + length).alias("hi"))
+
+
 def parse_ranks(texts: list[bytes]) -> np.ndarray:
     """The rank of each text in their order, by the suffix array of their parse.
 
@@ -420,7 +437,12 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame,
     unsure = marks.where(F.octet_length("flag") > 0)
     texts = _with_text(docs, unsure, unsure.count() <= BROADCAST_DOCS).select("doc", "hash", _text(), "lo", "hi", "at", "key", "flag")
     entries = _entries(texts, length).repartition(wide, "key").sortWithinPartitions("key", "doc", "hash", "lo")
-    more = _compared(entries, length).groupBy("doc", "hash").agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
+    found = _compared(entries, length)
+    hot = marks.where("hot = 1")
+    if many := hot.count():  # keys with many entries: their strings one by one
+        texts = _with_text(docs, hot, many <= BROADCAST_DOCS).select("doc", "hash", _text(), "lo", "hi", "at", "key", "flag")
+        found = found.union(_counted(_strings(texts, length), length))
+    more = found.groupBy("doc", "hash").agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
     out = marks.select("doc", "hash", "spans").join(more, ["doc", "hash"], "left").where((F.octet_length("spans") > 0) | F.col("more").isNotNull())
     out = stage(out, "dedup-spans")
     return out, out.count() <= BROADCAST_DOCS
