@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a row group in staged tables.
+ROW_GROUP = 32 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (spark.checkpoint.dir); a folder of our own only where that is unset and Spark is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,7 +36,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{_home(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)  # a task holds a row group
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
