@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, pre_tokenizers
 
-from .words import blocks, gathered, spelled
+from .words import blocks, gathered, joined, release, spelled, trimmed
 
 #: Pairs of tokens of which it is remembered, per Python worker, whether they may stand side by side.
 PAIRS = 300_000
@@ -248,7 +248,7 @@ class TextEncoder:
         sizes, flat = self.learn(words.to_pylist())
         return np.r_[0, np.cumsum(sizes[index])][offsets], gathered(index, sizes, flat)
 
-    def joined(self, table: pa.Array, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    def rendered(self, table: pa.Array, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
         """The entries of a table by id, joined by one space for each text."""
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), table.take(pa.array(ids))), pa.scalar(" ", table.type))
 
@@ -256,7 +256,9 @@ class TextEncoder:
 @lru_cache(2)
 def text_encoder(path: str, library: bool = False) -> TextEncoder:
     """Kept for the next tasks of a worker: the vocabulary, what joins its tokens, and the words of one block."""
-    return TextEncoder(path, library)
+    out = TextEncoder(path, library)
+    release()  # of what reading the vocabulary took
+    return out
 
 
 def slices(texts: pa.Array) -> Iterator[memoryview]:
@@ -272,10 +274,10 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
 
     def run(batches):
         enc = text_encoder(path)
-        for batch in batches:
+        for batch in joined(batches):
             for a, b in blocks(batch.column(1)):
                 offsets, ids = enc.block(batch.column(1).slice(a, b - a))
-                numbers, words = enc.joined(enc.numbers, offsets, ids), enc.joined(enc.contents, offsets, ids)
+                numbers, words = enc.rendered(enc.numbers, offsets, ids), enc.rendered(enc.contents, offsets, ids)
                 sha = [pa.array([hashlib.sha256(x).hexdigest() for x in slices(t)], pa.string()) for t in (numbers, words)]
                 cols = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets), pa.int64()), *sha]
                 if keep_ids:
@@ -284,4 +286,4 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
 
     out_schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + ([("ids", pa.binary()), ("decoded", pa.string())] if keep_ids else []))
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), schema)

@@ -5,19 +5,38 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from ..staging import stage, unstage
+from .words import trimmed
 
 #: ASCII white space that separates words (tab, LF, VT, FF, CR, space), as a Java regex class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Rows of an Arrow batch where the session has Spark's default: texts are long, and both sides hold whole batches.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; the session's Arrow batches are made smaller if it has no size of its own for them."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A DataFrame of a few rows of the driver; by Arrow, so that no Python worker is started to read them."""
+    schema = T.StructType.fromDDL(ddl)
+    fields = to_arrow_schema(schema)
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields), schema)
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -67,7 +86,7 @@ def _one_task(edges: DataFrame) -> DataFrame:
             part = nodes[k : k + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["node", "root"])
 
-    return stage(edges.select("u", "v").repartition(1).mapInArrow(run, "node long, root long"), "components")
+    return stage(edges.select("u", "v").repartition(1).mapInArrow(trimmed(run), "node long, root long"), "components")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", limit: int = 60) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import width
 from .shingles import shingled
-from .words import blocks
+from .words import blocks, joined, trimmed
 
 K = 128
 #: Documents in a stretch of consecutive ids, about; a stretch is streamed, never held.
@@ -78,14 +78,14 @@ def fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
     """Rows (doc_id, n_chars, fingerprint, n_distinct)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in joined(batches):
             found = [sketch(h, k) for h in shingled(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.fill_null(pc.utf8_length(batch.column(1)), 0).cast(pa.int64()), pa.array([write(s) for s in found], pa.string()), pa.array([distinct(s, k) for s in found], pa.float64())],
                 names=["doc_id", "n_chars", "fingerprint", "n_distinct"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, fingerprint string, n_distinct double")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, n_chars long, fingerprint string, n_distinct double")
 
 
 class Stretches:
@@ -135,7 +135,7 @@ def _edges(docs: DataFrame, stretches: Stretches) -> dict[tuple, int]:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)], names=["part", "doc_id", "digest"])
 
-    firsts = docs.select("doc_id", _digest()).mapInArrow(run, "part long, doc_id long, digest string")
+    firsts = docs.select("doc_id", _digest()).mapInArrow(trimmed(run), "part long, doc_id long, digest string")
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "digest", "doc_id")
     found = firsts.groupBy("part").agg(F.min(row).alias("r")).select("part", "r.doc_id", "r.digest").collect()  # at most three times STRETCHES rows
     found.sort(key=lambda r: r["part"])
@@ -173,7 +173,7 @@ def edited(docs: DataFrame, k: int = K) -> DataFrame:
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["part", "second", "doc_id", "digest", "text"])
 
-    rows = docs.select("doc_id", _digest(), "text").mapInArrow(deal, "part long, second int, doc_id long, digest string, text binary")
+    rows = docs.select("doc_id", _digest(), "text").mapInArrow(trimmed(deal), "part long, second int, doc_id long, digest string, text binary")
     order = ["part", "second", F.desc_nulls_last("doc_id"), "digest"]
     dealt = rows.repartition(min(stretches.count, max(4 * width(docs.sparkSession), stretches.count // 100)), "part").sortWithinPartitions(*order)
 
@@ -207,4 +207,4 @@ def edited(docs: DataFrame, k: int = K) -> DataFrame:
             yield paired(held)
 
     fields = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-    return dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInArrow(trimmed(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import trimmed
+
 #: Pages of the corpus that training reads at most, and generated pages.
 SAMPLE, GENERATED = 150, 700
 PATH, WORDS, MEASURES, HIDDEN = 256, 64, 8, 20
@@ -620,7 +622,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> bytes:
         got = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array([trained([h for _, h in got]).dump()], pa.binary())], names=["w"])
 
-    row = drawn.mapInArrow(run, "w binary").first()
+    row = drawn.mapInArrow(trimmed(run), "w binary").first()
     return row["w"] if row else trained([]).dump()
 
 
@@ -636,4 +638,4 @@ def main_text(pages: DataFrame, weights: bytes | None = None) -> DataFrame:
                 texts = extracted(model, b.column(2).to_pylist())
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(trimmed(run), "page_id long, url string, text string, n_chars long")

@@ -34,14 +34,15 @@ from pyspark.sql import functions as F
 
 from .common import components, stage, width
 from .shingles import shingled
+from .words import joined, trimmed
 
 PERCENT = 80
 #: Documents per fragment of the order, about, and the most fragments.
-DOCS_PER_FRAGMENT, FRAGMENTS = 4000, 1 << 20
+DOCS_PER_FRAGMENT, FRAGMENTS = 2000, 1 << 20
 #: Partitions of a shuffle by fragment, at most; beyond, a partition has several fragments, one after the other.
 PARTITIONS = 20_000
 #: Shingles that a map task holds before it sends them.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Clusters up to this size have all their pairs counted; larger ones are counted against pivots.
 SMALL = 48
 #: Fragments in which overlaps are counted; members, and probes, of a large cluster per task.
@@ -85,7 +86,7 @@ def _fragments(docs: DataFrame, count: int) -> DataFrame:
     def run(batches):
         done: set[int] = set()  # classes already sent by this task
         cls, sets, held = [], [], 0
-        for turn, batch in enumerate(batches):
+        for turn, batch in enumerate(joined(batches)):
             all_cls, all_n = [], []
             for h in shingled(batch.column(2)):
                 c = _class_of(h)
@@ -108,7 +109,7 @@ def _fragments(docs: DataFrame, count: int) -> DataFrame:
         if sets:
             yield sent(cls, sets)
 
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, _FRAGMENTS)
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(trimmed(run), _FRAGMENTS)
 
 
 def _arrays(parts: list[tuple], kinds: tuple) -> list[np.ndarray]:
@@ -173,7 +174,7 @@ def _shared(fragments: DataFrame, buckets: int) -> DataFrame:
                 rows.append((int(place[a]), 0, ids[who].tobytes(), n[who].tobytes(), m.astype(np.int32).tobytes(), g[a:b].tobytes(), often[a:b].tobytes()))
             yield rows_of(rows)
 
-    return fragments.mapInArrow(run, "bucket int, kind int, cls binary, n binary, k binary, grams binary, often binary")
+    return fragments.mapInArrow(trimmed(run), "bucket int, kind int, cls binary, n binary, k binary, grams binary, often binary")
 
 
 def _survivors(shared: DataFrame) -> DataFrame:
@@ -224,7 +225,7 @@ def _survivors(shared: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(score, pa.float64()), pa.array(grams, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), *none], names=names)
 
     names = ["cls", "n", "score", "grams", "prefix", "doc_id", "hash"]
-    return shared.mapInArrow(run, "cls long, n long, score double, grams binary, prefix array<long>, doc_id long, hash long")
+    return shared.mapInArrow(trimmed(run), "cls long, n long, score double, grams binary, prefix array<long>, doc_id long, hash long")
 
 
 def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
@@ -249,7 +250,7 @@ def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
         for _, rows in _groups(batches, 2):
             held.append(rows)
             size += sum(len(r[-1]) for r in rows)
-            if size > 4_000_000:
+            if size > 500_000:
                 yield counted(held)
                 held, size = [], 0
         if held:
@@ -277,9 +278,9 @@ def _overlaps(members: DataFrame, partitions: int) -> DataFrame:
         a, b = np.where(swap, m, p), np.where(swap, p, m)
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (cls[a], cls[b], n[a], n[b], o)], names=["a", "b", "na", "nb", "o"])
 
-    cutted = members.select("cluster", "cls", "n", "grams").mapInArrow(cut, "v int, cluster long, cls long, n long, grams binary")
+    cutted = members.select("cluster", "cls", "n", "grams").mapInArrow(trimmed(cut), "v int, cluster long, cls long, n long, grams binary")
     dealt = cutted.repartition(partitions, "v", "cluster").sortWithinPartitions("v", "cluster").select("v", "cluster", "cls", "n", "grams")
-    parts = dealt.mapInArrow(count, "a long, b long, na long, nb long, o long")
+    parts = dealt.mapInArrow(trimmed(count), "a long, b long, na long, nb long, o long")
     whole = parts.groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"), F.sum("o").alias("o"))
     return whole.where(100 * F.col("o") >= PERCENT * (F.col("na") + F.col("nb") - F.col("o")))
 
@@ -356,7 +357,7 @@ def _joined(members: DataFrame, probes: DataFrame, partitions: int, hint) -> Dat
 
     key = ["cluster", "band", "salt", "block"]
     dealt = m.select(*cols).union(p.select(*cols)).repartition(partitions, *key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, "a long, b long, k long")
+    return dealt.mapInArrow(trimmed(run), "a long, b long, k long")
 
 
 def class_links(docs: DataFrame, counted: bool = False) -> tuple[DataFrame, DataFrame | None, DataFrame]:

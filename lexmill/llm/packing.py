@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import text_encoder
-from .common import ranked, stage
-from .words import blocks
+from .common import local_rows, ranked, stage
+from .words import blocks, joined, trimmed
 
 CAPACITY = 2048
 #: Nodes that the search may visit, and steps that its fillings may take, before it returns its incumbent.
@@ -190,7 +190,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
 
     def run(batches):
         enc, out_schema = text_encoder(path, library=True), pa.schema(fields)
-        for batch in batches:
+        for batch in joined(batches):
             for a, b in blocks(batch.column(1)):
                 offsets, ids = enc.block(batch.column(1).slice(a, b - a))
                 ids = np.insert(ids, offsets[1:], 0).astype("<u4")  # id 0 closes a document
@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
                 cols = [batch.column(0).slice(a, b - a).take(pa.array(of)), piece, start, length, [*map(zlib.crc32, parts)]] + ([[*map(bytes, parts)]] if keep_ids else [])
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(cols, fields, strict=True)], schema=out_schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), schema)
 
 
 def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -214,7 +214,7 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = laid_out(pack_counts(counts, capacity))
     # best fit splits at most two classes a length, so the plan is bounded by the lengths, not by the corpus
-    plan = cut.sparkSession.createDataFrame(rows, "length long, lo long, hi long, copies long, first long, at long")
+    plan = local_rows(cut.sparkSession, rows, "length long, lo long, hi long, copies long, first long, at long")
     n = sum(counts.values())
     order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     buckets = max(1, n // RANK_ROWS // max(1, len(counts)) + 1, max(counts.values(), default=0) // RANK_ROWS + 1)

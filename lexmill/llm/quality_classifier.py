@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import blocks, spelled
+from .words import blocks, joined, release, spelled, trimmed
 
 #: Labelled documents that training reads at most.
 SAMPLE = 8000
@@ -129,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
         got.sort(key=lambda r: (r[0], r[1], r[2] or ""))
         yield pa.RecordBatch.from_arrays([pa.array([fitted([(t, y) for _, _, t, y in got]).tobytes()], pa.binary())], names=["w"])
 
-    row = rows.mapInArrow(run, "w binary").first()
+    row = rows.mapInArrow(trimmed(run), "w binary").first()
     return np.frombuffer(row["w"], np.float32) if row else np.zeros(1 << BITS, np.float32)
 
 
@@ -149,10 +149,10 @@ def scores(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     score = scorer(docs.sparkSession, weights)
 
     def run(batches):
-        for b in batches:
+        for b in joined(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(b.column(1)), pa.float64())], names=["doc_id", "score"])
 
-    out = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    out = docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, score double")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
@@ -161,10 +161,10 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score THRESHOLD or more, with the columns of docs."""
     score = scorer(docs.sparkSession, train(docs, labels))
 
-    @F.pandas_udf("double")
-    def of(text):  # noqa: ANN001
-        import pandas as pd
-
-        return pd.Series(score(pa.array(text, pa.string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def of(text: pa.Array) -> pa.Array:
+        found = pa.array(score(text), pa.float64())
+        release()
+        return found
 
     return docs.where(of("text") >= THRESHOLD)

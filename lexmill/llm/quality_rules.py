@@ -158,8 +158,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of docs."""
-    limits = stage(fences(sketches(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"))), "rules-fences")
     own = {"doc_id", "text", "lang", "source"}  # further columns may be named like ours
     packed = docs.select(F.struct("*").alias("__row"), *[F.col(c) for c in docs.columns if c in own])
-    kept = judged(measured(packed), limits).where("kept")
+    rows = stage(measured(packed).drop("text"), "rules-measures")  # measured once, for the sketches and for the verdicts
+    kept = judged(rows, stage(fences(sketches(rows)), "rules-fences")).where("kept")
     return kept.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

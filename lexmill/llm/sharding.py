@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked, stage, unstage
+from .common import local_rows, ranked, stage, unstage
 
 #: Rounds at most; they end when the number of rows that want to move stops falling.
 ROUNDS = 20
@@ -81,7 +81,7 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) ->
         for r in linked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect():
             used[r["label"]] = r["n"]
         p = granted(wishes, used, room)
-        share = docs.sparkSession.createDataFrame([(r["label"], r["to"], float(p[r["label"], r["to"]])) for r in asked], "label int, to int, p double")
+        share = local_rows(docs.sparkSession, [(r["label"], r["to"], float(p[r["label"], r["to"]])) for r in asked], "label int, to int, p double")
         moved = wish.join(F.broadcast(share), ["label", "to"], "left").withColumn(
             "label", F.when((F.col("to") != F.col("label")) & (_unit("group", "label", F.lit(k)) < F.col("p")), F.col("to")).otherwise(F.col("label"))
         )
@@ -105,7 +105,7 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) ->
     for s in range(shards):
         rows.append((s, start, start + free_of[s], sizes[s]))
         start += free_of[s]
-    plan = docs.sparkSession.createDataFrame(rows, "shard int, lo long, hi long, taken long")
+    plan = local_rows(docs.sparkSession, rows, "shard int, lo long, hi long, taken long")
     out = ["doc_id", "size", "text_crc32", "group"]
     alone = base.join(groups, "group", "left_anti").withColumn("g", F.lit(1).cast("long"))
     free = at.where("not stays").select(*out, "g").union(loose.select(*out, "g")).union(alone.select(*out, "g")).withColumn("one", F.lit(0))

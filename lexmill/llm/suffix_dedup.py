@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import stage, width
 from .ngram_join import PARTITIONS, _arrays, _groups
 from .shingles import mixed
+from .words import trimmed
 
 LENGTH = 200
 #: Bytes from a trigger that make an anchor's key; bytes per phrase, on average.
@@ -179,7 +180,7 @@ def _parsed(docs: DataFrame, length: int, count: int, buckets: int) -> DataFrame
         if held:
             yield from sent()
 
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(run, _PARSED)
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(trimmed(run), _PARSED)
 
 
 def _place(d: np.ndarray, h: np.ndarray, buckets: int) -> np.ndarray:
@@ -247,7 +248,7 @@ def _met(parsed: DataFrame, length: int, buckets: int) -> DataFrame:
                 out.append((int(place[a]), *_by_owner(o[a:b], doc, h), s[a:b].astype(_I32).tobytes(), e[a:b].astype(_I32).tobytes(), at[i].astype(_I32).tobytes(), key[i].tobytes(), flags[a:b].tobytes()))
             yield _rows(_MARKS, out)
 
-    return parsed.mapInArrow(run, _MARKS)
+    return parsed.mapInArrow(trimmed(run), _MARKS)
 
 
 _OF_DOC = "doc long, hash long, hot int, spans binary, lo binary, hi binary, at binary, key binary, flag binary"
@@ -277,7 +278,7 @@ def _of_documents(marks: DataFrame) -> DataFrame:
             if rows:
                 yield _rows(_OF_DOC, rows)
 
-    return marks.mapInArrow(run, _OF_DOC)
+    return marks.mapInArrow(trimmed(run), _OF_DOC)
 
 
 def _entries(texts: DataFrame, length: int) -> DataFrame:
@@ -297,7 +298,7 @@ def _entries(texts: DataFrame, length: int) -> DataFrame:
             if rows:
                 yield _rows(schema, rows)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(trimmed(run), schema)
 
 
 def _strings(texts: DataFrame, length: int) -> DataFrame:
@@ -313,7 +314,7 @@ def _strings(texts: DataFrame, length: int) -> DataFrame:
                 for k in range(0, len(rows), 50_000):
                     yield _rows(schema, rows[k : k + 50_000])
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(trimmed(run), schema)
 
 
 def _counted(strings: DataFrame, length: int) -> DataFrame:
@@ -422,7 +423,7 @@ def _compared(entries: DataFrame, length: int) -> DataFrame:
         if held and (out := found(held)):
             yield _rows(schema, out)
 
-    return entries.mapInArrow(run, schema)
+    return entries.mapInArrow(trimmed(run), schema)
 
 
 def marked_documents(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, bool]:
@@ -496,7 +497,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             types = [*[pa.int64()] * 4, pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types], names=[x.split()[0] for x in schema.split(", ")])
 
-    cut = _with_text(docs, marks, small).select(F.col("row.doc_id"), _text(), "spans", "more").mapInArrow(run, schema)
+    cut = _with_text(docs, marks, small).select(F.col("row.doc_id"), _text(), "spans", "more").mapInArrow(trimmed(run), schema)
     zero = F.lit(0).cast("long")
     whole = _without_marks(docs, marks, small).select("row.doc_id", F.octet_length(_text()).cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(_text(), 256).alias("kept_sha256"))
     return cut.union(whole)
@@ -506,11 +507,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with repeated passages cut from the texts; n_chars, if there, is counted anew."""
     marks, small = marked_documents(docs.select("doc_id", "text"), length)
 
-    @F.pandas_udf("string")
-    def cut(text, spans, more):  # noqa: ANN001
-        import pandas as pd
-
-        return pd.Series([_kept(t.encode("utf-8", "surrogatepass"), *_spans(s, m)).decode("utf-8", "ignore") for t, s, m in zip(text, spans, more, strict=True)])
+    @F.arrow_udf("string")
+    def cut(text: pa.Array, spans: pa.Array, more: pa.Array) -> pa.Array:
+        rows = zip(text.to_pylist(), spans.to_pylist(), more.to_pylist(), strict=True)
+        return pa.array([_kept(t.encode("utf-8", "surrogatepass"), *_spans(s, m)).decode("utf-8", "ignore") for t, s, m in rows], pa.string())
 
     def back(rows: DataFrame) -> DataFrame:
         new = {"text": F.col("new"), "n_chars": F.char_length("new").cast(dict(docs.dtypes).get("n_chars", "long"))}

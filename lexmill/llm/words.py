@@ -6,14 +6,51 @@ A block of texts becomes its distinct words and, for every word in it, the place
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text in a block, about; a longer text is a block of its own.
-BLOCK = 8_000_000
+BLOCK = 6_000_000
+
+
+def release() -> None:
+    """Give memory that is no longer in use back to the system: workers outlive their tasks, and others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run: Callable) -> Callable:
+    """run, a function for mapInArrow, with `release` after its last batch."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about `size` bytes, so that work per block doesn't depend on how Spark cuts batches."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if total:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def blocks(texts: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, int]]:
