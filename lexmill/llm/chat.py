@@ -10,8 +10,8 @@ Inside texts `\\` becomes `\\\\` and `<|` becomes `<\\|`, so no control string c
 becomes `<\\n>` too. Both are undone by `read_back`.
 
 Defined cases: null text or role is empty; null conversation ids form one conversation; a parent that is missing makes
-its child a root; messages in a cycle of parents are on no path; repeated (conversation, message) ids are not allowed
-in trees (`chain` numbers rows anew, ties in turn by role and text); an empty table gives no rows; further columns are
+its child a root; messages in a cycle of parents are on no path; of repeated (conversation, message) ids the first by
+parent (null first), score, role and text counts (`chain` numbers rows anew, ties in turn by role and text); an empty table gives no rows; further columns are
 ignored.
 """
 
@@ -75,11 +75,15 @@ def chosen_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     return marks.distinct().join(ends.select("tree", "id", "depth"), ["tree", "id"])
 
 
-def format_conversations(messages: DataFrame, keep: int = 1, key: str = "conv_id") -> DataFrame:
+def format_conversations(messages: DataFrame, keep: int = 1, key: str = "conv_id", numbered: bool = False) -> DataFrame:
     """Rows (key, path, formatted, loss array<struct<start, length>>): spans of code points with assistant text.
 
-    messages: key, id, parent, score, role, text. A loss span holds an assistant's escaped text, no markers.
+    messages: key, id, parent, score, role, text; numbered: no id is repeated in its tree. A loss span holds an
+    assistant's escaped text, no markers.
     """
+    if not numbered:
+        row = F.struct("parent", "score", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+        messages = messages.groupBy(key, "id").agg(F.min(row).alias("m")).select(key, "id", "m.*")
     m = stage(messages.withColumn("tree", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))), "chat-messages")
     paths = chosen_paths(m, keep)
     head = F.concat(F.lit(START), escape(F.col("role"), role=True), F.lit("\n"))
@@ -117,7 +121,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def digests(spark: SparkSession, turns: DataFrame) -> DataFrame:
     """The digest columns of the formatted conversations of a table of turns."""
-    back = read_back(format_conversations(chain(turns)))
+    back = read_back(format_conversations(chain(turns), numbered=True))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     heard = F.array_join("learned", "")
     return back.select(

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import bpe, chat, fingerprints, html_extract, ngram_join, packing, quality_classifier, quality_rules, sharding, shingles, sql, suffix_dedup, words
 from lexmill.llm.queries import QUERIES, vocabulary
@@ -122,11 +123,44 @@ def test_pack_counts(seed):
     assert -(-sum(k * v for k, v in counts.items()) // 2048) <= sum(n for _, n in plan) <= sum(n for _, n in first)
 
 
-def test_bin_completion_beats_best_fit():
-    counts = {6: 1, 5: 2, 4: 2, 3: 2}  # 10 = 6+4, 5+5, 4+3+3; best fit decreasing does as well or worse
-    assert sum(n for _, n in packing.pack_counts(counts, 10)) == 3
-    hard = {7: 2, 6: 2, 4: 2, 3: 2, 2: 0, 5: 4}
-    assert sum(n for _, n in packing.pack_counts(hard, 10)) == 6
+def _fewest(sizes, capacity):
+    """The fewest sequences, by all subsets: (sequences, least filling of the last) of each set of pieces."""
+    best = {0: (1, 0)}
+    for chosen in range(1, 1 << len(sizes)):
+        found = []
+        for k, x in enumerate(sizes):
+            if chosen >> k & 1:
+                n, last = best[chosen & ~(1 << k)]
+                found.append((n, last + x) if last + x <= capacity else (n + 1, x))
+        best[chosen] = min(found)
+    return best[(1 << len(sizes)) - 1][0]
+
+
+def test_bin_completion_is_optimal_on_small_cases():
+    r, better = random.Random(12), 0
+    for case in range(400):
+        capacity = r.choice([10, 20, 37, 100])
+        low, high = r.choice([(0.05, 0.5), (0.2, 0.45), (0.1, 1), (0.25, 0.6)])
+        sizes = [r.randint(max(1, int(low * capacity)), int(high * capacity)) for _ in range(r.randint(1, 11))]
+        want, got = _fewest(sizes, capacity), sum(n for _, n in packing.pack_counts(Counter(sizes), capacity))
+        assert got == want, (case, capacity, sizes)
+        better += sum(n for _, n in packing.best_fit(Counter(sizes), capacity)) > want
+    assert better >= 5  # best fit alone is not optimal
+
+
+@pytest.mark.parametrize("pieces", [4, 5, 6, 8])
+def test_bin_completion_gains_on_planted_packings(pieces):
+    """Full sequences of so many pieces: the search finds packings that best fit doesn't."""
+    r, gained, over = random.Random(pieces), 0, 0
+    for _ in range(8):
+        counts = Counter()
+        for _ in range(20):
+            cuts = sorted(r.sample(range(1, 2048), pieces - 1))
+            counts.update(b - a for a, b in zip([0, *cuts], [*cuts, 2048], strict=True))
+        got, first = sum(n for _, n in packing.pack_counts(counts)), sum(n for _, n in packing.best_fit(counts))
+        gained += first - got
+        over += got - 20
+    assert gained > 0 and over <= 8
 
 
 @pytest.mark.parametrize("seed", [4, 7, 9, 10])
@@ -171,7 +205,7 @@ def test_chat_tree(spark):
         (5, 7, 8, 9.0, "user", "x"), (5, 8, 7, 9.0, "user", "y"), (6, 9, 77, 0.0, "a\nb", None), (None, 1, None, 0.0, None, "z"),
     ]
     m = spark.createDataFrame(rows, "conv_id long, id long, parent long, score double, role string, text string")
-    m = m.fillna("", ["role", "text"])
+    m = m.union(m.where("id = 2").withColumn("text", F.lit("later"))).union(m)  # repeated ids: the first counts
     back = chat.read_back(chat.format_conversations(m, keep=2)).collect()
     got = {(r["conv_id"], r["path"]): [tuple(t) for t in r["turns"]] for r in back}
     assert got == {(5, 1): [("system", "s"), ("user", "b<|im_end|>")], (5, 2): [("system", "s"), ("user", "a"), ("assistant", "c\\<|\n")], (6, 1): [("a\nb", "")], (None, 1): [("", "z")]}
@@ -331,6 +365,48 @@ def test_classifier(spark):
     assert (w == quality_classifier.train(d, labels)).all()
 
 
+def test_classifier_against_brute_force(spark):
+    """Scores and steps by plain dictionaries: the proximal step solves its own minimum, and a score is a sparse product."""
+    texts = ["one two three one two", "Some *** Words!! here 12", "", None, "a b c d e f a b c d e f"]
+    found = list(quality_classifier.vectors(pa.array(texts, pa.string())))
+    for t, (i, x) in zip(texts, found, strict=True):
+        w = (t or "").split()
+        want = Counter({0: 1.0})
+        mask = (1 << quality_classifier.BITS) - 1
+        fold = lambda h: (h ^ (h >> 32)) & mask
+        raw, form = [quality_classifier.xxhash.xxh3_64_intdigest(z) for z in w], [quality_classifier.xxhash.xxh3_64_intdigest(quality_classifier.shape(z), 1) for z in w]
+        two = lambda h: [(a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % 2**64 for a, b in zip(h, h[1:], strict=False)]
+        three = [(a * 0x165667B19E3779F9 + b) % 2**64 for a, b in zip(two(form), form[2:], strict=False)]
+        for family in (raw + two(raw), form + two(form) + three):
+            for k, c in Counter(map(fold, family)).items():
+                want[k] += (c / len(family)) ** 0.5
+        got = Counter()
+        for k, v in zip(i.tolist(), x.tolist(), strict=True):
+            got[k] += v
+        extra = sum(got.values()) - sum(want.values())
+        assert all(got[k] >= v - 1e-9 for k, v in want.items()) and abs(extra - (1.0 if w else 0.0)) < 1e-9  # the two tokens
+    model, z, n = quality_classifier.Ftrl(), Counter(), Counter()
+    for step in range(30):
+        (i, x), y = found[step % 2], step % 2
+        weight = {k: 0.0 if abs(z[k]) <= quality_classifier.L1 else -(z[k] - np.sign(z[k]) * quality_classifier.L1) / ((quality_classifier.BETA + n[k] ** 0.5) / quality_classifier.ALPHA + quality_classifier.L2) for k in i.tolist()}
+        p = 1 / (1 + np.exp(-sum(weight[k] * v for k, v in zip(i.tolist(), x.tolist(), strict=True))))
+        for k, v in zip(i.tolist(), x.tolist(), strict=True):
+            g = (p - y) * v
+            z[k] += g - ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / quality_classifier.ALPHA * weight[k]
+            n[k] += g * g
+        model.learn(i, x, y)
+    assert len(set(found[0][0].tolist())) < len(found[0][0]) or max(abs(model.z[k] - z[k]) for k in z) < 1e-6
+
+
+def test_classifier_learns_from_repeated_rows_once(spark):
+    many = [(7, "the same text again and again")] * 3000 + [(k, f"text {k} of some words") for k in range(40)]
+    d = spark.createDataFrame(many, "doc_id long, text string").repartition(4)
+    once = spark.createDataFrame(sorted(set(many)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    assert (quality_classifier.train(d, labels) == quality_classifier.train(once, labels)).all()
+    assert (quality_classifier.train(d, labels, 5) == quality_classifier.train(once, labels, 5)).all()
+
+
 def test_classifier_cases(spark, docs, none):
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)] + [(3, None, 0), (None, 1, 0), (999, 1, 0)], "doc_id long, quality int, toxic int")
     w = quality_classifier.train(docs, labels)
@@ -498,6 +574,25 @@ def test_fingerprints(docs, none):
     assert len(both) == 3
 
 
+@pytest.mark.parametrize("kind", ["far id", "one id", "no id", "plain"])
+def test_fingerprints_of_odd_ids(spark, monkeypatch, kind):
+    """Stretches stay small and in order whatever the ids; against brute force."""
+    monkeypatch.setattr(fingerprints, "STRETCH", 20)
+    r = random.Random(3)
+    ids = {"far id": [*range(999), 10**15], "one id": [5] * 900 + [*range(100)], "no id": [None] * 900 + [*range(100)], "plain": range(-500, 500)}[kind]
+    rows = [(i, " ".join(r.choice("abcdefgh") * r.randint(1, 3) for _ in range(r.randint(1, 40)))) for i in ids]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    stretches = fingerprints.Stretches(df)
+    md5 = [hashlib.md5(t.encode()).hexdigest() for _, t in rows]
+    assert max(Counter(stretches.of(pa.array([i for i, _ in rows], pa.int64()), md5).tolist()).values()) < 100
+    order = sorted(zip(rows, md5, strict=True), key=lambda x: (x[0][0] is None, -(x[0][0] or 0), x[1]))
+    want = Counter()
+    for k, ((i, t), _) in enumerate(order):
+        nxt, cut = order[(k + 1) % len(order)][0][1], len(t) // 3
+        want[i, hashlib.sha256((t[: len(t) - cut] + nxt[:cut]).encode()).hexdigest()] += 1
+    assert Counter((x["doc_id"], x["edited_sha256"]) for x in fingerprints.edited(df).collect()) == want
+
+
 def test_fingerprint_estimates():
     shingle = shingles.shingle
     r = random.Random(3)
