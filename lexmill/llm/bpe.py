@@ -32,6 +32,8 @@ from .words import blocks, gathered, joined, release, spelled, trimmed
 
 #: Pairs of tokens of which it is remembered, per Python worker, whether they may stand side by side.
 PAIRS = 300_000
+#: Bytes of text encoded together by the trie: the more, the more prefixes are shared.
+BLOCK = 16_000_000
 END = "</w>"
 #: ASCII punctuation without the apostrophe, which may belong to the letters before it.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -274,8 +276,8 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
 
     def run(batches):
         enc = text_encoder(path)
-        for batch in joined(batches):
-            for a, b in blocks(batch.column(1)):
+        for batch in joined(batches, BLOCK):
+            for a, b in blocks(batch.column(1), BLOCK):
                 offsets, ids = enc.block(batch.column(1).slice(a, b - a))
                 numbers, words = enc.rendered(enc.numbers, offsets, ids), enc.rendered(enc.contents, offsets, ids)
                 sha = [pa.array([hashlib.sha256(x).hexdigest() for x in slices(t)], pa.string()) for t in (numbers, words)]
