@@ -38,7 +38,7 @@ from .words import joined, trimmed
 
 PERCENT = 80
 #: Documents per fragment of the order, about, and the most fragments.
-DOCS_PER_FRAGMENT, FRAGMENTS = 4000, 1 << 20
+DOCS_PER_FRAGMENT, FRAGMENTS = 3000, 1 << 20
 #: Partitions of a shuffle by fragment, at most; beyond, a partition has several fragments, one after the other.
 PARTITIONS = 20_000
 #: Shingles that a map task holds before it sends them.
@@ -148,20 +148,23 @@ def _shared(fragments: DataFrame, buckets: int) -> DataFrame:
             if not parts:
                 continue
             cls, n, k, grams = _arrays(parts, (np.int64, np.int32, np.int32, np.uint64))
+            found.clear()  # the rows' bytes, which the arrays have copied
+            parts.clear()
             ids, first = np.unique(cls, return_index=True)  # a class that two tasks sent counts once
             once = np.zeros(len(cls), bool)
             once[first] = True
             owner = np.repeat(np.searchsorted(ids, cls), k)
             grams, owner = grams[np.repeat(once, k)], owner[np.repeat(once, k)]
             n = n[first]
-            order = np.argsort(grams, kind="stable")
+            order = np.argsort(grams)
             g = grams[order]
+            del grams
             new = np.r_[True, g[1:] != g[:-1]]
             df = np.diff(np.r_[np.flatnonzero(new), len(g)])
-            df = np.repeat(df, df)
-            keep = df > 1
-            g, o = g[keep], owner[order][keep]
-            often = np.ceil(np.log2(df[keep])).astype(np.uint8)
+            often = np.repeat(np.ceil(np.log2(df)).astype(np.uint8), df)  # 0: of one class only
+            keep = often > 0
+            g, o, often = g[keep], owner[order[keep]], often[keep]
+            del order, owner, new, keep, df
             if not len(g):
                 continue
             place = (ids[o].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
