@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def _home(spark: SparkSession) -> str:
+def home(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lexmill/{spark.sparkContext.applicationId}"
 
 
@@ -35,7 +35,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{_home(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{home(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("parquet.block.size", ROW_GROUP).parquet(path)  # a task holds a row group
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
@@ -50,4 +50,4 @@ def unstage(df: DataFrame | None) -> None:
 
 def clear(spark: SparkSession) -> None:
     """Delete all that this application has staged; results that still read from it must have been written."""
-    _delete(spark, _home(spark))
+    _delete(spark, home(spark))
