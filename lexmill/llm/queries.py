@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, html_extract, ngram_join, packing, quality_classifier, quality_rules, sharding, sql, suffix_dedup
+from . import bpe, chat, fill_middle, fingerprints, html_extract, language_model, ngram_join, packing, phrases, quality_classifier, quality_rules, sharding, sql, suffix_dedup
 from .common import table
 
 
@@ -61,5 +61,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op3_suffix_dedup, op4_quality_rules, op5_quality_classifier, op6_bpe, op7_html_extraction, op8_ngram_join, op9_fingerprints, op10_sharding)}
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_formatting, op3_suffix_dedup, op4_quality_rules, op5_quality_classifier, op6_bpe, op7_html_extraction, op8_ngram_join, op9_fingerprints, op10_sharding, op11_lm_scoring, op12_fill_in_middle, op13_phrase_collocations)}
 SQL = {k: v for k, v in sql.SQL.items() if k in QUERIES}

@@ -73,4 +73,45 @@ FROM shares JOIN fences USING (lang_, source_)
 """
 
 
-SQL = {"op2_chat_formatting": OP2, "op4_quality_rules": _op4()}
+OP12 = r"""
+WITH said AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+cut AS (
+  SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM said),
+formed AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || text[:a] || '<S>' || text[b + 1:] || '<M>' || text[a + 1:b]
+    ELSE '<S>' || text[b + 1:] || '<P>' || text[:a] || '<M>' || text[a + 1:b] END) AS output_sha256, sha256(text) AS restored_sha256
+FROM formed
+"""
+
+_WORDS = 5
+OP13 = rf"""
+WITH said AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?
+-]')) AS piece FROM said)),
+total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+grams AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT lang, w, unnest(range(1, {_WORDS + 1})) AS size FROM pieces) WHERE len(w) >= size)),
+often AS (SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, size, phrase, f, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS x, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1)),
+scores AS (SELECT c.lang, c.size, c.phrase, c.f AS a, c.k, l.f AS l, r.f AS r, n, 1000 * c.f * n // (l.f * r.f) AS score
+  FROM cuts c JOIN often l ON l.lang = c.lang AND l.phrase = x JOIN often r ON r.lang = c.lang AND r.phrase = y JOIN total t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+within AS (SELECT DISTINCT lang, part, f FROM (
+  SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS part
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS m FROM often WHERE size > 2))))
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+  WHERE NOT EXISTS (SELECT 1 FROM within w WHERE w.lang = lowest.lang AND w.part = lowest.phrase AND w.f >= lowest.a))
+WHERE rank <= 2000
+"""
+
+
+SQL = {"op2_chat_formatting": OP2, "op4_quality_rules": _op4(), "op12_fill_in_middle": OP12, "op13_phrase_collocations": OP13}
