@@ -148,7 +148,7 @@ class Index:
 
     def nearest(self, queries: DataFrame | None = None, k: int = 5, probes: int | None = None) -> DataFrame:
         """(query, rn, neighbour, similarity): the k nearest of each query (default: every row) in the lists that it probes."""
-        probes = probes or self.probes(k)
+        probes = self.probes(k) if probes is None else probes
         asked = self.lists.drop("list") if queries is None else queries.select(F.col(self.key).alias("id"), F.col("embedding").cast("array<float>").alias("embedding")).where("embedding is not null")
         met = self._packed(self.lists, "v").join(self._packed(stage(self._near(asked, probes), "index-probes"), "q"), "list")
         kind = self.lists.schema["id"].dataType.simpleString()

@@ -80,10 +80,10 @@ def test_clustered_vectors_need_few_probes_and_hot_lists_are_cut(spark, monkeypa
 
 def test_topics_against_brute_force(spark):
     r = np.random.default_rng(3)
-    rows = [(i, x.tolist()) for i, x in enumerate(r.normal(size=(60, 4)))] + [(100 + i, [1.0, 0, 0, 0]) for i in range(7)] + [(200, None), (201, [0.0] * 4)]
+    rows = [(i, x.tolist()) for i, x in enumerate(r.normal(size=(60, 4)))] + [(100 + i, [1.0, 0.0, 0.0, 0.0]) for i in range(7)] + [(200, None), (201, [0.0] * 4)]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {x.vec_id: x.topic for x in topics.topics(v, k=3, similarity=0.6, probes=100).collect()}
-    one = dict(rows[:60]) | {100: [1.0, 0, 0, 0]}
+    one = dict(rows[:60]) | {100: [1.0, 0.0, 0.0, 0.0]}
     ids = sorted(one)
     m = np.array([one[i] for i in ids], np.float32)
     m /= np.linalg.norm(m, axis=1, keepdims=True)
