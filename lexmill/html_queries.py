@@ -1,4 +1,4 @@
-"""Queries over encyclopedia-like pages that are made of the suppliers, nations, regions, orders and line items; the SQL
+"""Queries over the given pages, and over encyclopedia-like pages that are made of the suppliers, nations, regions, orders and line items; the SQL
 makes the expected text from the tables' columns, without any HTML."""
 
 from __future__ import annotations
@@ -75,12 +75,12 @@ def _markdown(keep: str = "true") -> str:
 
 
 @query(f"WITH {_BLOCKS} SELECT page_id, seq, heading, level, text FROM b")
-def html_blocks(spark, sf_dir):
+def wiki_blocks(spark, sf_dir):
     return parse.html_blocks(supplier_pages(spark, sf_dir)).drop("error")
 
 
 @query(f"WITH {_BLOCKS}, {_markdown()} SELECT page_id, '# ' || name || chr(10) || text AS text, CAST(3 AS INTEGER) AS n_infoboxes, math <> '' AS has_math FROM m JOIN p USING (page_id)")
-def html_markdown(spark, sf_dir):
+def wiki_markdown(spark, sf_dir):
     return parse.html_markdown(supplier_pages(spark, sf_dir)).drop("error")
 
 
@@ -88,7 +88,7 @@ _NO_REFERENCES = _markdown("heading <> 'References'")
 
 
 @query(f"WITH {_BLOCKS}, {_NO_REFERENCES} SELECT page_id, text FROM m")
-def html_reassembled(spark, sf_dir):
+def wiki_reassembled(spark, sf_dir):
     words = spark.createDataFrame([("References",)], "heading string").coalesce(1)
     return parse.reassembled(parse.blocks_without(parse.html_blocks(supplier_pages(spark, sf_dir)).drop("error"), words, ["heading"]))
 
@@ -97,7 +97,7 @@ def html_reassembled(spark, sf_dir):
     f"""WITH {_BLOCKS} SELECT page_id, CAST(CASE seq WHEN 4 THEN 0 WHEN 5 THEN 1 ELSE 3 END AS INTEGER) AS list_no, text FROM b WHERE seq IN (4, 5, 11)
 UNION ALL SELECT page_id, CAST(2 AS INTEGER), '- no' || chr(10) FROM p"""
 )
-def html_lists(spark, sf_dir):
+def wiki_lists(spark, sf_dir):
     return parse.html_lists(supplier_pages(spark, sf_dir)).drop("error")
 
 
@@ -187,7 +187,7 @@ def infobox_kv(spark, sf_dir):
 SELECT 'enwiki/' || page_id AS id, text, CAST(CASE z WHEN 11 THEN 0 ELSE 3 END AS INTEGER) AS n_infoboxes, z <> 11 AND math <> '' AS has_math, CASE z WHEN 11 THEN 'dropped' ELSE 'extracted' END AS outcome
 FROM r WHERE z NOT IN (1, 2, 3, 4, 5, 7, 8) AND (page_id % 29 <> 0 OR page_id >= 10000 OR z = 10)"""
 )
-def parsed_pages(spark, sf_dir):
+def wiki_parsed(spark, sf_dir):
     """The whole first stage: records are judged, and the kept ones parsed; one in 23 has nothing to show."""
     from .queries import disambiguations, raw_pages
 
@@ -196,3 +196,36 @@ def parsed_pages(spark, sf_dir):
     p = p.select("page_id", F.concat(F.lit("https://en.wikipedia.org/wiki/"), "page_id").alias("url"), html.alias("html"))
     docs = pages.documents(pages.judged(raw_pages(p), disambiguations(spark)))
     return parse.parsed(docs, {"enwiki": ["References"]}).select("id", "text", F.size("infoboxes").alias("n_infoboxes"), "has_math", "outcome")
+
+
+# The given pages ----------------------------------------------------------------------------------------------------
+
+
+@query()
+def html_blocks(spark, sf_dir):
+    return parse.html_blocks(table(spark, sf_dir, "pages"))
+
+
+@query()
+def html_markdown(spark, sf_dir):
+    return parse.html_markdown(table(spark, sf_dir, "pages"))
+
+
+@query()
+def html_reassembled(spark, sf_dir):
+    words = spark.createDataFrame([("References",)], "heading string").coalesce(1)
+    return parse.reassembled(parse.blocks_without(parse.html_blocks(table(spark, sf_dir, "pages")).drop("error"), words, ["heading"]))
+
+
+@query()
+def html_lists(spark, sf_dir):
+    return parse.html_lists(table(spark, sf_dir, "pages"))
+
+
+@query()
+def parsed_pages(spark, sf_dir):
+    """The whole first stage on the given pages."""
+    from .queries import disambiguations, raw_pages
+
+    docs = pages.documents(pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)))
+    return parse.parsed(docs, {"enwiki": ["References"]}).select("id", "text", F.size("infoboxes").alias("n_infoboxes"), "has_math", "outcome")

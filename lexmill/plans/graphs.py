@@ -139,7 +139,7 @@ def cleanup(relations: DataFrame, clusters: DataFrame) -> DataFrame:
     size = lambda r, e, s: (
         r.groupBy("graph_id").agg(F.count(F.lit(1)).alias(f"relations_{s}")).join(e.groupBy("graph_id").agg(F.count(F.lit(1)).alias(f"entities_{s}")), "graph_id")
     )
-    after = relabelled(relations, clusters)
+    after = stage(relabelled(relations, clusters), "kg-after")
     merged = clusters.groupBy("graph_id", "representative").count().groupBy("graph_id").agg(F.sum((F.col("count") > 1).cast("bigint")).alias("clusters"))
     both = size(relations, entities(relations), "before").join(size(after, entities(after), "after"), "graph_id").join(merged, "graph_id")
     pct = lambda k: F.round(cleanup_percent(F.col(f"{k}_before"), F.col(f"{k}_after")), 6).alias(f"{k}_cleanup_percent")
@@ -200,16 +200,16 @@ def merged(relations: DataFrame, size: int = 100, path: str | None = None) -> Da
 
     With a path, de-duplicated groups are kept there as a table by group, and groups that it has are not made again.
     """
-    grouped = aggregated(relations, F.floor(F.col("graph_id") / size))
+    deduplicated = lambda g: relabelled(g, stage(exact_clusters(entities(g)), "kg-clusters"))
+    grouped = stage(aggregated(relations, F.floor(F.col("graph_id") / size)), "kg-grouped")
     if path:
         spark = relations.sparkSession
         schema = "graph_id bigint, subject string, predicate string, object string"
         there = spark._jvm.org.apache.hadoop.fs.Path(path)
         if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
             grouped = grouped.join(spark.read.schema(schema).parquet(path).select("graph_id").distinct(), "graph_id", "left_anti")
-        relabelled(grouped, exact_clusters(entities(grouped))).write.mode("append").parquet(path)
+        deduplicated(grouped).write.mode("append").parquet(path)
         first = spark.read.schema(schema).parquet(path)
     else:
-        first = relabelled(grouped, exact_clusters(entities(grouped)))
-    whole = aggregated(first, F.lit(0).cast("bigint"))
-    return relabelled(whole, exact_clusters(entities(whole)))
+        first = deduplicated(grouped)
+    return deduplicated(stage(aggregated(first, F.lit(0).cast("bigint")), "kg-whole"))

@@ -97,7 +97,7 @@ def flat_results(raw: DataFrame) -> DataFrame:
 
 def simulated_results(docs: DataFrame) -> DataFrame:
     """Sample results of a rule instead of a model: a prompt of a token per four characters, a completion of one per word."""
-    s = docs.join(sample_first(docs).select("doc_id", "bucket"), "doc_id")
+    s = docs.join(F.broadcast(sample_first(docs).select("doc_id", "bucket")), "doc_id")  # PER_BUCKET rows of each bucket at most
     return s.select(
         F.col("doc_id").cast("string").alias("article_id"),
         F.char_length("text").alias("article_length"),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .functions.scalar import GRID, any_date, closest_bucket, host_of, is_wiki, page_key, rounded_bucket, wiki_language
 from .operators import catalog, filter_docs, pages, parse
-from .plans import graphs, lengths
+from .plans import graphs, lengths, standing
+from .staging import shared_dir, stage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -158,9 +161,15 @@ def _verdicts(spark, sf_dir):
     return filter_docs.verdict(rows, filter_docs.script_map(_script_rows(spark)))
 
 
-@query(f"WITH {_MAP}, {_MAPPED} SELECT subset, array_to_string(scripts, ',') AS scripts FROM mapped WHERE len(scripts) > 0")
+@query(
+    """SELECT lang || k AS subset, CASE k WHEN 0 THEN 'Latn' WHEN 1 THEN 'Hani,Hani,Latn' ELSE ' ,Cyrl' END AS scripts FROM (SELECT DISTINCT lang, CAST(doc_id % 5 AS INTEGER) AS k FROM documents) WHERE k < 3"""
+)
 def script_map(spark, sf_dir):
-    return filter_docs.script_map(_script_rows(spark)).select("subset", F.array_join("scripts", ",").alias("scripts"))
+    """Maps of the documents' languages, in five spellings; blank ones are no mapping."""
+    k = (F.col("doc_id") % 5).cast("int")
+    spelled = F.when(k == 0, "Latn").when(k == 1, "Hans/Hant//Latn").when(k == 2, " /Cyrl").when(k == 3, "")
+    rows = docs_of(spark, sf_dir).select(F.concat("lang", k).alias("subset"), spelled.alias("scripts")).distinct()
+    return filter_docs.script_map(rows).select("subset", F.array_join("scripts", ",").alias("scripts"))
 
 
 @query(f"WITH {_VERDICT} SELECT reason, count(*) AS n FROM verdict GROUP BY reason")
@@ -338,7 +347,12 @@ after AS (SELECT DISTINCT r.graph_id, s.representative AS subject, predicate, o.
 
 
 def _relations(spark, sf_dir):
-    return graphs.rule_extractor(docs_of(spark, sf_dir))
+    """The relations of all documents; the documents are read once, however often these are used."""
+    return stage(graphs.rule_extractor(docs_of(spark, sf_dir)), "kg-relations")
+
+
+def _clusters(r):
+    return stage(graphs.exact_clusters(graphs.entities(r)), "kg-clusters")
 
 
 @query(f"WITH {_REL} SELECT doc_group AS graph_id, count(*) AS relations FROM (SELECT DISTINCT graph_id // 100 AS doc_group, subject, predicate, object FROM rel) GROUP BY 1")
@@ -369,7 +383,7 @@ def kg_dedup_near(spark, sf_dir):
 @query(f"WITH {_REL}, {_CLUSTER} SELECT graph_id, subject, predicate, object FROM after")
 def kg_relabelled(spark, sf_dir):
     r = _relations(spark, sf_dir)
-    return graphs.relabelled(r, graphs.exact_clusters(graphs.entities(r)))
+    return graphs.relabelled(r, _clusters(r))
 
 
 @query(
@@ -383,7 +397,7 @@ FROM b JOIN c USING (graph_id) JOIN d USING (graph_id) JOIN f USING (graph_id) J
 )
 def kg_cleanup_pct(spark, sf_dir):
     r = _relations(spark, sf_dir)
-    return graphs.cleanup(r, graphs.exact_clusters(graphs.entities(r)))
+    return graphs.cleanup(r, _clusters(r))
 
 
 @query('SELECT "group", count(*) AS n, min(doc_id) AS from_id, max(doc_id) AS to_id FROM (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS "group" FROM documents) GROUP BY 1')
@@ -397,14 +411,28 @@ def kg_chunks(spark, sf_dir):
     return graphs.chunks(docs_of(spark, sf_dir), 2000)
 
 
-@query(
-    f"""WITH {_REL}, c AS (SELECT entity, min(entity) OVER (PARTITION BY {_KEY.format("entity")}) AS r FROM (SELECT DISTINCT entity FROM ent))
+_MERGED = f"""WITH {_REL}, c AS (SELECT entity, min(entity) OVER (PARTITION BY {_KEY.format("entity")}) AS r FROM (SELECT DISTINCT entity FROM ent))
 SELECT DISTINCT CAST(0 AS BIGINT) AS graph_id, s.r AS subject, predicate, o.r AS object FROM rel JOIN c s ON s.entity = subject JOIN c o ON o.entity = object"""
-)
+
+
+@query(_MERGED)
 def kg_merged(spark, sf_dir):
     return graphs.merged(_relations(spark, sf_dir))
 
 
+@query(_MERGED)
+def kg_standing(spark, sf_dir):
+    """The same graph, grown in four steps by ranges of ids."""
+    docs, graph = docs_of(spark, sf_dir), standing.Standing(spark, f"{shared_dir(spark)}/lexmill-standing-{uuid.uuid4().hex}")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    r = _relations(spark, sf_dir)
+    if low is not None:
+        cuts = [low + (high + 1 - low) * k // 4 for k in range(5)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            graph.add(r.where((F.col("graph_id") >= a) & (F.col("graph_id") < b)), a, b)
+    return graph.relations()
+
+
 @query(f"WITH {_REL} SELECT graph_id, count(*) AS n_entities, array_to_string(list_sort(list(entity)), ' ') AS entities FROM ent GROUP BY graph_id")
 def kg_lists(spark, sf_dir):
     g = graphs.as_lists(_relations(spark, sf_dir))
