@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import glob
 import io
+import os
 import re
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith,
+)
 
 LINES = "path string, member string, line_no bigint, value string"
 
 
-def lines_of(data: io.BufferedIOBase) -> Iterator[tuple[str, int, str]]:
-    """(member, line number from 1, line) of all files in a gzip tar; blank lines are skipped."""
+def lines_of(data: io.BufferedIOBase, wanted: Callable[[str], bool] = lambda member: True) -> Iterator[tuple[str, int, str]]:
+    """(member, line number from 1, line) of the wanted files in a gzip tar; blank lines are skipped."""
     with tarfile.open(fileobj=data, mode="r|gz") as tar:
         for member in tar:
+            if not wanted(member.name):
+                continue
             f = tar.extractfile(member)
             if f is None:
                 continue
@@ -43,9 +49,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["path", "member", "line_no", "value"])
 
 
-def _batches(name: str, data, size: int) -> Iterator[pa.RecordBatch]:
+def _batches(name: str, data, size: int, wanted: Callable[[str], bool] = lambda member: True) -> Iterator[pa.RecordBatch]:
     rows = []
-    for member, n, line in lines_of(data):
+    for member, n, line in lines_of(data, wanted):
         rows.append((name, member, n, line))
         if len(rows) >= size:
             yield _batch(rows)
@@ -74,9 +80,19 @@ def read_tar_jsonl(spark: SparkSession, path: str, batch: int = 100, spread: int
     return out.repartition(spread) if spread else out
 
 
-def _streamed(name: str, size: int) -> Iterator[pa.RecordBatch]:
+def _streamed(name: str, size: int, wanted: Callable[[str], bool] = lambda member: True) -> Iterator[pa.RecordBatch]:
     with opened(name) as data:
-        yield from _batches(name, data, size)
+        yield from _batches(name, data, size, wanted)
+
+
+def archives_in(path: str) -> list[str]:
+    """The *.tar.gz files below a folder (or matching a local pattern), sorted."""
+    if "://" in path and not path.startswith("file:"):
+        store, inside = pafs.FileSystem.from_uri(path)
+        scheme = path.split("://", 1)[0]
+        return sorted(f"{scheme}://{f.path}" for f in store.get_file_info(pafs.FileSelector(inside, recursive=True)) if f.path.endswith(".tar.gz"))
+    local = re.sub("^file:/+", "/", path)
+    return sorted(glob.glob(os.path.join(local, "**", "*.tar.gz"), recursive=True) if os.path.isdir(local) else glob.glob(local))
 
 
 class _File(InputPartition):
@@ -85,7 +101,12 @@ class _File(InputPartition):
 
 
 class TarJsonLines(DataSource):
-    """spark.read.format("tarjsonl").load(path): one input partition per file, read as a stream."""
+    """spark.read.format("tarjsonl").load(path): one input partition per file, read as a stream.
+
+    Conditions on path and member are pushed down where spark.sql.python.filterPushdown.enabled is set: archives whose path
+    fails them are never opened, members that fail them are passed over without being decoded. Spark keeps what was pushed
+    with the loaded table, so load it anew for each query, as `read_matching` does.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -98,25 +119,53 @@ class TarJsonLines(DataSource):
         return _Reader(self.options.get("path", ""))
 
 
+#: How a pushed condition reads a name.
+_TESTS: dict[type, Callable[[str, object], bool]] = {
+    EqualTo: lambda name, v: name == v,
+    In: lambda name, v: name in v,
+    StringStartsWith: lambda name, v: name.startswith(v),
+    StringEndsWith: lambda name, v: name.endswith(v),
+    StringContains: lambda name, v: v in name,
+    GreaterThan: lambda name, v: name > v,
+    GreaterThanOrEqual: lambda name, v: name >= v,
+    LessThan: lambda name, v: name < v,
+    LessThanOrEqual: lambda name, v: name <= v,
+}
+
+
+def _holds(condition: Filter, name: str) -> bool:
+    return not _holds(condition.child, name) if isinstance(condition, Not) else _TESTS[type(condition)](name, condition.value)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str):
         self.path = path
+        self.pushed: dict[str, list[Filter]] = {"path": [], "member": []}
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Takes the conditions that it can test on path and member; the others are Spark's."""
+        for f in filters:
+            inner = f.child if isinstance(f, Not) else f
+            column = getattr(inner, "attribute", ("",))
+            if isinstance(inner, IsNotNull) and inner is f and column in (("path",), ("member",)):
+                continue  # neither is ever null
+            if type(inner) in _TESTS and column in (("path",), ("member",)) and isinstance(inner.value, (str, tuple, list)):
+                self.pushed[column[0]].append(f)
+            else:
+                yield f
 
     def partitions(self) -> list[InputPartition]:
-        import glob
-        import os
-
-        if "://" in self.path and not self.path.startswith("file:"):
-            store, inside = pafs.FileSystem.from_uri(self.path)
-            scheme = self.path.split("://", 1)[0]
-            found = [f"{scheme}://{f.path}" for f in store.get_file_info(pafs.FileSelector(inside, recursive=True)) if f.path.endswith(".tar.gz")]
-        else:
-            local = re.sub("^file:/+", "/", self.path)
-            found = glob.glob(os.path.join(local, "**", "*.tar.gz"), recursive=True) if os.path.isdir(local) else glob.glob(local)
-        return [_File(p) for p in sorted(found)]
+        return [_File(p) for p in archives_in(self.path) if all(_holds(f, p) for f in self.pushed["path"])]
 
     def read(self, partition: _File):
-        yield from _streamed(partition.path, 100)
+        yield from _streamed(partition.path, 100, lambda member: all(_holds(f, member) for f in self.pushed["member"]))
+
+
+def read_matching(spark: SparkSession, path: str, condition: Column) -> DataFrame:
+    """Lines of the archives under a path that meet the condition, which is pushed down as far as it can be."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(TarJsonLines)
+    return spark.read.format("tarjsonl").load(path).where(condition)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

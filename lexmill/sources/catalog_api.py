@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, IsNotNull
 
 from ..schemas import SNAPSHOT
 
@@ -61,6 +63,58 @@ def snapshots(spark: SparkSession, url: str, access: str, filters: dict[str, obj
     return lines.select(F.from_json("value", SNAPSHOT).alias("s")).select("s.*")
 
 
+class Snapshots(DataSource):
+    """spark.read.format("snapshots").option("url", …).option("token", …).load(): the snapshot service as a table.
+
+    Equalities on its fields are sent to the service as filters (where spark.sql.python.filterPushdown.enabled is set), so
+    that it lists only what is asked for. `post` may be replaced in a subclass.
+    """
+
+    post = staticmethod(post_json)
+
+    @classmethod
+    def name(cls) -> str:
+        return "snapshots"
+
+    def schema(self) -> str:
+        return SNAPSHOT if isinstance(SNAPSHOT, str) else SNAPSHOT.simpleString()
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Service(self.options.get("url", ""), self.options.get("token", ""), type(self).post, schema)
+
+
+class _Service(DataSourceReader):
+    def __init__(self, url: str, access: str, post: Post, schema):
+        self.url, self.access, self.post, self.schema = url, access, post, schema
+        self.filters: list[dict] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo) and ".".join(f.attribute) in FIELDS and not isinstance(f.value, (list, dict)):
+                self.filters.append({"field": ".".join(f.attribute), "value": f.value})
+            elif not isinstance(f, IsNotNull) or not any(x["field"] == ".".join(f.attribute) for x in self.filters):
+                yield f
+
+    def read(self, partition):
+        answer = self.post(self.url, {"fields": FIELDS, "filters": self.filters}, {"Authorization": f"Bearer {self.access}"})
+        for r in answer:
+            yield _typed(r, self.schema)
+
+
+def _typed(value, kind):
+    """A decoded JSON value in the shape of a Spark type; what doesn't fit is null."""
+    if isinstance(kind, T.StructType):
+        return tuple(_typed(value.get(f.name), f.dataType) for f in kind) if isinstance(value, dict) else None
+    if isinstance(kind, T.ArrayType):
+        return [_typed(v, kind.elementType) for v in value] if isinstance(value, list) else None
+    if value is None or isinstance(kind, T.StringType):
+        return value if value is None or isinstance(value, str) else json.dumps(value)
+    try:
+        return float(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else int(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def write_snapshots(rows: DataFrame, path: str) -> None:
     """One JSON array: a catalogue of a few hundred rows."""
     with open(path, "w", encoding="utf-8") as f:
