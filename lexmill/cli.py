@@ -1,4 +1,4 @@
-"""Command lines: extract, filter, publish, sample, estimate, histogram, cost."""
+"""Command lines: extract, filter, profile, publish, sample, estimate, histogram, cost."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .functions.scalar import wiki_language
 from .operators import filter_docs, pages, parse
-from .plans import lengths
+from .plans import languages, lengths
 from .session import session
 from .sources import archives, files
 
@@ -29,7 +29,9 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--reference-words")
     c.add_argument("--seconds", type=float, default=parse.SECONDS)
     c.add_argument("--whole-files", action="store_true", help="let Spark open the archives, each whole in memory")
-    command("filter", "documents", "script_map", "out")
+    c = command("filter", "documents", "script_map", "out")
+    c.add_argument("--profiles", help="stored language profiles (see `profile`) to predict by, instead of stop words")
+    command("profile", "published", "out")
     c = command("publish", "documents", "out")
     c.add_argument("--max-docs", type=int, default=0)
     c.add_argument("--max-files", type=int, default=0)
@@ -68,8 +70,11 @@ def main(args: list[str] | None = None) -> None:
         docs = files.read_documents(spark, a.documents)
         wiki = wiki_language(F.concat("metadata.wikiname", F.lit("_namespace_0")))
         rows = docs.select("*", wiki.alias("wiki"), F.coalesce(F.size("metadata.infoboxes"), F.lit(0)).alias("n_infoboxes"))
-        judged = filter_docs.verdict(filter_docs.with_predictions(rows), filter_docs.script_map(files.read_script_map(spark, a.script_map)))
+        predictor = languages.Profiles(spark.read.parquet(a.profiles)).predict if a.profiles else filter_docs.predict
+        judged = filter_docs.verdict(filter_docs.with_predictions(rows, predictor), filter_docs.script_map(files.read_script_map(spark, a.script_map)))
         files.write_documents(judged.where("reason = 'kept'"), a.out)
+    elif a.command == "profile":
+        languages.gram_counts(files.read_published(spark, a.published).select(F.col("language_code").alias("lang"), "text")).write.parquet(a.out)
     elif a.command == "publish":
         docs = filter_docs.published(files.read_documents(spark, a.documents, a.max_files))
         docs = docs.orderBy("id").limit(a.max_docs) if a.max_docs else docs

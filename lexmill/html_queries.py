@@ -3,11 +3,14 @@ makes the expected text from the tables' columns, without any HTML."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import pages, parse
 from .queries import query, table
+from .sql_surface import register
 
 # One page per supplier: k its key, name, n its nation, r its region, bal its balance.
 _PAGE = [
@@ -93,19 +96,21 @@ def wiki_reassembled(spark, sf_dir):
     return parse.reassembled(parse.blocks_without(parse.html_blocks(supplier_pages(spark, sf_dir)).drop("error"), words, ["heading"]))
 
 
-@query(
-    f"""WITH {_BLOCKS} SELECT page_id, CAST(CASE seq WHEN 4 THEN 0 WHEN 5 THEN 1 ELSE 3 END AS INTEGER) AS list_no, text FROM b WHERE seq IN (4, 5, 11)
+_LISTS = f"""WITH {_BLOCKS} SELECT page_id, CAST(CASE seq WHEN 4 THEN 0 WHEN 5 THEN 1 ELSE 3 END AS INTEGER) AS list_no, text FROM b WHERE seq IN (4, 5, 11)
 UNION ALL SELECT page_id, CAST(2 AS INTEGER), '- no' || chr(10) FROM p"""
-)
+
+
+@query(_LISTS)
 def wiki_lists(spark, sf_dir):
     return parse.html_lists(supplier_pages(spark, sf_dir)).drop("error")
 
 
-@query(
-    f"""WITH {_P}, t AS (SELECT page_id, 0 AS table_no, {_BOX} AS markdown, 12 AS n_rows, 2 AS n_cols FROM p UNION ALL SELECT page_id, 1, {_SIDE}, 1, 2 FROM p
+_SPANNED = f"""WITH {_P}, t AS (SELECT page_id, 0 AS table_no, {_BOX} AS markdown, 12 AS n_rows, 2 AS n_cols FROM p UNION ALL SELECT page_id, 1, {_SIDE}, 1, 2 FROM p
 UNION ALL SELECT page_id, 2, '| no |', 1, 1 FROM p UNION ALL SELECT page_id, 3, {_SPANS}, 5, 3 FROM p)
 SELECT page_id, CAST(table_no AS INTEGER) AS table_no, markdown, CAST(n_rows AS INTEGER) AS n_rows, CAST(n_cols AS INTEGER) AS n_cols FROM t"""
-)
+
+
+@query(_SPANNED)
 def html_table_spans(spark, sf_dir):
     return parse.html_tables(supplier_pages(spark, sf_dir)).drop("error")
 
@@ -116,13 +121,13 @@ _FACTS = [
 ]
 
 
-@query(
-    f"WITH {_P} "
-    + " UNION ALL ".join(
+_FACTED = f"WITH {_P} " + " UNION ALL ".join(
         f"SELECT page_id, CAST({b} AS INTEGER) AS box_no, {t} AS title, CAST({e} AS INTEGER) AS entry, '{name}' AS name, CAST({i} AS INTEGER) AS value_no, {v} AS value FROM p"
         for b, t, e, name, i, v in _FACTS
     )
-)
+
+
+@query(_FACTED)
 def infobox_sections(spark, sf_dir):
     return parse.infobox_values(supplier_pages(spark, sf_dir)).drop("error")
 
@@ -198,6 +203,36 @@ def wiki_parsed(spark, sf_dir):
     return parse.parsed(docs, {"enwiki": ["References"]}).select("id", "text", F.size("infoboxes").alias("n_infoboxes"), "has_math", "outcome")
 
 
+# The same by SQL texts -----------------------------------------------------------------------------------------------
+
+
+def _by_sql(spark, sf_dir, text: str) -> DataFrame:
+    register(spark)
+    view = f"wiki_{uuid.uuid4().hex}"
+    supplier_pages(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(text.format(pages=view))
+
+
+@query(f"WITH {_BLOCKS} SELECT page_id, seq, heading, level, text FROM b")
+def sql_blocks(spark, sf_dir):
+    return _by_sql(spark, sf_dir, "SELECT p.page_id, b.seq, b.heading, b.level, b.text FROM {pages} p, LATERAL page_blocks(p.html) b")
+
+
+@query(_LISTS)
+def sql_lists(spark, sf_dir):
+    return _by_sql(spark, sf_dir, "SELECT page_id, list_no, text FROM page_lists(TABLE(SELECT page_id, html FROM {pages}) PARTITION BY page_id)")
+
+
+@query(_SPANNED)
+def sql_tables(spark, sf_dir):
+    return _by_sql(spark, sf_dir, "SELECT page_id, table_no, markdown, n_rows, n_cols FROM page_tables(TABLE({pages}) PARTITION BY page_id)")
+
+
+@query(_FACTED)
+def sql_infoboxes(spark, sf_dir):
+    return _by_sql(spark, sf_dir, "SELECT page_id, box_no, title, entry, name, value_no, value FROM page_infoboxes(TABLE({pages}) PARTITION BY page_id)")
+
+
 # The given pages ----------------------------------------------------------------------------------------------------
 
 

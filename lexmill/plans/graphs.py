@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalar import cleanup_percent
 from ..staging import stage, unstage
+from .calls import called
 
 #: Up to so many query vectors (some kB each) are broadcast.
 BROADCAST_QUERIES = 10_000
@@ -60,6 +61,13 @@ def extracted(docs: DataFrame, extractor: Extractor, key: str = "doc_id", thread
     return docs.select(key, "text").mapInPandas(run, "graph_id bigint, subject string, predicate string, object string, error string")
 
 
+def extracted_once(docs: DataFrame, extractor: Extractor, journal: str, key: str = "doc_id", at_once: int = 100, threads: int = 10) -> DataFrame:
+    """As `extracted`, with at most `at_once` calls under way over the whole cluster, tries again, and a journal of finished calls."""
+    found = called(docs, extractor, journal, key, at_once=at_once, threads=threads)
+    rows = found.select(F.col(key).alias("graph_id"), F.explode_outer(F.from_json("answer", "array<array<string>>")).alias("t"), "error")
+    return rows.select("graph_id", *[F.col("t")[k].alias(c) for k, c in enumerate(("subject", "predicate", "object"))], "error").where("subject is not null or error is not null")
+
+
 def entities(relations: DataFrame) -> DataFrame:
     both = F.explode(F.array("subject", "object"))
     return relations.select("graph_id", both.alias("entity")).distinct()

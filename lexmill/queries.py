@@ -10,7 +10,8 @@ from pyspark.sql.window import Window
 
 from .functions.scalar import GRID, any_date, closest_bucket, host_of, is_wiki, page_key, rounded_bucket, wiki_language
 from .operators import catalog, filter_docs, pages, parse
-from .plans import graphs, lengths, standing
+from .plans import graphs, lengths, sketches, standing
+from .sources import shards
 from .staging import shared_dir, stage
 
 QUERIES: dict = {}
@@ -94,6 +95,24 @@ def length_stats(spark, sf_dir):
     return lengths.length_stats(docs_of(spark, sf_dir))
 
 
+@query(
+    """SELECT count(*) AS n, round(avg(length(coalesce(text, ''))), 6) AS mean, round(stddev_pop(length(coalesce(text, ''))), 6) AS std, CAST(min(length(coalesce(text, ''))) AS BIGINT) AS min,
+  CAST(max(length(coalesce(text, ''))) AS BIGINT) AS max, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS total FROM documents"""
+)
+def length_sketches(spark, sf_dir):
+    """Statistics from the files' stored rows; their quantiles are approximate and tested by rank."""
+    s = sketches.stats(stage(sketches.file_sketches(docs_of(spark, sf_dir)), "sketches"))
+    return s.select("n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", "total")
+
+
+@query("SELECT doc_id, CAST(length(text) AS BIGINT) AS len, md5(text) AS md5 FROM documents")
+def sharded_documents(spark, sf_dir):
+    """Documents written as shards of 4 MB with a manifest, and read back."""
+    path = f"{shared_dir(spark)}/lexmill-shards-{uuid.uuid4().hex}"
+    shards.write_shards(docs_of(spark, sf_dir).select("doc_id", "text"), path, 4 << 20)
+    return spark.read.schema("doc_id long, text string").parquet(path).select("doc_id", F.char_length("text").cast("long").alias("len"), F.md5("text").alias("md5"))
+
+
 @query(
     """WITH l AS (SELECT length(coalesce(text, '')) AS len FROM documents), t AS (SELECT quantile_cont(len, 0.95) AS p95 FROM l),
 low AS (SELECT len FROM l, t WHERE len <= p95), e AS (SELECT min(len) AS lo, max(len) AS hi FROM low),

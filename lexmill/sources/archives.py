@@ -7,10 +7,12 @@ import io
 import os
 import re
 import tarfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -168,6 +170,39 @@ def read_matching(spark: SparkSession, path: str, condition: Column) -> DataFram
     return spark.read.format("tarjsonl").load(path).where(condition)
 
 
+def write_tar_jsonl(lines: DataFrame, path: str, per_member: int = 1000) -> list[str]:
+    """Write lines (value) as archives, one for each partition that has any, with so many lines in a member; their names.
+
+    An archive gets its name when it is whole, so a lost task leaves none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
+        task = TaskContext.get()
+        name, part = f"{folder}/part-{task.partitionId():05d}.tar.gz", f"{folder}/.{uuid.uuid4().hex}"
+        tar = out = None
+        members = 0
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            for a in range(0, len(values), per_member):
+                if tar is None:
+                    store.create_dir(folder, recursive=True)
+                    out = store.open_output_stream(part)
+                    tar = tarfile.open(fileobj=out, mode="w|gz")  # noqa: SIM115
+                data = "".join(f"{v}\n" for v in values[a : a + per_member]).encode()
+                info = tarfile.TarInfo(f"lines-{members:05d}.ndjson")
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+                members += 1
+        if tar is not None:
+            tar.close()
+            out.close()
+            store.move(part, name)
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["path"])
+
+    return sorted(r["path"] for r in lines.select("value").mapInArrow(run, "path string").collect())
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a path, by Hadoop's file systems."""
     jvm = spark._jvm
