@@ -83,8 +83,9 @@ def _blocks_of(docs: DataFrame) -> DataFrame:
 
 
 class Lists:
-    """The inverted lists of a block. Level n has phrases of n words: keys, the lengths of their lists, the lists themselves
-    (`starts`, one after the other), and the totals over all blocks once they were answered."""
+    """The inverted lists of a block. Level n has phrases of n words: their keys, the lengths of their lists, and once they were
+    answered, their totals over all blocks. The lists of frequent phrases are kept merged, in order of position (`places`,
+    `at` has the phrase of each), so that joining them with postings is one merge."""
 
     def __init__(self, block: pa.Table):
         row = block.to_pylist()[0]
@@ -92,46 +93,43 @@ class Lists:
         self.langs = json.loads(row["langs"])
         self.words = zstandard.ZstdDecompressor().decompress(row["spelling"]).decode().split("\n")
         self.word_of, self.lang_of, self.text = (unpacked(row[k], np.int32) for k in ("word_of", "lang_of", "text"))
-        spelled_ = np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in self.words), np.uint64, len(self.words))
-        self.lang_keys = np.fromiter((xxhash.xxh3_64_intdigest(x.encode(), 1) for x in self.langs), np.uint64, len(self.langs))
+        spelled_ = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        self.lang_keys = np.fromiter((xxhash.xxh3_64_intdigest(x, 1) for x in self.langs), np.uint64, len(self.langs))
         with np.errstate(over="ignore"):
             word_keys = mixed(spelled_[self.word_of] + self.lang_keys[self.lang_of] * _ODD) if len(self.word_of) else spelled_[:0]
+        self.keys, self.length, self.total, self.own, self.places, self.at = {}, {}, {}, {}, {}, {}
         where = np.flatnonzero(self.text)
-        self.keys, self.total, self.own, self.starts, self.length, self.at = {1: word_keys}, {}, {}, {}, {}, {}
-        self._listed(1, where, self.text[where] - 1)
+        self._listed(1, word_keys, where, self.text[where] - 1)
 
-    def _listed(self, n: int, positions: np.ndarray, phrase: np.ndarray) -> None:
-        """Positions become lists, in order within each."""
-        self.starts[n] = positions[np.argsort(phrase, kind="stable")]
-        self.length[n] = np.bincount(phrase, minlength=len(self.keys[n]))
+    def _listed(self, n: int, keys: np.ndarray, places: np.ndarray, phrase: np.ndarray) -> None:
+        self.keys[n], self.places[n], self.at[n] = keys, places, np.full(len(self.text) + LONGEST, -1, np.int32)
+        self.at[n][places] = phrase
+        self.length[n] = np.bincount(phrase, minlength=len(keys))
 
     def _frequent(self, n: int) -> None:
-        """Keep the lists of frequent phrases; `at` gives the phrase of each position (-1: none)."""
-        phrase = np.repeat(np.arange(len(self.length[n]), dtype=np.int32), self.length[n])
-        keep = self.total[n][phrase] > 0
-        self.starts[n] = self.starts[n][keep]
+        """Drop the lists of phrases that aren't frequent."""
+        phrase = self.at[n][self.places[n]]
+        often = self.total[n][phrase] > 0
+        self.at[n][self.places[n][~often]] = -1
+        self.places[n] = self.places[n][often]
         self.length[n] = np.where(self.total[n] > 0, self.length[n], 0)
-        self.at[n] = np.full(len(self.text) + LONGEST, -1, np.int32)
-        self.at[n][self.starts[n]] = phrase[keep]
 
     def extend(self) -> None:
-        """The next level, by joining each list with the postings of the words behind its phrase."""
-        n = len(self.starts) + 1
-        phrase = np.repeat(np.arange(len(self.length[n - 1]), dtype=np.int64), self.length[n - 1])
-        start = self.starts[n - 1]
-        postings = np.flatnonzero(self.at[1] >= 0)  # of all frequent words, by position
+        """The next level: the lists, merged by position, meet the postings of the words just behind their phrases."""
+        n = len(self.places) + 1
+        start, postings = self.places[n - 1], self.places[1]
         behind = np.searchsorted(postings, start + n - 1)
         hit = (behind < len(postings)) & (np.append(postings, -1)[behind] == start + n - 1)
         hit &= self.at[n - 1][start + 1] >= 0  # all but the first word are frequent too
-        start, phrase = start[hit], phrase[hit]
-        word = self.at[1][start + n - 1]
-        pairs, of = np.unique(phrase * (len(self.word_of) + 1) + word, return_inverse=True)
+        start = start[hit]
+        size = len(self.word_of) + 1
+        pairs, of = np.unique(self.at[n - 1][start].astype(np.int64) * size + self.at[1][start + n - 1], return_inverse=True)
         with np.errstate(over="ignore"):
-            self.keys[n] = mixed(self.keys[n - 1][pairs // (len(self.word_of) + 1)] * _ODD + self.keys[1][pairs % (len(self.word_of) + 1)])
-        self._listed(n, start, of)
+            keys = mixed(self.keys[n - 1][pairs // size] * _ODD + self.keys[1][pairs % size])
+        self._listed(n, keys, start, of)
 
     def ask(self, fragments: int) -> pa.Table:
-        n = len(self.starts)
+        n = len(self.places)
         order = np.argsort(self.keys[n], kind="stable")
         keys, counts = self.keys[n][order], self.length[n][order]
         found = asked(self.id, n, keys, counts, np.zeros(len(keys)), fragments)
@@ -157,9 +155,11 @@ class Lists:
         """The block's own frequent phrases of two words or more, with the frequencies of both parts of every cut."""
         found = []
         for n in range(2, LONGEST + 1):
-            first = np.cumsum(self.length[n]) - self.length[n]
-            for i in np.flatnonzero(self.own[n] & (self.total[n] > 0)).tolist():
-                p = int(self.starts[n][first[i]])
+            places = self.places[n]
+            phrase, first = np.unique(self.at[n][places], return_index=True)
+            for i, p in zip(phrase.tolist(), places[first].tolist(), strict=True):
+                if not self.own[n][i]:
+                    continue
                 pair = [int(self.at[1][p + k]) for k in range(n)]
                 part = lambda q, m: int(self.total[m][self.at[m][q]])
                 lang = int(self.lang_of[pair[0]])
