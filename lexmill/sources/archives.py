@@ -105,8 +105,8 @@ class _File(InputPartition):
 class TarJsonLines(DataSource):
     """spark.read.format("tarjsonl").load(path): one input partition per file, read as a stream.
 
-    Conditions on path and member are pushed down where spark.sql.python.filterPushdown.enabled is set: archives whose path
-    fails them are never opened, members that fail them are passed over without being decoded. Spark keeps what was pushed
+    With option("push", "true"), which needs spark.sql.python.filterPushdown.enabled, conditions on path and member are pushed
+    down: archives whose path fails them are never opened, members that fail them are passed over without being decoded. Spark keeps what was pushed
     with the loaded table, so load it anew for each query, as `read_matching` does.
     """
 
@@ -118,7 +118,7 @@ class TarJsonLines(DataSource):
         return LINES
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options.get("path", ""))
+        return (_PushedReader if self.options.get("push") == "true" else _Reader)(self.options.get("path", ""))
 
 
 #: How a pushed condition reads a name.
@@ -144,6 +144,14 @@ class _Reader(DataSourceReader):
         self.path = path
         self.pushed: dict[str, list[Filter]] = {"path": [], "member": []}
 
+    def partitions(self) -> list[InputPartition]:
+        return [_File(p) for p in archives_in(self.path) if all(_holds(f, p) for f in self.pushed["path"])]
+
+    def read(self, partition: _File):
+        yield from _streamed(partition.path, 100, lambda member: all(_holds(f, member) for f in self.pushed["member"]))
+
+
+class _PushedReader(_Reader):
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         """Takes the conditions that it can test on path and member; the others are Spark's."""
         for f in filters:
@@ -156,18 +164,12 @@ class _Reader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[InputPartition]:
-        return [_File(p) for p in archives_in(self.path) if all(_holds(f, p) for f in self.pushed["path"])]
-
-    def read(self, partition: _File):
-        yield from _streamed(partition.path, 100, lambda member: all(_holds(f, member) for f in self.pushed["member"]))
-
 
 def read_matching(spark: SparkSession, path: str, condition: Column) -> DataFrame:
     """Lines of the archives under a path that meet the condition, which is pushed down as far as it can be."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(TarJsonLines)
-    return spark.read.format("tarjsonl").load(path).where(condition)
+    return spark.read.format("tarjsonl").option("push", "true").load(path).where(condition)
 
 
 def write_tar_jsonl(lines: DataFrame, path: str, per_member: int = 1000) -> list[str]:

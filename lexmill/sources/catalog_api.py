@@ -66,8 +66,8 @@ def snapshots(spark: SparkSession, url: str, access: str, filters: dict[str, obj
 class Snapshots(DataSource):
     """spark.read.format("snapshots").option("url", …).option("token", …).load(): the snapshot service as a table.
 
-    Equalities on its fields are sent to the service as filters (where spark.sql.python.filterPushdown.enabled is set), so
-    that it lists only what is asked for. `post` may be replaced in a subclass.
+    With option("push", "true"), which needs spark.sql.python.filterPushdown.enabled, equalities on its fields are sent to the
+    service as filters, so that it lists only what is asked for. `post` may be replaced in a subclass.
     """
 
     post = staticmethod(post_json)
@@ -80,7 +80,7 @@ class Snapshots(DataSource):
         return SNAPSHOT if isinstance(SNAPSHOT, str) else SNAPSHOT.simpleString()
 
     def reader(self, schema) -> DataSourceReader:
-        return _Service(self.options.get("url", ""), self.options.get("token", ""), type(self).post, schema)
+        return (_FilteredService if self.options.get("push") == "true" else _Service)(self.options.get("url", ""), self.options.get("token", ""), type(self).post, schema)
 
 
 class _Service(DataSourceReader):
@@ -88,6 +88,13 @@ class _Service(DataSourceReader):
         self.url, self.access, self.post, self.schema = url, access, post, schema
         self.filters: list[dict] = []
 
+    def read(self, partition):
+        answer = self.post(self.url, {"fields": FIELDS, "filters": self.filters}, {"Authorization": f"Bearer {self.access}"})
+        for r in answer:
+            yield _typed(r, self.schema)
+
+
+class _FilteredService(_Service):
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
             if isinstance(f, EqualTo) and ".".join(f.attribute) in FIELDS and not isinstance(f.value, (list, dict)):
@@ -95,11 +102,6 @@ class _Service(DataSourceReader):
             elif not isinstance(f, IsNotNull) or not any(x["field"] == ".".join(f.attribute) for x in self.filters):
                 yield f
 
-    def read(self, partition):
-        answer = self.post(self.url, {"fields": FIELDS, "filters": self.filters}, {"Authorization": f"Bearer {self.access}"})
-        for r in answer:
-            yield _typed(r, self.schema)
-
 
 def _typed(value, kind):
     """A decoded JSON value in the shape of a Spark type; what doesn't fit is null."""

@@ -44,7 +44,7 @@ def test_reader_takes_only_what_it_can_test(tmp_path):
 
     for name in ("a", "b", "c"):
         _archive(tmp_path / f"{name}.tar.gz", {"m": ["x"]})
-    r = archives._Reader(str(tmp_path))
+    r = archives._PushedReader(str(tmp_path))
     left = [*r.pushFilters([EqualTo(("line_no",), 3), IsNotNull(("path",)), Not(StringStartsWith(("path",), f"{tmp_path}/a")), GreaterThan(("path",), f"{tmp_path}/b.z")])]
     assert left == [EqualTo(("line_no",), 3)]
     assert [os.path.basename(p.path) for p in r.partitions()] == ["c.tar.gz"]
@@ -62,9 +62,11 @@ def test_snapshot_filters_are_sent(spark, tmp_path):
             return [r for r in rows if all((r["in_language"]["identifier"] if f == "in_language.identifier" else r[f]) == v for f, v in want.items())]
 
     spark.dataSource.register(Here)
+    assert spark.read.format("snapshots").option("url", "http://there").load().where("identifier = 'wiki1'").count() == 1
+    assert json.loads(asked.read_text())[1]["filters"] == []
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     try:
-        t = spark.read.format("snapshots").option("url", "http://there").option("token", "t").load()
+        t = spark.read.format("snapshots").option("url", "http://there").option("token", "t").option("push", "true").load()
         assert t.count() == 3
         assert [r.identifier for r in t.where("version = 'v' and identifier = 'wiki2'").collect()] == ["wiki2"]
         url, body, headers = json.loads(asked.read_text())
