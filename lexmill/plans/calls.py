@@ -3,7 +3,9 @@
 Rows are dealt to a fixed number of lanes, one task each, and a lane has a fixed number of threads: lanes x threads is the most
 that can be under way (speculative execution would run a lane twice, so it is refused). A call that fails is tried again after
 growing pauses. Finished calls are written to the lane's journal, in a folder that all workers share, before the next ones start: an
-attempt that follows a lost task, or a later run, reads the journals and makes only the calls that are missing.
+attempt that follows a lost task, or a later run, reads the journals and makes only the calls that are missing. Spark lets the worker
+of a cancelled task go on for some seconds (spark.python.task.killTimeout); a run that is started within these may exceed the
+bound and repeat calls.
 """
 
 from __future__ import annotations

@@ -146,6 +146,7 @@ def test_finished_calls_are_not_made_again(spark, tmp_path):
         run()  # locally a lost worker fails the job, on a cluster its task is run again
     except Exception:  # noqa: BLE001
         pass
+    time.sleep(4)  # workers of cancelled tasks are ended after a while
     before = [t for t, _ in _log(str(tmp_path))]
     assert 0 < len(before) < 61
     got = run()
