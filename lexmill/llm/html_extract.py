@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from .words import trimmed
 
 #: Pages of the corpus that training reads at most, and generated pages.
-SAMPLE, GENERATED = 150, 700
-PATH, WORDS, MEASURES, HIDDEN = 256, 64, 8, 20
-EPOCHS, BATCH, RATE = 7, 25, 0.01
+SAMPLE, GENERATED = 150, 2400
+PATH, WORDS, MEASURES, HIDDEN = 1024, 256, 8, 24
+EPOCHS, BATCH, RATE = 9, 25, 0.01
 #: Blocks labelled together, at most (a longer page goes alone, in parts), and of a page learned together.
-STEPS, WINDOW = 6000, 400
+STEPS, WINDOW = 3000, 400
 
 # The element names of HTML by how they are laid out.
 BLOCKS = frozenset(
@@ -400,7 +400,7 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
 
         def attr(names: list[str]) -> str:
             n = pick(names)
-            return pick([f' class="{n}"', f' class="{n} {pick(lexicon)}"', f' id="{n}"', f" class={n}", f' class="{n}-{pick(["box", "wrap", "inner", "area"])}"'])
+            return pick([f' class="{n}"', f' class="{n} {pick(lexicon)}"', f' id="{n}"', f" class={n}", f' class="{n}-{pick(["box", "wrap", "inner", "area"])}"', f' class="{pick(["site", "page", "top", "js"])}-{n}"'])
 
         def links(n: int, label: int = 0, tag: str = "li") -> None:
             for _ in range(n):
@@ -428,7 +428,7 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
             within(tag, a, body)
 
         def footer() -> None:
-            tag, a = pick([("footer", ""), ("footer", ""), ("footer", attr(["footer"])), ("div", attr(["footer", "site-footer", "copyright", "colophon", "bottom"])), ("div", ' role="contentinfo"')])
+            tag, a = pick([("footer", ""), ("footer", ""), ("footer", attr(["footer"])), ("div", attr(["footer", "site-footer", "copyright", "colophon", "bottom", "printfooter", "credits"])), ("div", ' role="contentinfo"')])
 
             def body() -> None:
                 if chance(0.3):
@@ -457,8 +457,17 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
             within(tag, a, body)
 
         def notice() -> None:
-            a = pick([attr(["cookie", "notice", "alert", "banner", "gdpr", "consent", "newsletter", "subscribe", "paywall", "message", "warning", "popup", "modal", "disclaimer"]), ' role="alert"', ' role="dialog"'])
-            within(pick(["div", "div", "section"]), a, lambda: [add(pick([sentence, para])(), 0, pick(["p", "div"])) for _ in range(int(r.integers(1, 3)))])
+            a = pick([attr(["cookie", "notice", "alert", "banner", "gdpr", "consent", "newsletter", "subscribe", "paywall", "message", "warning", "popup", "modal", "disclaimer", "cookie-notice", "consent-banner", "cookie-message"]), ' role="alert"', ' role="dialog"'])
+
+            def body() -> None:
+                for _ in range(int(r.integers(1, 3))):
+                    add(pick([sentence, para])(), 0, pick(["p", "div"]))
+                if chance(0.2):
+                    add(words(1), 0, "button")
+
+            if chance(0.15):
+                return add(pick([sentence, para])(), 0, "div", a)
+            within(pick(["div", "div", "section"]), a, body)
 
         def advert() -> None:
             a = attr(["ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner-ad", "sponsor", "adsense", "commercial"])
@@ -480,9 +489,12 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
             within("form", pick(["", attr(["search", "login", "contact", "signup"]), ' action="/search"']), body)
 
         def comments() -> None:
+            plain = chance(0.25)
             tag, a = pick([("section", attr(["comments", "responses", "discussion"])), ("div", attr(["comments", "comment-list", "disqus", "replies", "thread"])), ("ol", attr(["commentlist", "comments"]))])
 
             def one() -> None:
+                if plain:
+                    return add(pick([sentence, para])(), 0, "div")
                 if chance(0.6):
                     add(words(int(r.integers(1, 3))), 0, pick(["div", "h4", "p"]), attr(["author", "meta", "comment-meta", "user"]))
                 for _ in range(int(r.integers(1, 3))):
@@ -494,19 +506,27 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
                 if chance(0.6) and tag != "ol":
                     add(f"{int(r.integers(1, 99))} {words(1)}", 0, pick(["h2", "h3", "p"]))
                 for _ in range(int(r.integers(1, 6))):
+                    if plain and tag != "ol":
+                        one()
+                        continue
                     within("li" if tag == "ol" else pick(["div", "article", "li"]), attr(["comment", "reply", "comment-body", "post-comment"]), one)
 
             within(tag, a, body)
 
         def small() -> None:
             a = attr(["breadcrumb", "breadcrumbs", "share", "social", "tags", "pagination", "pager", "toolbar", "byline-links", "skip"])
+            if chance(0.4):  # in one line
+                line = pick([" ", " | ", " &gt; ", ", "]).join(f'<a href="/{pick(lexicon)}">{words(int(r.integers(1, 3)))}</a>' for _ in range(int(r.integers(1, 5))))
+                return add(pick(["", "", words(2) + ": "]) + line, 0, pick(["div", "div", "p"]), a)
             within(pick(["div", "nav"]), a, lambda: links(int(r.integers(1, 5)), tag=pick(["span-li", "li", "div"]).replace("span-li", "li")))
 
         def article() -> None:
             def piece() -> None:
                 k = r.random()
-                if k < 0.62:
-                    add(para(), 1, "p", pick(["", "", "", attr(["lead", "intro", "text", "first"])]), inner=True)
+                if k < 0.07:
+                    add(pick([words(int(r.integers(1, 4))).capitalize() + pick([".", "!", "?"]), sentence()]), 1, "p")
+                elif k < 0.62:
+                    add(pick([para, para, sentence])(), 1, text_tag, pick(["", "", "", attr(["lead", "intro", "text", "first"])]), inner=True)
                 elif k < 0.72:
                     add(words(int(r.integers(1, 8))), 1, pick(["h2", "h3", "h4"]))
                 elif k < 0.80:
@@ -516,36 +536,74 @@ def generated(count: int, seed: int = 11) -> list[tuple[str, list[int]]]:
                 elif k < 0.88:
                     add(words(12), 1, "pre")
                 elif k < 0.92:
-                    within("table", "", lambda: [within("tr", "", lambda: [add(words(2), 1, pick(["td", "th"])) for _ in range(3)]) for _ in range(int(r.integers(1, 4)))])
+                    within("table", "", lambda: [within("tr", "", lambda: [add(pick([words(2), str(int(r.integers(1, 3000)))]), 1, pick(["td", "th"])) for _ in range(3)]) for _ in range(int(r.integers(1, 4)))])
+                elif k < 0.935:
+                    within("dl", "", lambda: [add(words(2), 1, "dt") or add(pick([words(6), sentence()]), 1, "dd") for _ in range(int(r.integers(1, 4)))])
                 elif k < 0.95:
                     within("figure", "", lambda: add(sentence(), 1, "figcaption"))
                 else:
                     out.append(f"<p><b>{sentence()}<br>")
                     y.append(1)
 
+            text_tag = "div" if chance(0.08) else "p"
+
             def body() -> None:
-                if chance(0.8):
-                    add(pick([words(int(r.integers(2, 9))), sentence()]), 1, pick(["h1", "h1", "h2"]))
+                if chance(0.12):
+                    pick([notice, notice, menu, small])()  # within the article's own element
+                if chance(0.65):
+                    add(pick([words(int(r.integers(1, 9))), sentence()]), 1, pick(["h1", "h1", "h2"]))
+                if chance(0.1):
+                    pick([notice, advert, small])()
+                if chance(0.45):  # a short article
+                    for _ in range(int(r.integers(1, 4))):
+                        add(pick([para, sentence])(), 1, text_tag, inner=True)
+                    return
                 for _ in range(int(r.integers(1, 16)) if chance(0.9) else int(r.integers(0, 2))):
                     piece()
-                    if chance(0.05):
-                        pick([advert, notice, small, form, side])()
+                    if chance(0.09):
+                        pick([advert, notice, notice, small, form, side])()
 
             if chance(0.2):
                 return body()  # right in the page
-            a = attr(["content", "post", "entry-content", "article", "story", "main", "post-body", "text"])
-            tag, a = pick([("article", ""), ("article", ""), ("article", a), ("main", ""), ("div", a), ("div", a), ("section", a), ("div", ' role="main"'), ("div", "")])
+            a = attr(["content", "post", "entry-content", "article", "story", "main", "post-body", "text", "story", "body"])
+            tag, a = pick([("article", ""), ("article", ""), ("article", a), ("main", ""), ("div", a), ("div", a), ("section", a), ("section", ""), ("div", ' role="main"'), ("div", "")])
             wrap = pick([None, None, "main", "div"])
             if wrap:
                 within(wrap, pick(["", attr(["wrapper", "page", "container", "content"])]), lambda: within(tag, a, body))
             else:
                 within(tag, a, body)
 
+        def columns() -> None:
+            """A table for layout: a menu or side bar, the article, a last row."""
+
+            def row() -> None:
+                first = chance(0.7)
+                if first:
+                    within("td", pick(["", attr(["nav", "menu", "left", "sidebar"])]), pick([menu, side, lambda: links(int(r.integers(1, 5)), tag="div")]))
+                within("td", pick(["", attr(["content", "main", "body"])]), article)
+                if not first:
+                    within("td", pick(["", attr(["sidebar", "right"])]), side)
+
+            def body() -> None:
+                within("tr", "", row)
+                if chance(0.5):
+                    within("tr", "", lambda: add(pick([f"Copyright {words(2)}", f"&copy; {words(3)}.", sentence()]), 0, "td", attr(["footer", "copyright", "bottom"])))
+
+            within("table", "", body)
+
+        def before() -> None:
+            for step in [s for s, p in ((notice, 0.35), (header, 0.45), (menu, 0.6), (small, 0.2), (advert, 0.3), (side, 0.15), (form, 0.15)) if chance(p * busy)]:
+                step()
+
+        busy = pick([1.0, 1.0, 0.6])
         out.append(f"<!DOCTYPE html><html><head><title>{words(4)}</title><style>p{{margin:0}}</style></head><body>")
-        for step in [s for s, p in ((notice, 0.2), (header, 0.5), (menu, 0.7), (small, 0.2), (advert, 0.4), (side, 0.15), (form, 0.15)) if chance(p)]:
-            step()
-        article()
-        for step in [s for s, p in ((small, 0.25), (advert, 0.3), (comments, 0.4), (side, 0.4), (form, 0.2), (notice, 0.15), (menu, 0.1), (footer, 0.8)) if chance(p)]:
+        k = r.random()
+        if k < 0.12:  # one element around all that comes first
+            within("div", pick(["", attr(["page", "wrapper", "container"])]), lambda: (before(), article()))
+        else:
+            before()
+            columns() if k < 0.2 else article()
+        for step in [s for s, p in ((small, 0.25), (advert, 0.25), (comments, 0.35), (side, 0.3), (form, 0.2), (notice, 0.15), (menu, 0.1), (footer, 0.75)) if chance(p * busy)]:
             step()
         if chance(0.8):
             out.append("</body></html>")
@@ -628,7 +686,7 @@ def train(pages: DataFrame, sample: int = SAMPLE) -> bytes:
 
 def main_text(pages: DataFrame, weights: bytes | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
-    there = pages.sparkSession.sparkContext.broadcast(weights or train(pages))  # 220 kB
+    there = pages.sparkSession.sparkContext.broadcast(weights or train(pages))  # 1 MB
 
     def run(batches):
         model = Labeller.load(there.value)

@@ -16,6 +16,8 @@ from lexmill.llm import bpe, chat, fingerprints, html_extract, ngram_join, packi
 from lexmill.llm.queries import QUERIES, vocabulary
 from tests.conftest import DATA, oracle, same
 
+from .layouts import LAYOUTS
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, cls long, hash long, key string, bucket int, grams string, spans string"
 
 
@@ -463,19 +465,24 @@ def test_html_long_and_deep_pages(monkeypatch):
     assert html_extract.extracted(model, ["<p>x", "".join(f"<p>{i}</p>" for i in range(200))])
 
 
-def test_html_extraction(spark, monkeypatch):
-    monkeypatch.setattr(html_extract, "GENERATED", 350)
+def test_html_extraction(spark):
     pages = spark.read.parquet(f"{DATA}/sf0.001/pages.parquet")
     weights = html_extract.train(pages)
     got = html_extract.main_text(pages, weights).toPandas()
     want = {p.page_id: "\n".join(b.text for b in html_extract.blocks(p.html) if "article" in b.inside) for p in pages.toPandas().itertuples()}
     assert dict(zip(got.page_id, got.text, strict=True)) == want and (got.n_chars == got.text.str.len()).all()
-    model, vectors, right, total = html_extract.Labeller.load(weights), html_extract.Vectors(), 0, 0
-    for page, y in html_extract.generated(150, seed=123):  # pages not learned from
+    model, vectors, whole = html_extract.Labeller.load(weights), html_extract.Vectors(), []
+    for page, y in html_extract.generated(400, seed=123):  # pages not learned from
         found = html_extract.blocks(page)
-        right += int(((model.label([vectors(found)])[0] >= 0.5) == np.array(y)).sum())
-        total += len(y)
-    assert right / total > 0.96
+        whole.append(bool(((model.label([vectors(found)])[0] >= 0.5) == np.array(y)).all()))
+    assert np.mean(whole) >= 0.95  # whole pages
+    got = dict(zip(LAYOUTS, html_extract.extracted(model, [page for page, _ in LAYOUTS.values()]), strict=True))
+    exact = [got[k] == "\n".join(want) for k, (_, want) in LAYOUTS.items()]
+    assert len(exact) == 50 and np.mean(exact) >= 0.95
+    assert all(bool(got[k]) == bool(want) for k, (_, want) in LAYOUTS.items())  # text where there is prose, none elsewhere
+    page = f"<body>{LAYOUTS['notice inside the only div'][0]}</body>"
+    same_rows = spark.createDataFrame([(1, "u", page), (2, "u", page), (2, "u", page)], "page_id long, url string, html string")  # no page with an article; repeated rows
+    assert len({r["text"] for r in html_extract.main_text(same_rows, weights).collect()}) == 1
     clean = "The river rose in the night and the mill stood still, as it had in the years before."
     bare = f"<html><body><p>{clean}</p><p>Nobody came, and nobody was asked to come.</p></body></html>"
     plain = f"<body><div><h1>A mill</h1><p>{clean}</p><p>{clean}</p></div><div class=footer>Copyright by the mill</div></body>"
