@@ -103,9 +103,7 @@ def near_clusters(names: DataFrame, column: str = "entity", similarity: float =
     often = each.groupBy("graph_id", "gram").agg(F.count(F.lit(1)).alias("df"))
     order = Window.partitionBy("graph_id", "name").orderBy("df", "gram")  # a name's own trigrams
     prefix = each.join(often, ["graph_id", "gram"]).withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity) + 1)
-    a, b = prefix.select("graph_id", "gram", F.col("name").alias("a"), F.col("n").alias("na")), prefix.select("graph_id", "gram", F.col("name").alias("b"), F.col("n").alias("nb"))
-    sized = (F.col("a") < F.col("b")) & (F.col("na") * similarity <= F.col("nb")) & (F.col("nb") * similarity <= F.col("na"))
-    pairs = a.join(b, ["graph_id", "gram"]).where(sized).select("graph_id", "a", "b").distinct()
+    pairs = candidates(stage(prefix.select("graph_id", "gram", "name", "n", "place"), "kg-prefix"), similarity)
     sets = grams.select("graph_id", "name", "grams")
     pairs = pairs.join(sets.toDF("graph_id", "a", "ga"), ["graph_id", "a"]).join(sets.toDF("graph_id", "b", "gb"), ["graph_id", "b"])
     like = F.size(F.array_intersect("ga", "gb")) / F.size(F.array_union("ga", "gb")) >= similarity
@@ -114,6 +112,24 @@ def near_clusters(names: DataFrame, column: str = "entity", similarity: float =
     return found.select("graph_id", "member", F.coalesce("label", "representative").alias("representative"))
 
 
+def candidates(prefix: DataFrame, similarity: float) -> DataFrame:
+    """(graph_id, a, b), a < b: names that can be similar, from their rarest trigrams (graph_id, gram, name, n, place).
+
+    Sizes of similar sets differ by less than one class of sizes, so a trigram's names meet by class, each with its own
+    and the next: a frequent trigram is split. Where a pair's first common trigram stands, what follows must suffice for
+    the overlap; rows that fail that are none.
+    """
+    level = F.floor(F.log("n") / F.log(F.lit(1 / similarity)) + 1e-9)
+    rows = prefix.withColumn("level", level)
+    small = rows.select("graph_id", "gram", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"), F.col("name").alias("p"), F.col("n").alias("np"), F.col("place").alias("ip"))
+    large = rows.select("graph_id", "gram", "level", F.col("name").alias("q"), F.col("n").alias("nq"), F.col("place").alias("iq"))
+    once = (F.col("np") < F.col("nq")) | ((F.col("np") == F.col("nq")) & (F.col("p") < F.col("q")))
+    sized = F.col("nq") * similarity <= F.col("np") + 1e-9
+    enough = (1 + F.least(F.col("np") - F.col("ip"), F.col("nq") - F.col("iq"))) * (1 + similarity) >= (F.col("np") + F.col("nq")) * similarity - 1e-9
+    met = small.join(large, ["graph_id", "gram", "level"]).where(once & sized & enough)
+    return met.select("graph_id", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
 def smallest_of_components(links: DataFrame) -> DataFrame:
     """(graph_id, name, label) of every name in the links (graph_id, a, b): the smallest name of its component.
 

@@ -2,6 +2,7 @@
 
 import io
 import json
+import random
 import tarfile
 
 import pytest
@@ -289,3 +290,32 @@ def test_graphs(spark, tmp_path):
     docs = spark.createDataFrame([(1, "x"), (2, "bad")], "doc_id long, text string")
     got = {(r["graph_id"], r["object"], r["error"]) for r in graphs.extracted(docs, extractor).collect()}
     assert got == {(1, "x", None), (2, None, "no")}
+
+
+def test_near_clusters_against_brute_force(spark):
+    r = random.Random(4)
+    rows = set()
+    for g in range(3):
+        for _ in range(60):
+            name = "".join(r.choices("abcd", k=r.randint(1, 40)))
+            at = [r.randrange(len(name) + 1) for _ in range(3)]
+            rows |= {(g, x) for x in (name, "common prefix " + name, *[name[:k] + r.choice("abcd") + name[k:] for k in at])}
+    names = spark.createDataFrame(sorted(rows), "graph_id long, entity string")
+    got = {(x["graph_id"], x["member"]): x["representative"] for x in graphs.near_clusters(names).collect()}
+    keys = {(g, m): m.replace(" ", "") for g, m in rows}
+    grams = {k: {k[i : i + 3] for i in range(max(1, len(k) - 2))} for k in keys.values()}
+    for g in range(3):
+        names_of: dict[str, list[str]] = {}
+        for (at, m), k in keys.items():
+            if at == g:
+                names_of.setdefault(k, []).append(m)
+        todo = set(names_of)
+        while todo:  # a component at a time
+            found = [todo.pop()]
+            for k in found:
+                near = {x for x in todo if 5 * len(grams[k] & grams[x]) >= 4 * len(grams[k] | grams[x])}
+                found += near
+                todo -= near
+            members = [m for k in found for m in names_of[k]]
+            assert {got[g, m] for m in members} == {min(members)}
+    assert sum(m != rep for (_, m), rep in got.items()) > 100
