@@ -281,6 +281,13 @@ def _of_documents(marks: DataFrame) -> DataFrame:
     return marks.mapInArrow(trimmed(run), _OF_DOC)
 
 
+def _anchors(columns):
+    """(lo, hi, at, key, flag) of a document's anchors, some thousands of them in Python at a time."""
+    arrays = [np.frombuffer(c, t) for c, t in zip(columns, (_I32, _I32, _I32, _I64, _U8), strict=True)]
+    for k in range(0, len(arrays[0]), 5000):
+        yield from zip(*(x[k : k + 5000].tolist() for x in arrays), strict=True)
+
+
 def _entries(texts: DataFrame, length: int) -> DataFrame:
     """Entries to order, one row each: key, off (the trigger's place in it), flag, doc, hash, lo, entry."""
     schema = "key long, off int, flag int, doc long, hash long, lo int, entry binary"
@@ -290,11 +297,12 @@ def _entries(texts: DataFrame, length: int) -> DataFrame:
             rows = []
             for doc, h, text, *cols in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                lo, hi, at, key, flag = (np.frombuffer(c, t).tolist() for c, t in zip(cols, (_I32, _I32, _I32, _I64, _U8), strict=True))
-                rows += [(k, t - a, f, doc, h, a, data[a : b + length]) for a, b, t, k, f in zip(lo, hi, at, key, flag, strict=True) if f < 3]
-                if len(rows) > 5000:
-                    yield _rows(schema, rows)
-                    rows = []
+                for a, b, t, k, f in _anchors(cols):
+                    if f < 3:
+                        rows.append((k, t - a, f, doc, h, a, data[a : b + length]))
+                    if len(rows) >= 5000:
+                        yield _rows(schema, rows)
+                        rows = []
             if rows:
                 yield _rows(schema, rows)
 
@@ -307,12 +315,17 @@ def _strings(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            rows = []
             for doc, h, text, *cols in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                lo, hi, _, _, flag = (np.frombuffer(c, t).tolist() for c, t in zip(cols, (_I32, _I32, _I32, _I64, _U8), strict=True))
-                rows = [(xxhash.xxh3_128_digest(data[x : x + length]), doc, h, x, f % 2) for a, b, f in zip(lo, hi, flag, strict=True) if f > 2 for x in range(a, b + 1)]
-                for k in range(0, len(rows), 50_000):
-                    yield _rows(schema, rows[k : k + 50_000])
+                for a, b, _, _, f in _anchors(cols):
+                    if f > 2:
+                        rows += [(xxhash.xxh3_128_digest(data[x : x + length]), doc, h, x, f % 2) for x in range(a, b + 1)]
+                    if len(rows) >= 20_000:
+                        yield _rows(schema, rows)
+                        rows = []
+            if rows:
+                yield _rows(schema, rows)
 
     return texts.mapInArrow(trimmed(run), schema)
 
