@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality_rules import INNER, MEASURES, OUTER, SHRINK, SIDES, STRIKES
+from .quality_rules import FAR, INNER, MEASURES, OUTER, SHRINK, SIDES, SIZES, STRIKES, TAIL
 
 OP2 = r"""
 WITH said AS (
@@ -21,20 +21,42 @@ FROM said GROUP BY conv_id
 
 def _op4() -> str:
     binned = lambda k: f"(({k} >> greatest(length(bin({k})) - 7, 0)) << greatest(length(bin({k})) - 7, 0))"
-    each = " UNION ALL ".join(f"SELECT lang_, source_, '{k}' AS measure, {binned(k)} AS bin FROM shares" for k in MEASURES)
-    at = dict(zip(SIDES, (100 - INNER, INNER, 100 - OUTER, OUTER), strict=True))
-    sides = ", ".join(f"max(CASE WHEN measure = '{k}' THEN {s} END) AS {k}_{s}" for k in MEASURES for s in SIDES)
+    each = " UNION ALL ".join(f"SELECT lang_, source_, '{k}' AS measure, {binned(k)} AS bin FROM shares WHERE NOT base_failed" for k in (*MEASURES, *SIZES))
     strikes = " + ".join(f"CASE WHEN {k} < {k}_il OR {k} > {k}_ih THEN 1 ELSE 0 END" for k in MEASURES)
     far = " OR ".join(f"{k} < {k}_ol OR {k} > {k}_oh" for k in MEASURES)
-    drawn = ", ".join(f"(t0 * {s}0 + {SHRINK} * ((t1 * {s}1 + {SHRINK} * {s}2) / (t1 + {SHRINK}))) / (t0 + {SHRINK}) AS {s}" for s in SIDES)
+    sides = [f"{k}_{s}" for k in MEASURES for s in SIDES]
+    drawn = ", ".join(f"(t0 * {s}0 + {SHRINK} * ((t1 * {s}1 + {SHRINK} * {s}2) / (t1 + {SHRINK}))) / (t0 + {SHRINK}) AS {s}" for s in sides)
 
-    def percentiles(name: str, by: str, tag: int) -> str:
+    def fences(name: str, by: str, tag: int) -> str:
         keys = f"{by}, " if by else ""
-        q = lambda num: f"min(CASE WHEN c * 100 >= t * {num} THEN bin END)"
+        q = lambda k, num: f"CAST(min(CASE WHEN measure = '{k}' AND c * 100 >= t * {num} THEN bin END) AS DOUBLE)"
+        at = [f"{q(k, x)} AS {k}_{n}" for k in MEASURES for n, x in (("lo", 100 - TAIL), ("mid", 50), ("hi", TAIL), ("fl", 100 - FAR), ("fh", FAR))] + [f"{q(k, 50)} AS {k}_mid" for k in SIZES]
+        power = lambda x, times: x if times == 1 else power(f"({x} * {x})", times // 2)
+        ratios, out = [], []
+        for k, (top, size, unit) in MEASURES.items():
+            lo, mid, hi, fl, fh = (f"{k}_{x}" for x in ("lo", "mid", "hi", "fl", "fh"))
+            one = f"({unit} / {size}_mid)" if top else f"({unit} / sqrt({size}_mid))"
+            odds = (lambda x: f"(({x} + {one}) / ({top} + {one} - {x}))") if top else (lambda x: f"({x})")
+            least = lambda x: f"{odds(f'greatest({x} - {one}, 0::DOUBLE)')} / {odds(mid)}"
+            most = lambda x: f"{odds(f'least({x} + {one}, {top}::DOUBLE)' if top else f'{x} + {one}')} / {odds(mid)}"
+            ratios += [f"{one} AS {k}_one", f"{odds(mid)} AS {k}_at", f"{least(lo)} AS {k}_l", f"{least(mid)} AS {k}_l1", f"{most(hi)} AS {k}_h", f"{most(mid)} AS {k}_h1"]
+
+            def fence(ratio: str, times: int) -> str:
+                x = f"({k}_at * {power(f'{k}_{ratio}', times)})"
+                return f"(({x} * ({top} + {k}_one) - {k}_one) / ({x} + 1))" if top else x
+
+            ends = (
+                f"least(2 * {lo} - {mid}, {fence('l1', INNER)}, {lo})",
+                f"greatest(2 * {hi} - {mid}, {fence('h1', INNER)}, {hi})",
+                f"least(greatest(2 * {fl} - {mid}, {fence('l', OUTER)}), {fence('l1', OUTER)}, {lo})",
+                f"greatest(least(2 * {fh} - {mid}, {fence('h', OUTER)}), {fence('h1', OUTER)}, {hi})",
+            )
+            out += [(f"least({x}, {top - 1}::DOUBLE)" if top else x) + f" AS {k}_{side}{tag}" for side, x in zip(SIDES, ends, strict=True)]
         return f"""{name} AS (
-  SELECT {keys}measure, max(t) AS t{tag}, {", ".join(f"2 * {q(x)} - {q(50)} AS {s}{tag}" for s, x in at.items())}
-  FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS BIGINT) AS c, CAST(sum(n) OVER (PARTITION BY {keys}measure) AS BIGINT) AS t
-        FROM (SELECT {keys}measure, bin, count(*) AS n FROM bins GROUP BY ALL)) GROUP BY {keys}measure)"""
+  SELECT {keys}t AS t{tag}, {", ".join(out)}
+  FROM (SELECT *, {", ".join(ratios)} FROM (SELECT {keys}max(t) AS t, {", ".join(at)}
+    FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY {keys}measure ORDER BY bin) AS BIGINT) AS c, CAST(sum(n) OVER (PARTITION BY {keys}measure) AS BIGINT) AS t
+          FROM (SELECT {keys}measure, bin, count(*) AS n FROM bins GROUP BY ALL)) GROUP BY {by or "()"})))"""
 
     return rf"""
 WITH raw AS (
@@ -63,13 +85,12 @@ shares AS (
     CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_share,
     CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS word_length FROM counts),
 bins AS ({each}),
-{percentiles("fine", "lang_, source_", 0)},
-{percentiles("coarse", "lang_", 1)},
-{percentiles("every", "", 2)},
-limits AS (SELECT lang_, source_, measure, {drawn} FROM fine JOIN coarse USING (lang_, measure) JOIN every USING (measure)),
-fences AS (SELECT lang_, source_, {sides} FROM limits GROUP BY lang_, source_)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ({strikes}) <= {STRIKES} AND NOT ({far}) AS kept
-FROM shares JOIN fences USING (lang_, source_)
+{fences("fine", "lang_, source_", 0)},
+{fences("coarse", "lang_", 1)},
+{fences("every", "", 2)},
+fences AS (SELECT lang_, source_, {drawn} FROM fine JOIN coarse USING (lang_) CROSS JOIN every)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(({strikes}) <= {STRIKES} AND NOT ({far}), FALSE) AS kept
+FROM shares LEFT JOIN fences USING (lang_, source_)
 """
 
 
@@ -94,7 +115,8 @@ WITH said AS (
   SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w
   FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?
--]')) AS piece FROM said)),
+-
+]')) AS piece FROM said)),
 total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
 grams AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
   FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT lang, w, unnest(range(1, {_WORDS + 1})) AS size FROM pieces) WHERE len(w) >= size)),

@@ -347,6 +347,40 @@ def test_rules_fences_follow_their_group(spark):
     assert sum(kept[k] for k in range(6000)) > 5900
 
 
+def test_rules_outer_fences_act(spark):
+    """One outlier of each measure goes by that measure alone; fences lie above 0 and below the maximum."""
+    r = random.Random(4)
+    lexicon = ["".join(r.choices("abdeghilmnorstu", k=5)) for _ in range(3000)]
+    say = lambda n: [r.choice(lexicon) for _ in range(n)]
+    lined = lambda w: "\n".join(" ".join(w[k : k + 15]) for k in range(0, len(w), 15))
+    rows = [(k, lined(say(350 + r.randrange(100))), "en", "ab"[k % 2]) for k in range(600)]
+    rows += [(k + 600, x, "en", "c") for k, (x, *_) in enumerate([("few words",), ("",)])]  # a group that fails the base rules
+    w = say(400)
+    odd = {
+        "symbol_share": lined([x + "#" * (k % 6 == 0) for k, x in enumerate(w)]),
+        "upper_share": lined([x.capitalize() if k % 6 == 0 else x for k, x in enumerate(w)]),
+        "bang_share": lined([x + "!" * (k % 6 == 0) for k, x in enumerate(w)]),
+        "dup_line_share": lined(w).replace("\n", "\nyes\n"),
+        "repeat_share": lined(w + w[20:60]),
+        "word_length": lined([x + x[:3] for x in w]),
+    }
+    few = {"symbol_share": lined(["#" + w[0], *w[1:]]), "bang_share": lined([w[0] + "!", *w[1:]]), "dup_line_share": lined([*w[:30], *w[15:30], *w[30:]])}
+    rows += [(2000 + k, odd[m], "en", "a") for k, m in enumerate(odd)] + [(3000 + k, few[m], "en", "a") for k, m in enumerate(few)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    found = quality_rules.measured(d)
+    f = quality_rules.stage(quality_rules.fences(quality_rules.sketches(found)), "test-fences")
+    for x in f.collect():
+        for m, (top, *_) in quality_rules.MEASURES.items():
+            assert x[f"{m}_ol"] <= x[f"{m}_il"] < x[f"{m}_ih"] < x[f"{m}_oh"] and x[f"{m}_ih"] > 0 and (top is None or x[f"{m}_oh"] < top), (m, x)
+    beyond = [F.col(m) > F.col(f"{m}_oh") for m in odd]
+    got = {x["doc_id"]: x for x in quality_rules.judged(found, f).select("doc_id", "base_failed", "kept", F.array(*beyond).alias("far")).collect()}
+    for k, m in enumerate(odd):
+        assert got[2000 + k]["far"] == [x == m for x in odd] and not got[2000 + k]["base_failed"] and not got[2000 + k]["kept"], (m, got[2000 + k])
+    assert all(got[3000 + k]["kept"] for k in range(len(few)))  # one occurrence is no strike
+    assert not got[600]["kept"] and not got[601]["kept"] and len(got) == len(rows)
+    assert sum(got[k]["kept"] for k in range(600)) >= 594
+
+
 def test_rules_keep_clean_documents(spark):
     """Rates on labelled documents."""
     d, labels = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet"), spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
