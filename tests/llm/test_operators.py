@@ -305,6 +305,18 @@ def test_suffix_dedup_long_periodic_text(spark):
     assert [(got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"]) for k in (1, 2, 3)] == [(2_000_000, 2_000_000, 1), (600_003, 600_000, 1), (349, 0, 0)]
 
 
+@pytest.mark.parametrize("many", [20_000, 1])
+def test_suffix_dedup_long_text_of_one_kind(spark, monkeypatch, many):
+    """Megabytes without a period, and passages that they share; every key hot, or none."""
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    r = random.Random(12)
+    say = lambda n: "".join(r.choices("abcdefghijklmnop", k=n))
+    a, b = say(1000), say(700)
+    rows = [(1, say(1_500_000) + "Q" + a + "R" + say(1_500_000)), (2, "S" + a + "T" + b), (3, b + "U" + a[:199] + "V" + say(300))]
+    got = {x["doc_id"]: x for x in suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[k]["n_bytes"], got[k]["n_removed"], got[k]["n_spans"]) for k in (1, 2, 3)] == [(3_001_002, 1000, 1), (1702, 1700, 2), (700 + 1 + 199 + 1 + 300, 700, 1)]
+
+
 # 4, 5 ---------------------------------------------------------------------------------------------------------------
 
 
