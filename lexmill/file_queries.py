@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .html_queries import _BLOCKS, _NO_REFERENCES, supplier_pages
+from .html_queries import _BLOCKS, _NO_REFERENCES, PAGES_PER_TASK, supplier_pages
 from .operators import catalog, filter_docs, pages, parse
 from .plans import calls, lengths
 from .queries import _HISTOGRAM, _PRICES, _SAMPLE, _SNAP, _snapshots, disambiguations, docs_of, query, raw_pages, table
@@ -184,7 +184,8 @@ def failing_pages(spark, sf_dir):
     """Lists of pages of which one in ten is nested too deeply: a row with an error, and its neighbours unharmed."""
     k = F.col("s_suppkey")
     html = F.when(k % 10 == 0, F.repeat(F.lit("<ul><li>"), F.lit(3000))).otherwise(F.concat(F.lit("<ul><li>"), "s_name", F.lit("</li></ul>")))
-    found = parse.html_lists(table(spark, sf_dir, "supplier").select(k.cast("bigint").alias("page_id"), html.alias("html")))
+    suppliers = parse.spread(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey", PAGES_PER_TASK)
+    found = parse.html_lists(suppliers.select(k.cast("bigint").alias("page_id"), html.alias("html")))
     return found.select("page_id", F.coalesce("list_no", F.lit(-1)).alias("list_no"), "text", F.col("error").isNotNull().alias("failed"))
 
 

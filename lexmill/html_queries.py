@@ -12,6 +12,9 @@ from .operators import pages, parse
 from .queries import query, table
 from .sql_surface import register
 
+#: Suppliers and orders that make the pages of a task: some seconds of work.
+PAGES_PER_TASK, ORDERS_PER_TASK = 2000, 25_000
+
 # One page per supplier: k its key, name, n its nation, r its region, bal its balance.
 _PAGE = [
     '<html><head><title> {name} </title></head><body><table class="infobox"><caption>{name}</caption><tr><th colspan=2>Trade</th></tr>',

@@ -19,6 +19,14 @@ from ..html.render import Page, list_text, table
 from ..schemas import INFOBOXES
 
 SECONDS = 5.0
+#: Pages that a worker holds as Python objects at a time.
+AT_ONCE = 256
+
+
+def spread(rows: DataFrame, key: str, per_task: int) -> DataFrame:
+    """Rows dealt out by key, so many to a task. A small file makes few tasks, however long the work on its rows takes: deal them out
+    before they become pages, while they are small."""
+    return rows.repartition(max(1, -(-rows.count() // per_task)), key)
 
 
 def parsed(docs: DataFrame, ref_words: dict[str, list[str]] | None = None, seconds: float = SECONDS) -> DataFrame:
@@ -61,19 +69,24 @@ def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str, se
     """Rows (key, schema, error) of read(html, page state); a record that fails or takes too long is one row with its error."""
     names = [key, *(x.split()[0] for x in schema.split(", ")), "error"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k, h in zip(pdf[key], pdf[html], strict=True):
-                try:
-                    rows += [(k, *row, None) for row in read(h, Page.within(seconds))]
-                except OutOfTime:
-                    rows.append((k, *[None] * (len(names) - 2), "timeout"))
-                except Exception as e:  # noqa: BLE001  a record's failure is a result
-                    rows.append((k, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=names).astype(object).where(lambda d: d.notna(), None)
-
-    return pages.select(key, html).mapInPandas(run, f"{key} bigint, {schema}, error string")
+    out = T.StructType.fromDDL(f"{key} bigint, {schema}, error string")
+    kinds = list(to_arrow_schema(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, AT_ONCE):
+                part, rows = batch.slice(a, AT_ONCE), []
+                for k, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    try:
+                        rows += [(k, *row, None) for row in read(h, Page.within(seconds))]
+                    except OutOfTime:
+                        rows.append((k, *[None] * (len(names) - 2), "timeout"))
+                    except Exception as e:  # noqa: BLE001  a record's failure is a result
+                        rows.append((k, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
+                columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], names=names)
+
+    return pages.select(key, html).mapInArrow(run, out)
 
 
 def html_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
