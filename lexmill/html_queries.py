@@ -34,6 +34,7 @@ _PAGE = [
 
 def supplier_pages(spark, sf_dir: str) -> DataFrame:
     s, n, r = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
+    s = parse.spread(s.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"), "s_suppkey", PAGES_PER_TASK)
     rows = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
     k = F.col("s_suppkey").cast("bigint")
     value = {"name": F.col("s_name"), "n": F.col("n_name"), "r": F.col("r_name"), "k": k.cast("string"), "bal": F.floor("s_acctbal").cast("string")}

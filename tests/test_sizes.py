@@ -3,7 +3,9 @@
 import random
 from html.parser import HTMLParser
 
-from lexmill import file_queries
+import pytest
+
+from lexmill import file_queries, html_queries
 from lexmill import queries as own
 from lexmill.html import classify as K
 from lexmill.html import dom
@@ -49,3 +51,9 @@ def test_failing_pages_are_dealt_out(spark, monkeypatch):
     found = own.QUERIES["failing_pages"](spark, f"{DATA}/sf0.001")
     assert _tasks(found) == 5
     same(found.toPandas(), oracle(own.SQL["failing_pages"]))
+
+
+@pytest.mark.parametrize("name", ["wiki_blocks", "wiki_parsed", "wiki_forwarded", "wiki_lists", "wiki_markdown"])
+def test_supplier_pages_are_dealt_out(spark, monkeypatch, name):
+    monkeypatch.setattr(html_queries, "PAGES_PER_TASK", 2)
+    assert _tasks(own.QUERIES[name](spark, f"{DATA}/sf0.001")) == 5
