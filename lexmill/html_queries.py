@@ -151,7 +151,8 @@ def infobox_loose(spark, sf_dir):
         F.lit('<table class="taxobox">'), cap, F.lit("<tr><th scope=row>Status</th><td>"), "o_orderstatus", F.lit("</td><td>"), k % 9, F.lit("</td></tr><tr><td>alone</td></tr><tr><td>x</td>"
         '<td class="infobox-label">Priority</td><td>'), "o_orderpriority", F.lit("</td></tr></table><p>text</p>"),
     )
-    return parse.infobox_values(table(spark, sf_dir, "orders").select(k.cast("bigint").alias("page_id"), html.alias("html"))).drop("error")
+    orders = parse.spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "o_orderkey", ORDERS_PER_TASK)
+    return parse.infobox_values(orders.select(k.cast("bigint").alias("page_id"), html.alias("html"))).drop("error")
 
 
 _HOLD = "greatest(2, max(length(CAST(l_linenumber AS VARCHAR)))) AS w1, greatest(3, max(length(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)))) AS w2"
@@ -173,7 +174,10 @@ def html_tables(spark, sf_dir):
 
 def order_pages(spark, sf_dir) -> DataFrame:
     """Orders as pages with a data table and an infobox."""
-    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    n = parse.tasks_for(orders, ORDERS_PER_TASK)
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    o = orders.repartition(n, "o_orderkey").join(items.repartition(n, "l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
     row = F.concat(F.lit("<tr><td>"), "l_linenumber", F.lit("</td><td>"), F.col("l_quantity").cast("int"), F.lit("</td><td>"), "l_returnflag", F.lit("</td></tr>"))
     rows = o.groupBy("o_orderkey", "o_orderstatus", "o_orderpriority").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity", row.alias("r")))).alias("rows"))
     html = F.concat(

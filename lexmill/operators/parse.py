@@ -23,10 +23,14 @@ SECONDS = 5.0
 AT_ONCE = 256
 
 
+def tasks_for(rows: DataFrame, per_task: int) -> int:
+    return max(1, -(-rows.count() // per_task))
+
+
 def spread(rows: DataFrame, key: str, per_task: int) -> DataFrame:
     """Rows dealt out by key, so many to a task. A small file makes few tasks, however long the work on its rows takes: deal them out
     before they become pages, while they are small."""
-    return rows.repartition(max(1, -(-rows.count() // per_task)), key)
+    return rows.repartition(tasks_for(rows, per_task), key)
 
 
 def parsed(docs: DataFrame, ref_words: dict[str, list[str]] | None = None, seconds: float = SECONDS) -> DataFrame:

@@ -57,3 +57,9 @@ def test_failing_pages_are_dealt_out(spark, monkeypatch):
 def test_supplier_pages_are_dealt_out(spark, monkeypatch, name):
     monkeypatch.setattr(html_queries, "PAGES_PER_TASK", 2)
     assert _tasks(own.QUERIES[name](spark, f"{DATA}/sf0.001")) == 5
+
+
+@pytest.mark.parametrize("name", ["infobox_kv", "html_tables", "infobox_loose"])
+def test_orders_are_dealt_out(spark, monkeypatch, name):
+    monkeypatch.setattr(html_queries, "ORDERS_PER_TASK", 100)
+    assert _tasks(own.QUERIES[name](spark, f"{DATA}/sf0.001")) == 15
