@@ -145,8 +145,9 @@ def base_hosts(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def blocks_without(found: DataFrame, ref_words: DataFrame, on: list[str]) -> DataFrame:
-    """Blocks whose heading is not a reference word of their wiki: an anti-join on (wiki, heading)."""
-    return found.join(ref_words, on, "left_anti")
+    """Blocks whose heading is not a reference word of their wiki: an anti-join on (wiki, heading). The words are a short list and are
+    broadcast: by a shuffle, all blocks under one heading would meet in one task."""
+    return found.join(F.broadcast(ref_words), on, "left_anti")
 
 
 def reassembled(found: DataFrame, key: str = "page_id") -> DataFrame:

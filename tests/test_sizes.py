@@ -9,6 +9,8 @@ from lexmill import file_queries, html_queries
 from lexmill import queries as own
 from lexmill.html import classify as K
 from lexmill.html import dom
+from lexmill.operators import parse
+from lexmill.sources import archives
 from tests.conftest import DATA, oracle, same
 
 
@@ -63,3 +65,11 @@ def test_supplier_pages_are_dealt_out(spark, monkeypatch, name):
 def test_orders_are_dealt_out(spark, monkeypatch, name):
     monkeypatch.setattr(html_queries, "ORDERS_PER_TASK", 100)
     assert _tasks(own.QUERIES[name](spark, f"{DATA}/sf0.001")) == 15
+
+
+def test_reference_words_are_broadcast(spark):
+    found = spark.range(5).selectExpr("id as page_id", "if(id = 1, 'References', null) as heading")
+    words = spark.createDataFrame([("References",)], "heading string")
+    kept = parse.blocks_without(found, words, ["heading"])
+    assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.page_id for r in kept.collect()) == [0, 2, 3, 4]
