@@ -112,7 +112,7 @@ def cached_stage(spark, sf_dir):
 def archived_documents(spark, sf_dir):
     """Documents as archives of JSON lines, read as streams."""
     path = _folder(spark, "archives")
-    archives.write_tar_jsonl(docs_of(spark, sf_dir).select(F.to_json(F.struct("doc_id", "text")).alias("value")).repartition(4), path, 100)
+    archives.write_tar_jsonl(archives.dealt_by_size(docs_of(spark, sf_dir).select(F.to_json(F.struct("doc_id", "text")).alias("value"))), path, 100)
     lines = archives.read_tar_jsonl(spark, path)
     return lines.select(F.from_json("value", "doc_id long, text string").alias("d")).select("d.doc_id", F.md5("d.text").alias("md5"))
 
@@ -125,7 +125,7 @@ def archives_stream(spark, sf_dir):
     docs = docs_of(spark, sf_dir)
     middle = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).first()[0] or 0
     for k, part in enumerate((docs.where(F.col("doc_id") <= middle), docs.where(F.col("doc_id") > middle))):
-        archives.write_tar_jsonl(part.select(F.to_json(F.struct("doc_id", "text")).alias("value")).repartition(2), f"{path}/{k}", 100)
+        archives.write_tar_jsonl(archives.dealt_by_size(part.select(F.to_json(F.struct("doc_id", "text")).alias("value"))), f"{path}/{k}", 100)
         lines = spark.readStream.format("growing-tarjsonl").option("log", log).load(path)
         rows = lines.select(F.from_json("value", "doc_id long, text string").alias("d")).select("d.*")
         rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination()

@@ -172,6 +172,17 @@ def read_matching(spark: SparkSession, path: str, condition: Column) -> DataFram
     return spark.read.format("tarjsonl").option("push", "true").load(path).where(condition)
 
 
+#: Bytes of lines in an archive, about.
+ARCHIVE_BYTES = 64 << 20
+
+
+def dealt_by_size(lines: DataFrame, size: int | None = None) -> DataFrame:
+    """Lines (value) in partitions of about `size` bytes each. An archive is written and read by one task, so their number must grow with
+    the lines."""
+    n = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    return lines.repartition(max(1, -(-n // (size or ARCHIVE_BYTES))))
+
+
 def write_tar_jsonl(lines: DataFrame, path: str, per_member: int = 1000) -> list[str]:
     """Write lines (value) as archives, one for each partition that has any, with so many lines in a member; their names.
 

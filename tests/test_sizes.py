@@ -73,3 +73,12 @@ def test_reference_words_are_broadcast(spark):
     kept = parse.blocks_without(found, words, ["heading"])
     assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.page_id for r in kept.collect()) == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("name", ["archived_documents", "archives_stream"])
+def test_archives_grow_in_number(spark, monkeypatch, name):
+    monkeypatch.setattr(archives, "ARCHIVE_BYTES", 50_000)
+    sizes = []
+    monkeypatch.setattr(archives, "write_tar_jsonl", lambda lines, *a, real=archives.write_tar_jsonl: sizes.extend(lines.rdd.glom().map(lambda rows: sum(len(r.value.encode()) for r in rows)).collect()) or real(lines, *a))
+    same(own.QUERIES[name](spark, f"{DATA}/sf0.001").toPandas(), oracle(own.SQL[name]))
+    assert len(sizes) >= 5 and max(sizes) <= 150_000
