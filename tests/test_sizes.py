@@ -3,6 +3,7 @@
 import random
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 
 from lexmill import file_queries, html_queries
@@ -82,3 +83,17 @@ def test_archives_grow_in_number(spark, monkeypatch, name):
     monkeypatch.setattr(archives, "write_tar_jsonl", lambda lines, *a, real=archives.write_tar_jsonl: sizes.extend(lines.rdd.glom().map(lambda rows: sum(len(r.value.encode()) for r in rows)).collect()) or real(lines, *a))
     same(own.QUERIES[name](spark, f"{DATA}/sf0.001").toPandas(), oracle(own.SQL[name]))
     assert len(sizes) >= 5 and max(sizes) <= 150_000
+
+
+def test_workers_hold_few_pages_at_a_time():
+    class Taken:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = parse.html_lists(Taken())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["<ul><li>a</ul>"] * 1000)], names=["page_id", "html"])
+    sizes = [b.num_rows for b in run(iter([batch]))]
+    assert sum(sizes) == 1000 and max(sizes) <= parse.AT_ONCE
