@@ -6,6 +6,11 @@ growing pauses. Finished calls are written to the lane's journal, in a folder th
 attempt that follows a lost task, or a later run, reads the journals and makes only the calls that are missing. Spark lets the worker
 of a cancelled task go on for some seconds (spark.python.task.killTimeout); a run that is started within these may exceed the
 bound and repeat calls.
+
+A lane that would read more than LANE_BYTES of text is gone through in rounds, each a job of its own whose answers are staged: a
+round begins when the one before has ended, so the bound holds over all. Keys have a fixed part of their lane (PARTS), rounds are
+ranges of parts, and journals are kept by part: a task reads only those of its parts, and they are found again however many
+rounds a later run has.
 """
 
 from __future__ import annotations
@@ -17,11 +22,16 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import exists, home, stage
+
+#: Text that a task reads, about, and the parts of a lane: so many rounds at most.
+LANE_BYTES, PARTS = 128 << 20, 64
 #: Seconds before the second try; each further pause is twice as long, and a random part of it is left out.
 PAUSE = 0.5
 
@@ -38,10 +48,12 @@ def _tried(call: Callable[[str], object], text: str | None, tries: int, pause: f
     return None, error, tries
 
 
-def _journal(folder: str) -> dict[str, tuple]:
-    """Finished calls of a lane: those of all attempts that have an answer."""
+def _journal(folder: str, part: int) -> dict[str, tuple]:
+    """Finished calls of a lane's part: those of all attempts that have an answer. Files without a part are of the whole lane."""
     out = {}
     for name in sorted(os.listdir(folder)) if os.path.isdir(folder) else []:
+        if "-" in name and not name.startswith(f"{part:02d}-"):
+            continue
         with open(os.path.join(folder, name), encoding="utf-8") as f:
             for line in f:
                 if line.endswith("\n"):  # else its writer was lost
@@ -66,14 +78,18 @@ def called(rows: DataFrame, call: Callable[[str], object], journal: str, key: st
         out = None
         with ThreadPoolExecutor(threads) as pool:
             done: dict[str, tuple] = {}
+            last = None
             try:
-                for batch in batches:
-                    at, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                    if out is None and keys:
-                        folder = os.path.join(journal, f"lane-{at[0]:05d}")
-                        done = _journal(folder)
+                for batch in _by_part(batches):
+                    at, keys, texts = (batch.column(k).to_pylist() for k in (0, 2, 3))
+                    part_no = batch.column(1)[0].as_py()
+                    if part_no != last:
+                        if out is not None:
+                            out.close()
+                        last, folder = part_no, os.path.join(journal, f"lane-{at[0]:05d}")
+                        done = _journal(folder, part_no)
                         os.makedirs(folder, exist_ok=True)
-                        out = open(os.path.join(folder, f"{uuid.uuid4().hex}.jsonl"), "a", encoding="utf-8")  # noqa: SIM115
+                        out = open(os.path.join(folder, f"{part_no:02d}-{uuid.uuid4().hex}.jsonl"), "a", encoding="utf-8")  # noqa: SIM115
                     names = [str(k) for k in keys]
                     todo = [i for i, k in enumerate(names) if k not in done]
                     for a in range(0, len(todo), threads):
@@ -85,11 +101,34 @@ def called(rows: DataFrame, call: Callable[[str], object], journal: str, key: st
                         os.fsync(out.fileno())
                     found = [done.pop(k) for k in names]
                     columns = zip(*found, strict=True) if found else [[], [], []]
-                    yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32()), strict=True)]], names=[key, "answer", "error", "tries"])
+                    yield pa.RecordBatch.from_arrays([batch.column(2), *[pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32()), strict=True)]], names=[key, "answer", "error", "tries"])
             finally:
                 if out is not None:
                     out.close()
 
     lane = F.pmod(F.xxhash64(F.col(key)), F.lit(lanes)).cast("int")
-    dealt = rows.select(lane.alias("lane"), key, text).repartitionById(lanes, F.col("lane"))
-    return dealt.sortWithinPartitions("lane", key).mapInArrow(run, f"{key} {kind.simpleString()}, answer string, error string, tries int")
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col(key)), F.lit(PARTS)).cast("int")
+    dealt = rows.select(lane.alias("lane"), part.alias("part"), F.col(key), F.col(text))
+    once = lambda of: (
+        of.repartitionById(lanes, F.col("lane")).sortWithinPartitions("lane", "part", key).mapInArrow(run, f"{key} {kind.simpleString()}, answer string, error string, tries int")
+    )
+    rounds = min(PARTS, -(-(rows.agg(F.sum(F.octet_length(text))).first()[0] or 0) // (lanes * LANE_BYTES)))
+    if rounds <= 1:
+        return once(dealt)
+    path = f"{home(rows.sparkSession)}/calls-{uuid.uuid4().hex}"
+    dealt.withColumn("round", F.floor(F.col("part") * rounds / PARTS).cast("int")).write.partitionBy("round").parquet(path)  # each round reads its own
+    found = [stage(once(rows.sparkSession.read.schema(dealt.schema).parquet(p)), "calls-round") for p in (f"{path}/round={n}" for n in range(rounds)) if exists(rows.sparkSession, p)]
+    return reduce(DataFrame.union, found)
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the part changes."""
+    for b in batches:
+        at = 0
+        while at < b.num_rows:
+            part = b.column(1)
+            end = at + 1 if part[at] != part[b.num_rows - 1] else b.num_rows
+            while end < b.num_rows and part[end] == part[at]:
+                end += 1
+            yield b.slice(at, end - at)
+            at = end

@@ -32,6 +32,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back."""
     spark = df.sparkSession

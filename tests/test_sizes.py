@@ -1,6 +1,7 @@
 """What a task gets to do at size: work is dealt out by rows or bytes, and deep nesting costs no more than its length."""
 
 import random
+import uuid
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from lexmill import queries as own
 from lexmill.html import classify as K
 from lexmill.html import dom
 from lexmill.operators import parse
+from lexmill.plans import calls
 from lexmill.sources import archives
 from tests.conftest import DATA, oracle, same
 
@@ -85,7 +87,7 @@ def test_archives_grow_in_number(spark, monkeypatch, name):
     assert len(sizes) >= 5 and max(sizes) <= 150_000
 
 
-def test_workers_hold_few_pages_at_a_time():
+def test_workers_hold_few_pages_at_a_time(spark):
     class Taken:
         def select(self, *columns):
             return self
@@ -97,3 +99,23 @@ def test_workers_hold_few_pages_at_a_time():
     batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(["<ul><li>a</ul>"] * 1000)], names=["page_id", "html"])
     sizes = [b.num_rows for b in run(iter([batch]))]
     assert sum(sizes) == 1000 and max(sizes) <= parse.AT_ONCE
+
+
+def test_calls_go_by_rounds(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(k, f"t{k}" * 50) for k in range(300)], "doc_id long, text string")
+    made = tmp_path / "made"
+    made.mkdir()
+
+    def call(text):
+        (made / uuid.uuid4().hex).write_text(text)
+        return len(text)
+
+    run = lambda: calls.called(rows, call, str(tmp_path / "journal"), at_once=4, threads=2)
+    monkeypatch.setattr(calls, "LANE_BYTES", 6_000)
+    found = run()
+    assert found.rdd.getNumPartitions() > 2 and len(list(made.iterdir())) == 300  # rounds of two lanes, made one after another
+    want = sorted((k, str(len(f"t{k}") * 50)) for k in range(300))
+    assert sorted((r.doc_id, r.answer) for r in found.collect()) == want
+    monkeypatch.setattr(calls, "LANE_BYTES", 1 << 30)
+    assert sorted((r.doc_id, r.answer) for r in run().collect()) == want  # one round finds the journals of several
+    assert len(list(made.iterdir())) == 300
