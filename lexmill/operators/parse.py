@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..html import classify
-from ..html.document import blocks, ensure_base, base_host, extract
-from ..html.dom import OutOfTime, parse
+from ..html.document import base_host, blocks, ensure_base, extract
+from ..html.document import read as read_document
+from ..html.dom import Element, OutOfTime, parse
 from ..html.infobox import infoboxes, ordered
 from ..html.render import Page, list_text, table
 from ..schemas import INFOBOXES
@@ -70,7 +71,7 @@ OUTCOMES = ("extracted", "dropped", "timeout", "clean_error")
 
 
 def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str, seconds: float | None = SECONDS) -> DataFrame:
-    """Rows (key, schema, error) of read(html, page state); a record that fails or takes too long is one row with its error."""
+    """Rows (key, schema, error) of read(tree, page state); a record that fails or takes too long is one row with its error."""
     names = [key, *(x.split()[0] for x in schema.split(", ")), "error"]
 
     out = T.StructType.fromDDL(f"{key} bigint, {schema}, error string")
@@ -81,12 +82,17 @@ def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str, se
             for a in range(0, batch.num_rows, AT_ONCE):
                 part, rows = batch.slice(a, AT_ONCE), []
                 for k, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    root = None
                     try:
-                        rows += [(k, *row, None) for row in read(h, Page.within(seconds))]
+                        root = parse(h, (page := Page.within(seconds)).deadline)
+                        rows += [(k, *row, None) for row in read(root, page)]
                     except OutOfTime:
                         rows.append((k, *[None] * (len(names) - 2), "timeout"))
                     except Exception as e:  # noqa: BLE001  a record's failure is a result
                         rows.append((k, *[None] * (len(names) - 2), f"{type(e).__name__}: {e}"))
+                    finally:
+                        if root is not None:
+                            root.release()
                 columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)], names=names)
 
@@ -95,14 +101,14 @@ def _each(pages: DataFrame, key: str, html: str, read: Callable, schema: str, se
 
 def html_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Rows (key, seq, heading, level, text, error)."""
-    return _each(pages, key, html, lambda h, page: [(k, *b) for k, b in enumerate(blocks(parse(h, page.deadline), page))], "seq int, heading string, level int, text string")
+    return _each(pages, key, html, lambda root, page: [(k, *b) for k, b in enumerate(blocks(root, page))], "seq int, heading string, level int, text string")
 
 
 def html_lists(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Rows (key, list_no, text, error) of top-level lists."""
 
-    def read(h: str | None, page: Page):
-        tops = [e for e in parse(h, page.deadline).all("ul", "ol") if not e.inside("ul", "ol")]
+    def read(root: Element, page: Page):
+        tops = [e for e in root.all("ul", "ol") if not e.inside("ul", "ol")]
         return [(k, list_text(e, page, classify.BODY_EXCLUDED)) for k, e in enumerate(tops)]
 
     return _each(pages, key, html, read, "list_no int, text string")
@@ -111,9 +117,9 @@ def html_lists(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
 def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Rows (key, table_no, markdown, n_rows, n_cols, error) of top-level tables."""
 
-    def read(h: str | None, page: Page):
+    def read(root: Element, page: Page):
         out = []
-        for k, e in enumerate(t for t in parse(h, page.deadline).all("table") if not t.inside("table")):
+        for k, e in enumerate(t for t in root.all("table") if not t.inside("table")):
             md = table(e, page, classify.BODY_EXCLUDED)
             lines = md.split("\n") if md else []
             out.append((k, md, len(lines), lines[0].replace("\\|", "").count("|") - 1 if lines else 0))
@@ -125,8 +131,8 @@ def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
 def infobox_values(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Rows (key, box_no, title, entry, name, value_no, value, error)."""
 
-    def read(h: str | None, page: Page):
-        boxes = ordered(infoboxes(parse(h, page.deadline), page))
+    def read(root: Element, page: Page):
+        boxes = ordered(infoboxes(root, page))
         return [(n, b["title"], e, d["key"], v, x) for n, b in enumerate(boxes) for e, d in enumerate(b["data"]) for v, x in enumerate(d["values"])]
 
     return _each(pages, key, html, read, "box_no int, title string, entry int, name string, value_no int, value string")
@@ -134,7 +140,7 @@ def infobox_values(pages: DataFrame, key: str = "page_id", html: str = "html") -
 
 def html_markdown(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Rows (key, text, n_infoboxes, has_math, error)."""
-    return _each(pages, key, html, lambda h, page: [((d := extract(h, seconds=SECONDS)).text, len(d.infoboxes), d.has_math)], "text string, n_infoboxes int, has_math boolean")
+    return _each(pages, key, html, lambda root, page: [((d := read_document(root, page)).text, len(d.infoboxes), d.has_math)], "text string, n_infoboxes int, has_math boolean")
 
 
 def base_hosts(pages: DataFrame, key: str = "page_id") -> DataFrame:

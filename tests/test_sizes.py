@@ -1,5 +1,6 @@
 """What a task gets to do at size: work is dealt out by rows or bytes, and deep nesting costs no more than its length."""
 
+import gc
 import random
 import uuid
 from html.parser import HTMLParser
@@ -10,7 +11,7 @@ import pytest
 from lexmill import file_queries, html_queries
 from lexmill import queries as own
 from lexmill.html import classify as K
-from lexmill.html import dom
+from lexmill.html import dom, render
 from lexmill.operators import parse
 from lexmill.plans import calls
 from lexmill.sources import archives
@@ -101,6 +102,34 @@ def test_workers_hold_few_pages_at_a_time(spark):
     assert sum(sizes) == 1000 and max(sizes) <= parse.AT_ONCE
 
 
+@pytest.mark.parametrize("name", ["html_tables", "html_blocks", "html_lists", "html_markdown", "infobox_values"])
+def test_trees_do_not_wait_for_the_garbage_collection(spark, name):
+    class Taken:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    page = "<h2>x</h2><table class=infobox><tr><th>a</th><td>b<br>c</td></tr></table><ul><li>d</ul><table><tr><td>e</td></tr></table>"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array([page] * 50)], names=["page_id", "html"])
+    run = getattr(parse, name)(Taken())
+    gc.collect()
+    gc.disable()
+    try:
+        found = list(run(iter([batch])))
+        assert sum(b.num_rows for b in found) >= 50
+        assert sum(type(x) is dom.Element for x in gc.get_objects()) <= 20  # those of one page at most
+    finally:
+        gc.enable()
+
+
+def test_plain_rows_of_tables_keep_gaps_spans_and_padding():
+    page = "<table><tr><th>a|b<th>c</th></tr><tr><td rowspan=2>1</td><td>\u4e2d</td></tr><tr><td>2</td><td> </td></tr><tr><td>x</td><td></td></tr></table>"
+    got = render.table(dom.parse(page).first("table"), render.Page())
+    assert got == "| a\\|b | c  |\n| ---- | -- |\n| 1    | \u4e2d |\n| 1    | 2  |\n| x    |    |"
+
+
 def test_calls_go_by_rounds(spark, tmp_path, monkeypatch):
     rows = spark.createDataFrame([(k, f"t{k}" * 50) for k in range(300)], "doc_id long, text string")
     made = tmp_path / "made"
