@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .operators import pages, parse
 from .queries import query, table
+from .session import DEFAULTS
 from .sql_surface import register
 
 #: Suppliers and orders that make the pages of a task: some seconds of work.
@@ -244,25 +245,33 @@ def sql_infoboxes(spark, sf_dir):
 # The given pages ----------------------------------------------------------------------------------------------------
 
 
+def given_pages(spark, sf_dir) -> DataFrame:
+    """Pages are long, and both sides hold whole Arrow batches: they are made smaller if the session has no size of its own for them."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, DEFAULTS[rows])
+    return table(spark, sf_dir, "pages")
+
+
 @query()
 def html_blocks(spark, sf_dir):
-    return parse.html_blocks(table(spark, sf_dir, "pages"))
+    return parse.html_blocks(given_pages(spark, sf_dir))
 
 
 @query()
 def html_markdown(spark, sf_dir):
-    return parse.html_markdown(table(spark, sf_dir, "pages"))
+    return parse.html_markdown(given_pages(spark, sf_dir))
 
 
 @query()
 def html_reassembled(spark, sf_dir):
     words = spark.createDataFrame([("References",)], "heading string").coalesce(1)
-    return parse.reassembled(parse.blocks_without(parse.html_blocks(table(spark, sf_dir, "pages")).drop("error"), words, ["heading"]))
+    return parse.reassembled(parse.blocks_without(parse.html_blocks(given_pages(spark, sf_dir)).drop("error"), words, ["heading"]))
 
 
 @query()
 def html_lists(spark, sf_dir):
-    return parse.html_lists(table(spark, sf_dir, "pages"))
+    return parse.html_lists(given_pages(spark, sf_dir))
 
 
 @query()
@@ -270,5 +279,5 @@ def parsed_pages(spark, sf_dir):
     """The whole first stage on the given pages."""
     from .queries import disambiguations, raw_pages
 
-    docs = pages.documents(pages.judged(raw_pages(table(spark, sf_dir, "pages")), disambiguations(spark)))
+    docs = pages.documents(pages.judged(raw_pages(given_pages(spark, sf_dir)), disambiguations(spark)))
     return parse.parsed(docs, {"enwiki": ["References"]}).select("id", "text", F.size("infoboxes").alias("n_infoboxes"), "has_math", "outcome")

@@ -130,6 +130,21 @@ def test_plain_rows_of_tables_keep_gaps_spans_and_padding():
     assert got == "| a\\|b | c  |\n| ---- | -- |\n| 1    | \u4e2d |\n| 1    | 2  |\n| x    |    |"
 
 
+@pytest.mark.parametrize("name", ["html_blocks", "html_markdown", "html_reassembled", "html_lists", "parsed_pages"])
+def test_pages_come_in_small_batches(spark, name):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        spark.conf.set(rows, "10000")
+        own.QUERIES[name](spark, f"{DATA}/sf0.001")
+        assert int(spark.conf.get(rows)) <= 1000
+        spark.conf.set(rows, "3000")
+        own.QUERIES[name](spark, f"{DATA}/sf0.001")
+        assert spark.conf.get(rows) == "3000"  # the session's own
+    finally:
+        spark.conf.set(rows, before)
+
+
 def test_calls_go_by_rounds(spark, tmp_path, monkeypatch):
     rows = spark.createDataFrame([(k, f"t{k}" * 50) for k in range(300)], "doc_id long, text string")
     made = tmp_path / "made"
