@@ -98,7 +98,7 @@ _NO_REFERENCES = _markdown("heading <> 'References'")
 @query(f"WITH {_BLOCKS}, {_NO_REFERENCES} SELECT page_id, text FROM m")
 def wiki_reassembled(spark, sf_dir):
     words = spark.createDataFrame([("References",)], "heading string").coalesce(1)
-    return parse.reassembled(parse.blocks_without(parse.html_blocks(supplier_pages(spark, sf_dir)).drop("error"), words, ["heading"]))
+    return parse.reassembled(parse.blocks_without(parse.html_blocks(supplier_pages(spark, sf_dir)), words, ["heading"])).drop("error")
 
 
 _LISTS = f"""WITH {_BLOCKS} SELECT page_id, CAST(CASE seq WHEN 4 THEN 0 WHEN 5 THEN 1 ELSE 3 END AS INTEGER) AS list_no, text FROM b WHERE seq IN (4, 5, 11)
@@ -266,7 +266,7 @@ def html_markdown(spark, sf_dir):
 @query()
 def html_reassembled(spark, sf_dir):
     words = spark.createDataFrame([("References",)], "heading string").coalesce(1)
-    return parse.reassembled(parse.blocks_without(parse.html_blocks(given_pages(spark, sf_dir)).drop("error"), words, ["heading"]))
+    return parse.reassembled(parse.blocks_without(parse.html_blocks(given_pages(spark, sf_dir)), words, ["heading"]))
 
 
 @query()

@@ -157,7 +157,8 @@ def blocks_without(found: DataFrame, ref_words: DataFrame, on: list[str]) -> Dat
 
 
 def reassembled(found: DataFrame, key: str = "page_id") -> DataFrame:
-    """Markdown from blocks by window and aggregate: a heading where (heading, level) changes."""
+    """(key, text, error): markdown from blocks by window and aggregate, a heading where (heading, level) changes. A page that failed has
+    its error and no text; an empty text is that of a page whose blocks are empty."""
     from pyspark.sql.window import Window
 
     w = Window.partitionBy(key).orderBy("seq")
@@ -167,4 +168,5 @@ def reassembled(found: DataFrame, key: str = "page_id") -> DataFrame:
     head = F.when(changed, F.concat(F.lit("\n"), marks, F.lit(" "), F.col("heading"), F.lit("\n"))).otherwise("")
     body = F.when(F.trim("text") == "", "").otherwise(F.concat(F.when(changed, F.regexp_replace("text", r"^\s+", "")).otherwise(F.col("text")), F.lit("\n")))
     piece = found.withColumn("piece", F.concat(head, body))
-    return piece.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "piece"))), lambda x: x["piece"]), "").alias("text"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "piece"))), lambda x: x["piece"]), "")
+    return piece.groupBy(key).agg(F.when(F.max("error").isNull(), text).alias("text"), F.max("error").alias("error"))

@@ -145,6 +145,15 @@ def test_pages_come_in_small_batches(spark, name):
         spark.conf.set(rows, before)
 
 
+def test_a_failed_page_is_no_empty_text(spark, tmp_path):
+    pages = [(1, "<p>a</p><h2>References</h2><p>b</p>"), (2, "<p>a</p>" + "<ul><li>" * 3000), (3, "<h2>References</h2><h2>H</h2><table></table>")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.text, (r.error or "").split(":")[0]) for r in own.QUERIES["html_reassembled"](spark, str(tmp_path)).collect()}
+    assert got[1] == ("a\n", "") and got[2] == (None, "RecursionError")
+    late = parse._each(spark.createDataFrame(pages[:1], "page_id long, html string"), "page_id", "html", lambda root, page: 1 / 0, "seq int, heading string, level int, text string")
+    assert [(r.text, r.error) for r in parse.reassembled(late).collect()] == [(None, "ZeroDivisionError: division by zero")]
+
+
 def test_calls_go_by_rounds(spark, tmp_path, monkeypatch):
     rows = spark.createDataFrame([(k, f"t{k}" * 50) for k in range(300)], "doc_id long, text string")
     made = tmp_path / "made"
