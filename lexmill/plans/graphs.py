@@ -147,6 +147,7 @@ def smallest_of_components(links: DataFrame) -> DataFrame:
         moved = not new.where("label <> old").isEmpty()
         unstage(labels), unstage(low)
         if not moved:
+            unstage(both)
             return new.drop("old")
         labels = new
 

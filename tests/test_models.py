@@ -136,3 +136,46 @@ def test_a_list_is_sent_once_to_a_group_of_queries(spark):
     index = topics.Index(v, lists=2)
     plan = index.nearest(v, 3, 2)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan  # blocks of 512 rows were joined each with each
+
+
+def _counts(n: int, dims: int = 64):
+    m = np.random.default_rng(7).poisson(0.7, (n, dims)).astype(np.float32)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def test_a_query_is_sent_once_to_a_part_as_a_short_code(spark):
+    m = _counts(2000, 256)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<float>")
+    index = topics.Index(v, lists=64)
+    sent = index._sent(topics.coded(v, "vec_id"), 32).collect()  # a copy of its floats went to each of the 32 lists
+    assert len(sent) == len({(r.part, r.id) for r in sent}) <= 2000 * index.n_parts and index.n_parts <= topics.PARTS
+    assert all(len(set(x)) == len(x) for x in (r.lists for r in sent)) and sum(len(r.lists) for r in sent) == 2000 * 32
+    assert np.mean([len(r.code) for r in sent]) < 256 * 4 / 4
+
+
+def test_codes_keep_each_bit():
+    r = np.random.default_rng(1)
+    for v in (r.normal(size=300), r.integers(0, 4, 300) / 3, np.zeros(5), np.ones(1), np.arange(256) / 7, np.arange(1000) / 7, np.full(3, 1e-30)):
+        v = v.astype(np.float32)
+        got, same = topics._vectors(topics.pa.array([topics._code(v), topics._code(v.copy())]))
+        assert (got == v / np.maximum(np.linalg.norm(v[None], axis=1), 1e-30)).all() and (got == same).all()
+
+
+def test_cut_lists_parts_and_blocks_against_brute_force(spark, monkeypatch):
+    for name, x in (("BLOCK", 16), ("MOST", 64), ("ASKED", 90), ("ROWS", 7), ("COLUMNS", 11), ("DECODED", 13)):
+        monkeypatch.setattr(topics, name, x)
+    m = _counts(700)
+    v = spark.createDataFrame([(3 * i, x.tolist()) for i, x in enumerate(m)] + [(9001, None), (9002, [0.0] * 64), (9003, [1.0] * 63 + [None])], "vec_id long, embedding array<float>")
+    s = (m @ m.T).astype(float)
+    np.fill_diagonal(s, -2)
+    for lists, least in ((3, -2), (30, 0.6)):
+        index = topics.Index(v, lists=lists)
+        assert index.lists.count() == 700 and (lists > 3 or index.pieces.max() > 1)
+        got = {}
+        for r in index.nearest(k=4, probes=lists, least=least).collect():
+            got.setdefault(r.query // 3, []).append((r.rn, r.neighbour // 3, r.similarity))
+        for i in range(700):
+            want = [x for x in np.sort(s[i])[::-1][:4] if round(x, 6) >= least]
+            found = sorted(got.get(i, []))
+            assert [x for x, _, _ in found] == list(range(1, len(want) + 1))
+            assert np.allclose([x for _, _, x in found], want, atol=2e-6) and np.allclose([s[i, j] for _, j, _ in found], want, atol=2e-6)
