@@ -1,6 +1,7 @@
 """Languages, scripts, title vectors, the index and topics."""
 
 import hashlib
+import os
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from lexmill import model_queries  # noqa: F401
 from lexmill import queries as own
 from lexmill.plans import graphs, languages, topics
+from lexmill.staging import clear, home
 from tests.conftest import DATA
 
 
@@ -179,3 +181,11 @@ def test_cut_lists_parts_and_blocks_against_brute_force(spark, monkeypatch):
             found = sorted(got.get(i, []))
             assert [x for x, _, _ in found] == list(range(1, len(want) + 1))
             assert np.allclose([x for _, _, x in found], want, atol=2e-6) and np.allclose([s[i, j] for _, j, _ in found], want, atol=2e-6)
+
+
+def test_topic_graphs_keeps_no_neighbours_on_disk(spark):
+    clear(spark)
+    got = own.QUERIES["topic_graphs"](spark, f"{DATA}/sf0.001")
+    left = {x.rsplit("-", 1)[0] for x in os.listdir(home(spark).removeprefix("file://"))}
+    assert left and not left & {"index", "index-parts", "topic-neighbours", "topic-links", "kg-links"}
+    assert got.count() > 0
